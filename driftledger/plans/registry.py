@@ -66,7 +66,7 @@ def _export_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def export_flatten(spark, sf_dir):
-    hosts = scan_export.named_hosts(_export_hosts(spark, sf_dir))
+    hosts = scan_export.started_hosts(_export_hosts(spark, sf_dir))
     return scan_export.flatten_items(hosts).groupBy(
         "file", "host", "landing_seq", "plugin_id", "plugin_name", "severity", "cve"
     ).agg(F.count("*").alias("n"))
@@ -77,7 +77,7 @@ def scan_time_min(spark, sf_dir):
     hosts = _export_hosts(spark, sf_dir)
     fallback = datetime(2000, 1, 1, tzinfo=timezone.utc)
     times = scan_export.scan_times(
-        hosts.select("file").distinct(), scan_export.named_hosts(hosts), fallback, DEFAULT_SOURCE
+        hosts.select("file").distinct(), scan_export.started_hosts(hosts), fallback, DEFAULT_SOURCE
     )
     return times.select("file", F.date_format("scanned_at", "yyyy-MM-dd HH:mm:ss").alias("scanned_at"))
 
@@ -99,6 +99,7 @@ def tolerant_cast(spark, sf_dir):
     hosts = li.select(
         F.lit("lineitem").alias("file"),
         F.when(F.col("l_tax") > 0.01, F.col("l_suppkey").cast("string")).otherwise(" ").alias("_name"),
+        F.array().cast(EXPORT_HOST["HostProperties"].dataType).alias("HostProperties"),
         F.array(
             F.struct(
                 plugin_id.alias("_pluginID"), severity.alias("_severity"), name.alias("_pluginName"),
@@ -106,7 +107,7 @@ def tolerant_cast(spark, sf_dir):
             )
         ).alias("ReportItem"),
     )
-    kept = scan_export.flatten_items(scan_export.named_hosts(hosts))
+    kept = scan_export.flatten_items(scan_export.started_hosts(hosts))
     return kept.groupBy("host", "severity").agg(
         F.count("*").alias("n"),
         F.sum("plugin_id").cast("bigint").alias("plugin_ids"),

@@ -58,6 +58,11 @@ REGISTER = _schema(
     closed_on=_D,
 )
 
+# A stored version also keeps what the reconciliation that wrote it did.
+REGISTER_MOVES = StructType(
+    [*REGISTER.fields, StructField("moves", ArrayType(_schema(transition=_S, step=_I)))]
+)
+
 REGISTER_LOG = _schema(
     version=_L, synced_at=_T, scanned_at=_T, opened=_L, reopened=_L, closed=_L
 )

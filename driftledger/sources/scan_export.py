@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftledger.functions.export_fields import first_of, has_text, host_start
@@ -41,11 +41,10 @@ def read_scan_exports(
     With ``None`` such a file fails the load. A path that does not exist reads
     as no scans; a truncated file fails the whole load.
     """
-    hosts = export_hosts(spark, path)
-    files = export_files(spark, path)
+    hosts = started_hosts(export_hosts(spark, path))
     return ScanExports(
-        scans=scan_times(files, named_hosts(hosts), fallback, source),
-        findings=flatten_items(named_hosts(hosts)),
+        scans=scan_times(export_files(spark, path), hosts, fallback, source),
+        findings=flatten_items(hosts),
     )
 
 
@@ -92,16 +91,17 @@ def _load_or_none(reader, path) -> DataFrame | None:
         raise
 
 
-def named_hosts(hosts: DataFrame) -> DataFrame:
-    """A host without a name is unusable, and its start time does not count."""
-    return hosts.filter(has_text(F.col("_name")))
+def started_hosts(hosts: DataFrame) -> DataFrame:
+    """Named hosts with their start time; a nameless one is unusable, and its
+    start time does not count."""
+    return hosts.filter(has_text(F.col("_name"))).withColumn("started", host_start(F.col("HostProperties")))
 
 
 def scan_times(
     files: DataFrame, hosts: DataFrame, fallback: datetime | None, source: str
 ) -> DataFrame:
-    """A file's scan time is its earliest named host's start, else ``fallback``."""
-    started = hosts.groupBy("file").agg(F.min(host_start(F.col("HostProperties"))).alias("_started"))
+    """A file's scan time is its earliest host's start, else ``fallback``."""
+    started = hosts.groupBy("file").agg(F.min("started").alias("_started"))
     if fallback is None:
         default = F.raise_error(F.concat(F.lit("no scan time in "), "file")).cast("timestamp")
     else:
