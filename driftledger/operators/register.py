@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from driftledger.functions import policy
 from driftledger.operators.scans import latest_findings, newest_date, scan_chain
@@ -21,6 +22,14 @@ from driftledger.schemas import REGISTER
 
 KEY = ["host", "plugin_id"]
 
+STEPS = StructType(
+    [
+        StructField("scan_run_id", StringType()),
+        StructField("scanned_at", TimestampType()),
+        StructField("step", IntegerType()),
+    ]
+)
+
 
 def first_seen(finding: DataFrame) -> DataFrame:
     """When each problem was first observed, over all history."""

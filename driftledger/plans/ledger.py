@@ -25,7 +25,7 @@ from driftledger import schemas
 from driftledger.functions.identity import DEFAULT_SOURCE, MONTH_FORMAT
 from driftledger.functions.payload import to_payload
 from driftledger.operators import correlation, facts, keyed, quality, register, reports
-from driftledger.session import pin_utc, scratch_dir
+from driftledger.session import local_frame, pin_utc, scratch_dir
 from driftledger.sources import catalogs, scan_export
 
 TABLES = {
@@ -56,7 +56,7 @@ class Ledger:
         self.inventory = inventory
         for name, schema in TABLES.items():
             # Leaves a table that exists alone.
-            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{name}")
+            local_frame(self.spark, [], schema).write.mode("ignore").parquet(f"{self.root}/{name}")
 
     # ---- reading ------------------------------------------------------------
 
@@ -74,12 +74,16 @@ class Ledger:
     def _register_version(self, version: int, moves: bool = False) -> DataFrame:
         schema = schemas.REGISTER_MOVES if moves else schemas.REGISTER
         if version == 0:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema)  # nothing reconciled yet
         return self.spark.read.schema(schema).parquet(f"{self.root}/register/version={version}")
 
-    def _published(self) -> tuple[int, datetime | None]:
-        newest = self.table("register_log").orderBy(F.desc("version"), F.desc("synced_at")).first()
-        return (newest.version, newest.synced_at) if newest else (0, None)
+    def _published(self) -> tuple[int, int | None]:
+        """Current register version and the scan time it is synced to, in microseconds."""
+        log = self.table("register_log").agg(
+            F.coalesce(F.max("version"), F.lit(0)).alias("version"),
+            F.unix_micros(F.max("synced_at")).alias("synced_at"),
+        )
+        return tuple(log.first())
 
     def plugin(self) -> DataFrame:
         """The catalogue: the newest revision of each check."""
@@ -102,7 +106,8 @@ class Ledger:
 
     def _listed(self, scans: DataFrame) -> DataFrame:
         """The scan list of a delivery as a local relation: one short row per file."""
-        return self.spark.createDataFrame(scans.collect(), scans.schema)
+        rows = scans.withColumn("scanned_at", F.unix_micros("scanned_at")).collect()
+        return local_frame(self.spark, [tuple(r) for r in rows], scans.schema)
 
     def load(self, runs: DataFrame, findings: DataFrame) -> LoadResult:
         """Land, type, deduplicate and reconcile a delivery of any number of scans.
@@ -155,28 +160,31 @@ class Ledger:
         registered = self.table("scan_run").select("scan_run_id", "scanned_at")
         due = registered.unionByName(runs.select("scan_run_id", "scanned_at"))
         if synced_at is not None:
-            due = due.filter(F.col("scanned_at") >= F.lit(synced_at))
-        chain = due.groupBy("scanned_at").agg(F.min("scan_run_id").alias("scan_run_id")).orderBy("scanned_at").collect()
-        first_step = 0 if synced_at is not None else 1
-        steps = self.spark.createDataFrame(
-            [(r.scan_run_id, r.scanned_at, i) for i, r in enumerate(chain, first_step)],
-            "scan_run_id string, scanned_at timestamp, step int",
+            due = due.filter(F.col("scanned_at") >= F.timestamp_micros(F.lit(synced_at)))
+        chain = (
+            due.groupBy(F.unix_micros("scanned_at").alias("at"))
+            .agg(F.min("scan_run_id").alias("id"))
+            .orderBy("at")
+            .collect()
         )
+        first_step = 0 if synced_at is not None else 1
+        steps = local_frame(self.spark, [(r.id, r.at, i) for i, r in enumerate(chain, first_step)], register.STEPS)
         folding = steps.select("scan_run_id", "scanned_at").unionByName(runs.select("scan_run_id", "scanned_at")).distinct()
         arrived = self._facts_of(folding).join(folding.select("scan_run_id"), "scan_run_id", "left_semi")
         advanced = register.advance(self._register_version(version), arrived, steps, self.inventory)
         version += 1
         advanced.write.mode("overwrite").parquet(f"{self.root}/register/version={version}")
-        moves = register.count_moves(self._register_version(version, moves=True), steps).orderBy("step").collect()
+        stored = self._register_version(version, moves=True)
+        moves = register.count_moves(stored, steps).withColumn("at", F.unix_micros("scanned_at")).orderBy("step").collect()
         self._append(
             "scan_run",
             keyed.insert_if_absent(runs, self.table("scan_run"), ["scan_run_id"])
             .withColumn("ingested_at", F.current_timestamp())
             .coalesce(1),
         )
-        newest = max(r.scanned_at for r in chain) if chain else synced_at
-        log = [(version, newest, r.scanned_at, r.opened, r.reopened, r.closed) for r in moves]
-        self._append("register_log", self.spark.createDataFrame(log, schemas.REGISTER_LOG).coalesce(1))
+        newest = chain[-1].at if chain else synced_at
+        log = [(version, newest, r.at, r.opened, r.reopened, r.closed) for r in moves]
+        self._append("register_log", local_frame(self.spark, log, schemas.REGISTER_LOG))
         return [r for r in moves if r.step > 0 or r.opened or r.reopened or r.closed]
 
     def _append(self, name: str, rows: DataFrame) -> None:

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from driftledger.functions import policy
 from driftledger.functions.identity import DEFAULT_SOURCE
@@ -14,8 +15,10 @@ from driftledger.functions.payload import project_payload, to_payload
 from driftledger.operators import correlation, facts, keyed, quality, register, reports, scans
 from driftledger.plans import relations as rel
 from driftledger.schemas import EXPORT_HOST
-from driftledger.session import pin_utc
+from driftledger.plans.ledger import Ledger
+from driftledger.session import local_frame, pin_utc, scratch_dir
 from driftledger.sources import scan_export
+from driftledger.streaming.reconcile import watch_sightings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -442,3 +445,50 @@ def control_drilldown(spark, sf_dir):
 @_query
 def evidence_sources(spark, sf_dir):
     return correlation.evidence_sources(rel.controls_b(spark), _assessment_b(spark, sf_dir), rel.evidence_b(spark))
+
+
+# ---- streaming --------------------------------------------------------------
+
+
+def _stream(spark: SparkSession, deliveries: list[DataFrame]):
+    """Write each delivery of events to a feed folder and drain the stream after
+    it, as a scheduled job would; returns the ledger and what each load did."""
+    ledger = Ledger(spark, scratch_dir(spark, "ledger"))
+    feed, checkpoint = scratch_dir(spark, "feed"), scratch_dir(spark, "offsets")
+    results = []
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(feed)
+        arriving = rel.sightings_a(spark.readStream.schema(delivery.schema).parquet(feed))
+        sightings = arriving.withColumn("source", F.lit(DEFAULT_SOURCE))
+        watch_sightings(ledger, sightings, checkpoint, results.append).awaitTermination()
+    return ledger, results
+
+
+@_query
+def stream_register(spark, sf_dir):
+    """Scans delivered in three lots, oldest first."""
+    events = rel.table(spark, sf_dir, "events")
+    lot = F.when(F.col("ts") < "2024-01-11", 1).when(F.col("ts") < "2024-01-21", 2).otherwise(3)
+    ledger, _ = _stream(spark, [events.filter(lot == i) for i in (1, 2, 3)])
+    return ledger.register().drop("first_seen")
+
+
+@_query
+def stream_late(spark, sf_dir):
+    """One mid-month scan arrives after all others: its facts are kept, the
+    register does not move."""
+    events = rel.table(spark, sf_dir, "events")
+    late = F.to_date("ts") == F.lit("2024-01-15").cast("date")
+    ledger, _ = _stream(spark, [events.filter(~late), events.filter(late)])
+    stored = ledger.table("finding").agg(F.count("*").alias("n")).scalar()
+    return ledger.register().select("host", "plugin_id", "opened_on", "closed_on", stored.alias("facts_stored"))
+
+
+@_query
+def stream_replay(spark, sf_dir):
+    """Everything delivered twice: the second time nothing lands or moves."""
+    events = rel.table(spark, sf_dir, "events")
+    _, results = _stream(spark, [events, events])
+    rows = [(i, r.landed, sum(m.opened + m.reopened + m.closed for m in r.moves)) for i, r in enumerate(results, 1)]
+    schema = StructType([StructField(c, LongType()) for c in ("delivery", "landed", "moved")])
+    return local_frame(spark, rows, schema)

@@ -21,6 +21,7 @@ from driftledger.functions.identity import DEFAULT_SOURCE, run_id, scan_month
 from driftledger.functions.payload import to_payload
 from driftledger.operators.facts import dedup_facts
 from driftledger.schemas import CONTROL, FINDING, PLUGIN_CONTROL
+from driftledger.session import local_frame
 
 # Check id and severity of each event type.
 EVENT_CHECKS = {"error": (104, 4), "purchase": (103, 3), "click": (102, 2), "view": (101, 1), "signup": (100, 0)}
@@ -103,8 +104,8 @@ def _runs(dates: DataFrame) -> DataFrame:
 
 
 def controls_b(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CONTROLS_B, CONTROL)
+    return local_frame(spark, CONTROLS_B, CONTROL)
 
 
 def evidence_b(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVIDENCE_B, PLUGIN_CONTROL)
+    return local_frame(spark, EVIDENCE_B, PLUGIN_CONTROL)

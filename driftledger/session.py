@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,3 +51,27 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="driftledger-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_ARROW_TYPES = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "smallint": pa.int16(),
+    "bigint": pa.int64(),
+    "timestamp": pa.int64(),
+    "date": pa.date32(),
+}
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A short driver-side list as a relation whose size the planner knows.
+
+    Timestamps are given as microseconds since the epoch, free of any time zone.
+    """
+    kinds = [f.dataType.simpleString() for f in schema.fields]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    arrays = [pa.array(values, _ARROW_TYPES[kind]) for values, kind in zip(columns, kinds)]
+    frame = spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.names))
+    return frame.select(
+        *[F.timestamp_micros(n).alias(n) if kind == "timestamp" else F.col(n) for n, kind in zip(schema.names, kinds)]
+    )

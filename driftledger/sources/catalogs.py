@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from driftledger.schemas import CONTROL, PLUGIN, PLUGIN_CONTROL
+from driftledger.session import local_frame
 
 # Check id, name, default severity.
 PLUGINS = """
@@ -64,16 +65,16 @@ def _rows(text: str) -> list[list[str]]:
 
 def plugin_catalog(spark: SparkSession) -> DataFrame:
     rows = [(int(code), name, int(severity)) for code, name, severity in _rows(PLUGINS)]
-    return spark.createDataFrame(rows, PLUGIN)
+    return local_frame(spark, rows, PLUGIN)
 
 
 def control_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([tuple(row) for row in _rows(CONTROLS)], CONTROL)
+    return local_frame(spark, [tuple(row) for row in _rows(CONTROLS)], CONTROL)
 
 
 def evidence_map(spark: SparkSession) -> DataFrame:
     rows = [(int(code), control) for control, codes in _rows(EVIDENCE) for code in codes.split()]
-    return spark.createDataFrame(rows, PLUGIN_CONTROL)
+    return local_frame(spark, rows, PLUGIN_CONTROL)
 
 
 def load_csv(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -54,7 +54,7 @@ def export_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     reader = spark.read.format("binaryFile")
     files = _load_or_none(_only_exports(reader, path), path)
     if files is None:
-        return spark.createDataFrame([], "file string")
+        return spark.range(0).select(F.lit("").alias("file"))
     return files.select(F.col("_metadata.file_path").alias("file"))
 
 
