@@ -21,6 +21,8 @@ from driftledger.sources.scan_export import FILE_PATTERN
 
 Report = Callable[[LoadResult], None]
 
+FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def watch_exports(
     ledger: Ledger,
@@ -39,6 +41,7 @@ def watch_exports(
     """
     names = (
         ledger.spark.readStream.format("binaryFile")
+        .schema(FILE_LISTING)
         .option("pathGlobFilter", FILE_PATTERN)
         .option("maxFilesPerTrigger", max_files)
         .load(folder)
