@@ -6,19 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The recorded source of scanner exports, the text form of a scan
-# time (seven fractional digits, explicit offset), the month label and the byte
-# order of a GUID built from a digest.
+# time (seven fractional digits, explicit offset), the month label, and a
+# digest's bytes with the order in which a GUID shows them.
 DEFAULT_SOURCE = "acas-nessus"
 SCAN_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0+00:00'"
 MONTH_FORMAT = "yyyy_MM"
-GUID_BYTE_ORDER = r"^(..)(..)(..)(..)(..)(..)(..)(..)(....)(.{12})$"
+DIGEST_BYTES = r"^(..)(..)(..)(..)(..)(..)(..)(..)(....)(.{12})$"
 GUID_LAYOUT = "$4$3$2$1-$6$5-$8$7-$9-$10"
 
 
 def run_id(source: Column, scanned_at: Column) -> Column:
     """The id a scan gets on every delivery: a digest of its source and time."""
     digest = F.md5(F.concat_ws("|", source, F.date_format(scanned_at, SCAN_TIME_FORMAT)))
-    return F.regexp_replace(digest, GUID_BYTE_ORDER, GUID_LAYOUT)
+    return F.regexp_replace(digest, DIGEST_BYTES, GUID_LAYOUT)
 
 
 def scan_month(scanned_at: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftledger.functions import policy
-from driftledger.operators.scans import earliest_findings, latest_findings
+from driftledger.operators.scans import earliest_scan, latest_findings
 from driftledger.sources.catalogs import ASSESSOR
 
 
@@ -60,18 +60,18 @@ def assess_controls(
     A control fails where a check mapped to it reported high or critical then;
     lesser evidence never reaches the record.
     """
+    first = earliest_scan(scan_run)
     # Reduced to the distinct failing checks before it meets the map.
     failing = (
-        earliest_findings(finding, scan_run)
+        (first.findings(finding) if first else finding.limit(0))
         .filter(policy.is_serious(F.col("severity")))
         .select("plugin_id")
         .distinct()
     )
     failed = plugin_control.join(failing, "plugin_id", "left_semi").select("control_id").distinct()
-    first_time = scan_run.agg(F.min("scanned_at").alias("v")).scalar()
     return control.join(failed.withColumn("_failed", F.lit(True)), "control_id", "left").select(
         F.lit(export_id).alias("export_id"),
-        first_time.alias("exported_at"),
+        (first.time if first else F.lit(None).cast("timestamp")).alias("exported_at"),
         "control_id",
         F.when(F.col("_failed"), policy.NON_COMPLIANT).otherwise(policy.COMPLIANT).alias("compliance"),
         F.lit(assessed_by).alias("assessed_by"),

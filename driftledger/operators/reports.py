@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftledger.functions import policy
 from driftledger.operators.register import KEY
-from driftledger.operators.scans import is_latest, latest_findings, newest_date, newest_time, two_newest
+from driftledger.operators.scans import in_months, latest_findings, newest_date, newest_scan, newest_scans
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -50,26 +50,20 @@ def delta(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
     A full outer match of two scans is the presence of a key in each, so one
     aggregation over both replaces reading and sorting them apart.
     """
-    pair = two_newest(scan_run)
-    floor = pair.agg(F.min("scanned_at").alias("v")).scalar()
-    candidates = _since(finding, floor, pair)
+    pair = newest_scans(scan_run, 2)
+    absent = F.lit(False)
+    now = pair[0].holds() if pair else absent
+    before = pair[1].holds() if len(pair) > 1 else absent
     presence = (
-        candidates.select("scan_run_id", *KEY)
-        .join(F.broadcast(pair.select("scan_run_id", "rn")), "scan_run_id")  # two rows at most
+        in_months(finding, pair)
+        .filter(now | before)
         .groupBy(*KEY)
-        .agg(F.max(F.col("rn") == 1).alias("now"), F.max(F.col("rn") == 2).alias("before"))
+        .agg(F.max(now).alias("now"), F.max(before).alias("before"))
     )
     status = F.when(~F.col("before"), "new").when(~F.col("now"), "resolved").otherwise("still open")
     return presence.groupBy(status.alias("status")).agg(F.count("*").alias("n")).orderBy("status")
 
 
-def _since(finding: DataFrame, floor, pair: DataFrame) -> DataFrame:
-    if "scan_month" in finding.columns:
-        month = pair.agg(F.date_format(F.min("scanned_at"), "yyyy_MM").alias("v")).scalar()
-        finding = finding.filter(F.col("scan_month") >= month)
-    return finding.filter(F.col("scanned_at") >= floor)
-
-
 def aging(finding: DataFrame, scan_run: DataFrame, first_seen: DataFrame | None = None) -> DataFrame:
     """Per severity of the newest scan: count and mean days since first sighting.
 
@@ -77,20 +71,23 @@ def aging(finding: DataFrame, scan_run: DataFrame, first_seen: DataFrame | None
     keeps, only the newest scan is read. Without it the history is read once,
     reduced per key with map-side combining, and never joined to itself.
     """
-    if first_seen is not None:
-        latest = latest_findings(finding, scan_run).select(*KEY, "severity")
+    newest = newest_scan(scan_run)
+    if newest is None:
+        open_now = finding.limit(0).withColumn("first_seen", F.col("scanned_at"))
+    elif first_seen is not None:
+        latest = newest.findings(finding).select(*KEY, "severity")
         open_now = latest.join(first_seen.select(*KEY, "first_seen"), KEY)
     else:
         open_now = (
-            finding.withColumn("_now", is_latest(scan_run))
-            .groupBy(*KEY)
+            finding.groupBy(*KEY)
             .agg(
                 F.min("scanned_at").alias("first_seen"),
-                F.max(F.when(F.col("_now"), F.col("severity"))).alias("severity"),
+                F.max(F.when(newest.holds(), F.col("severity"))).alias("severity"),
             )
             .filter(F.col("severity").isNotNull())
         )
-    age = (F.unix_micros(newest_time(scan_run)) - F.unix_micros("first_seen")).cast("decimal(18,0)")
+    as_of = F.lit(newest.micros if newest else None)
+    age = (as_of - F.unix_micros("first_seen")).cast("decimal(18,0)")
     mean_days = F.sum("_age") / (F.count("*") * F.lit(MICROS_PER_DAY)).cast("decimal(20,0)")
     return (
         open_now.withColumn("_age", age)
@@ -133,15 +130,15 @@ def by_owner(register: DataFrame, scan_run: DataFrame) -> DataFrame:
 
 def overdue(register: DataFrame, scan_run: DataFrame) -> DataFrame:
     """Every open commitment past its deadline, with how late it is."""
-    late = F.col("due_on") < newest_date(scan_run)
-    return _open(register).filter(late).select(
+    as_of = newest_date(scan_run)
+    return _open(register).filter(F.col("due_on") < as_of).select(
         "owner",
         "host",
         "plugin_id",
         "plugin_name",
         "severity",
         F.date_format("due_on", "yyyy-MM-dd").alias("due_on"),
-        F.datediff(newest_date(scan_run), F.col("due_on")).alias("days_overdue"),
+        F.datediff(as_of, F.col("due_on")).alias("days_overdue"),
     )
 
 

@@ -1,88 +1,117 @@
 """Choosing scans: newest, earliest, their order, and the facts they hold.
 
-The chosen scan reaches the fact table as scalar subqueries on ``scanned_at``,
-``scan_run_id`` and, when stored, ``scan_month``: the month prunes partitions
-and the time prunes row groups before a fact row is read.
+A chosen scan is looked up in the scan list first and reaches the fact table as
+literals: its month prunes partitions and its time prunes row groups before a
+fact row is read.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from driftledger.functions.identity import scan_month
+from driftledger.schemas import SCAN_RUN
+from driftledger.session import local_frame
 
+SCANS = StructType([SCAN_RUN[name] for name in ("scan_run_id", "scanned_at", "source")])
 
-def _newest_key() -> Column:
-    return F.struct(-F.unix_micros("scanned_at"), F.col("scan_run_id"))
 
+@dataclass(frozen=True)
+class Scan:
+    scan_run_id: str
+    micros: int
 
-def _oldest_key() -> Column:
-    return F.struct(F.unix_micros("scanned_at"), F.col("scan_run_id"))
+    @property
+    def time(self) -> Column:
+        return F.timestamp_micros(F.lit(self.micros))
 
+    def holds(self) -> Column:
+        """Whether a fact belongs to this scan."""
+        return (F.col("scanned_at") == self.time) & (F.col("scan_run_id") == self.scan_run_id)
 
-def latest_run(scan_run: DataFrame) -> DataFrame:
-    """The newest scan of all sources; equal times go to the lesser id."""
-    return scan_run.orderBy(F.desc("scanned_at"), F.asc("scan_run_id")).limit(1)
+    def findings(self, finding: DataFrame) -> DataFrame:
+        return in_months(finding, [self]).filter(self.holds())
 
 
-def earliest_run(scan_run: DataFrame) -> DataFrame:
-    return scan_run.orderBy(F.asc("scanned_at"), F.asc("scan_run_id")).limit(1)
+def in_months(finding: DataFrame, scans: list[Scan]) -> DataFrame:
+    """Only the partitions the scans are stored in, where facts are stored by month."""
+    if "scan_month" not in finding.columns:
+        return finding
+    return finding.filter(F.col("scan_month").isin([scan_month(s.time) for s in scans]))
 
 
-def newest_time(scan_run: DataFrame) -> Column:
-    return scan_run.agg(F.max("scanned_at").alias("v")).scalar()
+def newest_scans(scan_run: DataFrame, n: int) -> list[Scan]:
+    """The ``n`` newest scans of all sources; equal times go to the lesser id."""
+    return _lookup(scan_run.orderBy(F.desc("scanned_at"), F.asc("scan_run_id")).limit(n))
 
 
-def newest_date(scan_run: DataFrame) -> Column:
-    """The "as of" date: lateness is measured from the last time anyone looked."""
-    return scan_run.agg(F.to_date(F.max("scanned_at")).alias("v")).scalar()
+def earliest_scan(scan_run: DataFrame) -> Scan | None:
+    return next(iter(_lookup(earliest_run(scan_run))), None)
 
 
-def is_latest(scan_run: DataFrame) -> Column:
-    """Whether a fact belongs to the newest scan."""
-    run = scan_run.agg(F.min_by("scan_run_id", _newest_key()).alias("v")).scalar()
-    return (F.col("scanned_at") == newest_time(scan_run)) & (F.col("scan_run_id") == run)
+def newest_scan(scan_run: DataFrame) -> Scan | None:
+    return next(iter(newest_scans(scan_run, 1)), None)
 
 
-def latest_findings(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
-    month = scan_run.agg(scan_month(F.max("scanned_at")).alias("v")).scalar()
-    return _in_month(finding, month).filter(is_latest(scan_run))
+def _lookup(chosen: DataFrame) -> list[Scan]:
+    return [Scan(*row) for row in chosen.select("scan_run_id", F.unix_micros("scanned_at")).collect()]
 
 
-def earliest_findings(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
-    time = scan_run.agg(F.min("scanned_at").alias("v")).scalar()
-    month = scan_run.agg(scan_month(F.min("scanned_at")).alias("v")).scalar()
-    run = scan_run.agg(F.min_by("scan_run_id", _oldest_key()).alias("v")).scalar()
-    return _in_month(finding, month).filter((F.col("scanned_at") == time) & (F.col("scan_run_id") == run))
+def latest_run(scan_run: DataFrame) -> DataFrame:
+    return scan_run.orderBy(F.desc("scanned_at"), F.asc("scan_run_id")).limit(1)
 
 
-def _in_month(finding: DataFrame, month: Column) -> DataFrame:
-    if "scan_month" in finding.columns:
-        return finding.filter(F.col("scan_month") == month)
-    return finding
+def earliest_run(scan_run: DataFrame) -> DataFrame:
+    return scan_run.orderBy(F.asc("scanned_at"), F.asc("scan_run_id")).limit(1)
 
 
-def two_newest(scan_run: DataFrame) -> DataFrame:
-    """(scan_run_id, scanned_at, rn) of the newest scan and the one before it."""
-    pair = scan_run.select("scan_run_id", "scanned_at").orderBy(F.desc("scanned_at"), F.asc("scan_run_id")).limit(2)
-    # The window sees two rows.
-    order = Window.orderBy(F.desc("scanned_at"), F.asc("scan_run_id"))
-    return pair.withColumn("rn", F.row_number().over(order))
+def newest_date(scan_run: DataFrame) -> Column:
+    """The "as of" date: lateness is measured from the last time anyone looked."""
+    newest = newest_scan(scan_run)
+    return F.to_date(newest.time) if newest else F.lit(None).cast("date")
+
+
+def latest_findings(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
+    newest = newest_scan(scan_run)
+    return newest.findings(finding) if newest else finding.limit(0)
 
 
 def scan_chain(scan_run: DataFrame) -> DataFrame:
     """Scans the register is reconciled against, each with its neighbours' times.
 
-    One row per scan time (the lesser id where two sources share an instant), so
-    the window below runs over the scan list, never over facts.
+    One row per scan time (the lesser id where two sources share an instant).
+    The windows run over the scan list, never over facts.
     """
-    runs = scan_run.groupBy("scanned_at").agg(F.min("scan_run_id").alias("scan_run_id"))
-    order = Window.orderBy("scanned_at")
+    in_order = Window.orderBy("scanned_at", "scan_run_id")
+    runs = (
+        scan_run.select("scan_run_id", "scanned_at")
+        .distinct()
+        .withColumn("_same", F.lag("scanned_at").over(in_order) == F.col("scanned_at"))
+        .filter(~F.coalesce("_same", F.lit(False)))
+    )
     return runs.select(
         "scan_run_id",
         "scanned_at",
-        F.row_number().over(order).alias("scan_rank"),
-        F.lag("scanned_at").over(order).alias("prev_at"),
-        F.lead("scanned_at").over(order).alias("next_at"),
+        F.row_number().over(in_order).alias("scan_rank"),
+        F.lag("scanned_at").over(in_order).alias("prev_at"),
+        F.lead("scanned_at").over(in_order).alias("next_at"),
+    )
+
+
+def listed(scan_run: DataFrame, most: int = 200_000) -> DataFrame:
+    """The scan list as a relation of known size, if it has at most ``most`` scans.
+
+    A list derived from a large table looks large to the planner, which would
+    then shuffle facts to meet it. Counting it first proves it may be broadcast;
+    a longer list is returned as it came and joined by shuffling.
+    """
+    rows = (
+        scan_run.select("scan_run_id", F.unix_micros("scanned_at").alias("at"), "source").limit(most + 1).collect()
     )
+    if len(rows) > most:
+        return scan_run
+    return local_frame(scan_run.sparkSession, [tuple(r) for r in rows], SCANS)

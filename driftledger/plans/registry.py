@@ -45,6 +45,9 @@ def _export_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema. A day and event type is a file; views are nameless hosts, clicks
     carry only the text time, signups none, and purchases a broken check id."""
     e = rel.table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    if e.rdd.getNumPartitions() < cores:
+        e = e.repartition(cores)  # parsing is the work; a small table is one split
     kind = F.col("event_type")
     code = policy.lookup(kind, {k: v[0] for k, v in rel.EVENT_CHECKS.items()}, -1)
     k = F.get_json_object("props", "$.k").cast("int")
@@ -64,7 +67,8 @@ def _export_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     host = F.from_xml(xml, F.lit(EXPORT_HOST.simpleString()), {"rowTag": "ReportHost", "mode": "FAILFAST"})
     file = F.concat_ws("/", F.date_format("ts", "yyyy-MM-dd"), kind)
-    return e.select(file.alias("file"), host.alias("h")).select("file", "h.*")
+    # Generated, so that each text is parsed once however often its parts are used.
+    return e.select(file.alias("file"), F.inline(F.array(host)))
 
 
 @_query
@@ -170,7 +174,8 @@ def replay_landed(spark, sf_dir):
 def insert_if_absent(spark, sf_dir):
     """Order months are registered scans; ship months arrive, and the new ones stay."""
     months = rel.table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "MM").alias("d")).distinct()
-    new = keyed.insert_if_absent(rel.scan_run_b(spark, sf_dir), rel._runs(months), ["scan_run_id"])
+    shipped = rel.scan_run_b(spark, sf_dir).select(F.to_date("scanned_at").alias("d"))
+    new = keyed.insert_if_absent(rel.runs_on(shipped), rel.runs_on(months), ["scan_run_id"])
     return _dated(new).select("d", "source", "scan_run_id")
 
 

@@ -20,6 +20,7 @@ from driftledger.functions import policy
 from driftledger.functions.identity import DEFAULT_SOURCE, run_id, scan_month
 from driftledger.functions.payload import to_payload
 from driftledger.operators.facts import dedup_facts
+from driftledger.operators.scans import listed
 from driftledger.schemas import CONTROL, FINDING, PLUGIN_CONTROL
 from driftledger.session import local_frame
 
@@ -63,7 +64,7 @@ def finding_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_run_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
-    return _runs(days)
+    return runs_on(days)
 
 
 def raw_a(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +84,7 @@ def finding_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned_at = F.col("d").cast("timestamp")
     return keys.distinct().select(
         scanned_at.alias("scanned_at"),
-        run_id(F.lit(DEFAULT_SOURCE), scanned_at).alias("scan_run_id"),
+        F.col("d").cast("string").alias("scan_run_id"),
         F.concat("supplier", F.lit("-"), F.year("d")).alias("host"),
         "plugin_id",
         F.concat(F.lit("check "), "plugin_id", F.lit(" rev "), F.col("supplier") % 2).alias("plugin_name"),
@@ -95,12 +96,17 @@ def finding_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_run_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = table(spark, sf_dir, "lineitem").select(F.trunc("l_shipdate", "MM").alias("d")).distinct()
-    return _runs(months)
+    at = F.col("d").cast("timestamp")
+    return listed(
+        months.select(F.col("d").cast("string").alias("scan_run_id"), at.alias("scanned_at"), F.lit(DEFAULT_SOURCE).alias("source"))
+    )
 
 
-def _runs(dates: DataFrame) -> DataFrame:
+def runs_on(dates: DataFrame) -> DataFrame:
+    """A scan per date ``d``."""
     at = F.col("d").cast("timestamp")
-    return dates.select(run_id(F.lit(DEFAULT_SOURCE), at).alias("scan_run_id"), at.alias("scanned_at"), F.lit(DEFAULT_SOURCE).alias("source"))
+    source = F.lit(DEFAULT_SOURCE)
+    return listed(dates.select(run_id(source, at).alias("scan_run_id"), at.alias("scanned_at"), source.alias("source")))
 
 
 def controls_b(spark: SparkSession) -> DataFrame:
