@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from driftledger import schemas
-from driftledger.functions.identity import DEFAULT_SOURCE, MONTH_FORMAT
+from driftledger.functions.identity import DEFAULT_SOURCE, scan_month
 from driftledger.functions.payload import to_payload
 from driftledger.operators import correlation, facts, keyed, quality, register, reports
 from driftledger.session import local_frame, pin_utc, scratch_dir
@@ -40,6 +40,9 @@ TABLES = {
 }
 
 
+PARTITIONED = {"raw_finding": ["scan_run_id"], "finding": ["scan_month"]}
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """``landed``: new fact rows. ``moves``: one row per scan reconciled, with
@@ -55,8 +58,12 @@ class Ledger:
         self.root = root.rstrip("/")
         self.inventory = inventory
         for name, schema in TABLES.items():
-            # Leaves a table that exists alone.
-            local_frame(self.spark, [], schema).write.mode("ignore").parquet(f"{self.root}/{name}")
+            self._ensure(name, schema, PARTITIONED.get(name, []))
+
+    def _ensure(self, path: str, schema: StructType, partitioned_by: list[str]) -> None:
+        """Create an empty table, leaving one that exists alone."""
+        empty = local_frame(self.spark, [], schema)
+        empty.write.mode("ignore").partitionBy(*partitioned_by).parquet(f"{self.root}/{path}")
 
     # ---- reading ------------------------------------------------------------
 
@@ -129,23 +136,28 @@ class Ledger:
             f"{self.root}/raw_finding"
         )
 
-    def _facts_of(self, runs: DataFrame, name: str = "finding") -> DataFrame:
-        """Stored facts seen at the runs' times, read from their months only."""
+    def _facts_of(self, runs: DataFrame) -> DataFrame:
+        """Stored facts seen at the runs' times. Only their months are opened, so
+        the files of the rest of history are not even listed."""
         bounds = runs.agg(
             F.min("scanned_at").alias("low"),
             F.max("scanned_at").alias("high"),
-            F.collect_set(F.date_format("scanned_at", MONTH_FORMAT)).alias("months"),
+            F.collect_set(scan_month(F.col("scanned_at"))).alias("months"),
         ).first()
-        return self.table(name).filter(
-            F.col("scan_month").isin(bounds.months) & F.col("scanned_at").between(bounds.low, bounds.high)
-        )
+        stored = StructType([f for f in schemas.FINDING.fields if f.name != "scan_month"])
+        for month in bounds.months:
+            self._ensure(f"finding/scan_month={month}", stored, [])
+        reader = self.spark.read.schema(schemas.FINDING).option("basePath", f"{self.root}/finding")
+        facts_then = reader.parquet(*[f"{self.root}/finding/scan_month={m}" for m in sorted(bounds.months)])
+        return facts_then.filter(F.col("scanned_at").between(bounds.low, bounds.high))
 
     def _store_facts(self, runs: DataFrame) -> int:
-        landed = self.table("raw_finding").join(runs.select("scan_run_id"), "scan_run_id", "left_semi")
+        ids = [r.scan_run_id for r in runs.select("scan_run_id").collect()]
+        landed = self.table("raw_finding").filter(F.col("scan_run_id").isin(ids))  # whole partitions
         arriving = facts.project_facts(landed, runs)
         counted = Observation("landed")
         fresh = facts.new_facts(arriving, self._facts_of(runs)).select(*schemas.FINDING.names)
-        months = runs.select(F.date_format("scanned_at", MONTH_FORMAT)).distinct().count()
+        months = runs.select(scan_month(F.col("scanned_at"))).distinct().count()
         if months > 1:
             # A backfill would scatter every month over every task's output. The
             # rebalance is by size, so one month's bulk is still split.
