@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftledger.functions.identity import scan_month
 from driftledger.functions.payload import project_payload
 from driftledger.operators.keyed import insert_if_absent, keep_first
-from driftledger.schemas import FINDING
 
 # A fact is identified by when it was seen, where, and by which check; source
 # and run id are not part of it.
@@ -18,20 +16,18 @@ FACT_KEY = ["scanned_at", "host", "plugin_id"]
 def project_facts(raw_finding: DataFrame, scan_run: DataFrame) -> DataFrame:
     """Typed facts from landed payloads; the scan's time is joined from its run."""
     typed = project_payload(raw_finding.select("landing_seq", "scan_run_id", "payload"))
-    times = scan_run.select("scan_run_id", "scanned_at")
-    return typed.join(times, "scan_run_id").withColumn("scan_month", scan_month(F.col("scanned_at")))
+    return typed.join(scan_run.select("scan_run_id", "scanned_at"), "scan_run_id")
 
 
 def dedup_facts(facts: DataFrame) -> DataFrame:
-    """First landed row per fact key, ties broken by worst severity, then text."""
-    order = [
-        F.col("landing_seq"),
-        -F.col("severity").cast("int"),
-        F.coalesce("cve", F.lit("")),
-        F.col("plugin_name"),
-        F.col("scan_run_id"),
-    ]
-    return keep_first(facts, FACT_KEY, order).select(*FINDING.names)
+    """First landed row per fact key, ties broken by worst severity, then cve."""
+    carried = [c for c in ("cve", "plugin_name", "severity", "scan_run_id") if c in facts.columns]
+    first = keep_first(
+        facts.select(*FACT_KEY, "landing_seq", *carried),
+        FACT_KEY,
+        [F.col("landing_seq"), -F.col("severity").cast("int")],
+    )
+    return first.drop("landing_seq")
 
 
 def new_facts(facts: DataFrame, stored: DataFrame) -> DataFrame:

@@ -11,22 +11,20 @@ from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the least by ``order``, which should be total."""
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
-    )
+    """One row per key: the least by ``order``, then by the other columns as they
+    stand, so the choice never depends on how rows were distributed."""
+    return _extreme(F.min, df, keys, order)
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    return _extreme(F.max, df, keys, order)
+
+
+def _extreme(pick, df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    ranked = [column.alias(f"_order{i}") for i, column in enumerate(order)]
     rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
-    )
+    chosen = df.groupBy(*keys).agg(pick(F.struct(*ranked, *rest)).alias("_row"))
+    return chosen.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

@@ -156,7 +156,8 @@ class Ledger:
         landed = self.table("raw_finding").filter(F.col("scan_run_id").isin(ids))  # whole partitions
         arriving = facts.project_facts(landed, runs)
         counted = Observation("landed")
-        fresh = facts.new_facts(arriving, self._facts_of(runs)).select(*schemas.FINDING.names)
+        fresh = facts.new_facts(arriving, self._facts_of(runs))
+        fresh = fresh.withColumn("scan_month", scan_month(F.col("scanned_at"))).select(*schemas.FINDING.names)
         months = runs.select(scan_month(F.col("scanned_at"))).distinct().count()
         if months > 1:
             # A backfill would scatter every month over every task's output. The

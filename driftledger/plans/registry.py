@@ -160,7 +160,7 @@ def dedup_fact(spark, sf_dir):
 @_query
 def replay_landed(spark, sf_dir):
     """Load everything, then deliver the newest scan again: what lands each time."""
-    arriving = rel.sightings_a(rel.table(spark, sf_dir, "events"))
+    arriving = rel.with_run(rel.sightings_a(rel.table(spark, sf_dir, "events")))
     stored = rel.finding_a(spark, sf_dir)
     nothing = stored.limit(0)
     again = scans.latest_findings(arriving, rel.scan_run_a(spark, sf_dir))

@@ -39,27 +39,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sightings_a(events: DataFrame) -> DataFrame:
-    """Every event as a landed sighting, duplicates included."""
+    """Every event as a sighting, duplicates included."""
     check = F.col("event_type")
     code = policy.lookup(check, {k: v[0] for k, v in EVENT_CHECKS.items()}, -1)
     severity = policy.lookup(check, {k: v[1] for k, v in EVENT_CHECKS.items()}, 0)
     k = F.get_json_object("props", "$.k")
-    scanned_at = F.to_date("ts").cast("timestamp")
     return events.select(
         F.col("event_id").alias("landing_seq"),
-        scanned_at.alias("scanned_at"),
-        run_id(F.lit(DEFAULT_SOURCE), scanned_at).alias("scan_run_id"),
+        F.to_date("ts").cast("timestamp").alias("scanned_at"),
         F.col("user_id").cast("string").alias("host"),
         code.cast("int").alias("plugin_id"),
         check.alias("plugin_name"),
         severity.cast("smallint").alias("severity"),
         F.when(check == "error", F.concat(F.lit("CVE-2024-"), F.lpad(k, 4, "0"))).alias("cve"),
-        scan_month(scanned_at).alias("scan_month"),
     )
 
 
+def with_run(sightings: DataFrame) -> DataFrame:
+    return sightings.withColumn("scan_run_id", run_id(F.lit(DEFAULT_SOURCE), F.col("scanned_at")))
+
+
 def finding_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_facts(sightings_a(table(spark, sf_dir, "events")))
+    facts = with_run(dedup_facts(sightings_a(table(spark, sf_dir, "events"))))
+    return facts.withColumn("scan_month", scan_month(F.col("scanned_at"))).select(*FINDING.names)
 
 
 def scan_run_a(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +71,8 @@ def scan_run_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing form: run id and JSON payload."""
-    return sightings_a(table(spark, sf_dir, "events")).select("landing_seq", "scan_run_id", to_payload().alias("payload"))
+    landed = with_run(sightings_a(table(spark, sf_dir, "events")))
+    return landed.select("landing_seq", "scan_run_id", to_payload().alias("payload"))
 
 
 def finding_b(spark: SparkSession, sf_dir: str) -> DataFrame:
