@@ -196,8 +196,8 @@ def catalog_upsert(spark, sf_dir):
 def export_append(spark, sf_dir):
     """Assess, then assess again under the same export id: the export is frozen,
     so nothing is added and its row count is what it contains."""
-    stored = _assessment_b(spark, sf_dir)
-    again = _assessment_b(spark, sf_dir).withColumn("compliance", F.lit(policy.COMPLIANT))
+    stored = _assessment_b(spark, *_b(spark, sf_dir))
+    again = stored.withColumn("compliance", F.lit(policy.COMPLIANT))
     added = keyed.insert_if_absent(again, stored, ["export_id", "control_id"])
     return stored.unionByName(added).groupBy("export_id").agg(
         F.count("*").alias("contained"), F.count_if(F.col("compliance") == policy.NON_COMPLIANT).alias("failed")
@@ -379,14 +379,13 @@ def backlog_total(spark, sf_dir):
 # ---- assessment and correlation ---------------------------------------------
 
 
-def _assessment_b(spark, sf_dir):
-    finding, runs = _b(spark, sf_dir)
+def _assessment_b(spark, finding, runs):
     return correlation.assess_controls(rel.controls_b(spark), rel.evidence_b(spark), finding, runs, rel.EXPORT_ID_B)
 
 
-def _statuses_b(spark, sf_dir):
+def _statuses_b(spark, finding, runs):
     """Two exports: the assessment, and an older one that passed everything."""
-    current = _assessment_b(spark, sf_dir)
+    current = _assessment_b(spark, finding, runs)
     older = current.withColumn("export_id", F.lit("00000000-0000-4000-8000-000000000000")).withColumn(
         "exported_at", F.col("exported_at") - F.expr("INTERVAL 30 DAYS")
     ).withColumn("compliance", F.lit(policy.COMPLIANT))
@@ -395,12 +394,12 @@ def _statuses_b(spark, sf_dir):
 
 @_query
 def assess_controls(spark, sf_dir):
-    return _dated(_assessment_b(spark, sf_dir), "exported_at", "exported_on")
+    return _dated(_assessment_b(spark, *_b(spark, sf_dir)), "exported_at", "exported_on")
 
 
 @_query
 def latest_export(spark, sf_dir):
-    return _dated(correlation.latest_export(_statuses_b(spark, sf_dir)), "exported_at", "exported_on")
+    return _dated(correlation.latest_export(_statuses_b(spark, *_b(spark, sf_dir))), "exported_at", "exported_on")
 
 
 @_query
@@ -422,7 +421,7 @@ def control_evidence(spark, sf_dir):
 
 def _correlated(spark, sf_dir):
     finding, runs = _b(spark, sf_dir)
-    return correlation.correlate(_statuses_b(spark, sf_dir), rel.controls_b(spark), rel.evidence_b(spark), finding, runs)
+    return correlation.correlate(_statuses_b(spark, finding, runs), rel.controls_b(spark), rel.evidence_b(spark), finding, runs)
 
 
 @_query
@@ -449,7 +448,8 @@ def control_drilldown(spark, sf_dir):
 
 @_query
 def evidence_sources(spark, sf_dir):
-    return correlation.evidence_sources(rel.controls_b(spark), _assessment_b(spark, sf_dir), rel.evidence_b(spark))
+    assessed = _assessment_b(spark, *_b(spark, sf_dir))
+    return correlation.evidence_sources(rel.controls_b(spark), assessed, rel.evidence_b(spark))
 
 
 # ---- streaming --------------------------------------------------------------
