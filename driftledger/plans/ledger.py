@@ -15,16 +15,17 @@ There is one writer at a time.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from driftledger import schemas
 from driftledger.functions.identity import DEFAULT_SOURCE, scan_month
 from driftledger.functions.payload import to_payload
 from driftledger.operators import correlation, facts, keyed, quality, register, reports
+from driftledger.operators.scans import SCANS, Scan
 from driftledger.session import local_frame, pin_utc, scratch_dir
 from driftledger.sources import catalogs, scan_export
 
@@ -43,6 +44,11 @@ TABLES = {
 PARTITIONED = {"raw_finding": ["scan_run_id"], "finding": ["scan_month"]}
 
 
+def _months(scans: list[Scan]) -> list[str]:
+    utc = [datetime.fromtimestamp(s.micros // 1_000_000, timezone.utc) for s in scans]
+    return sorted({f"{t:%Y_%m}" for t in utc})
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """``landed``: new fact rows. ``moves``: one row per scan reconciled, with
@@ -107,14 +113,13 @@ class Ledger:
         hosts.drop("HostProperties").write.parquet(staged_at)
         staged = self.spark.read.parquet(staged_at)
         files = scan_export.export_files(self.spark, path)
-        scans = self._listed(scan_export.scan_times(files, staged, fallback, source))
-        findings = scan_export.flatten_items(staged).join(scans.select("file", "scan_run_id"), "file")
-        return self.load(scans, findings)
-
-    def _listed(self, scans: DataFrame) -> DataFrame:
-        """The scan list of a delivery as a local relation: one short row per file."""
+        scans = scan_export.scan_times(files, staged, fallback, source).select("file", *SCANS.names)
+        # One short row per file of the delivery passes through the driver.
         rows = scans.withColumn("scanned_at", F.unix_micros("scanned_at")).collect()
-        return local_frame(self.spark, [tuple(r) for r in rows], scans.schema)
+        named = StructType([StructField("file", StringType()), *SCANS.fields])
+        files_to_runs = local_frame(self.spark, [tuple(r) for r in rows], named).select("file", "scan_run_id")
+        findings = scan_export.flatten_items(staged).join(files_to_runs, "file")
+        return self._load(sorted({tuple(r)[1:] for r in rows}), findings)
 
     def load(self, runs: DataFrame, findings: DataFrame) -> LoadResult:
         """Land, type, deduplicate and reconcile a delivery of any number of scans.
@@ -122,12 +127,17 @@ class Ledger:
         ``runs``: (scan_run_id, scanned_at, source). ``findings``: (scan_run_id,
         landing_seq, host, plugin_id, plugin_name, severity, cve).
         """
-        runs = self._listed(runs.select("scan_run_id", "scanned_at", "source").distinct())
-        if runs.isEmpty():
+        listed = runs.select("scan_run_id", F.unix_micros("scanned_at"), "source").distinct()
+        return self._load(sorted(tuple(r) for r in listed.collect()), findings)
+
+    def _load(self, rows: list[tuple[str, int, str]], findings: DataFrame) -> LoadResult:
+        if not rows:
             return LoadResult()
+        scans = [Scan(run, micros) for run, micros, _ in rows]
+        runs = local_frame(self.spark, rows, SCANS)
         self._land(findings)
-        landed = self._store_facts(runs)
-        return LoadResult(landed, self._reconcile(runs))
+        landed = self._store_facts(scans, runs)
+        return LoadResult(landed, self._reconcile(scans, runs))
 
     def _land(self, findings: DataFrame) -> None:
         findings.select(
@@ -136,30 +146,26 @@ class Ledger:
             f"{self.root}/raw_finding"
         )
 
-    def _facts_of(self, runs: DataFrame) -> DataFrame:
-        """Stored facts seen at the runs' times. Only their months are opened, so
+    def _facts_of(self, scans: list[Scan]) -> DataFrame:
+        """Stored facts seen at the scans' times. Only their months are opened, so
         the files of the rest of history are not even listed."""
-        bounds = runs.agg(
-            F.min("scanned_at").alias("low"),
-            F.max("scanned_at").alias("high"),
-            F.collect_set(scan_month(F.col("scanned_at"))).alias("months"),
-        ).first()
         stored = StructType([f for f in schemas.FINDING.fields if f.name != "scan_month"])
-        for month in bounds.months:
-            self._ensure(f"finding/scan_month={month}", stored, [])
+        months = [f"finding/scan_month={month}" for month in _months(scans)]
+        for month in months:
+            self._ensure(month, stored, [])
         reader = self.spark.read.schema(schemas.FINDING).option("basePath", f"{self.root}/finding")
-        facts_then = reader.parquet(*[f"{self.root}/finding/scan_month={m}" for m in sorted(bounds.months)])
-        return facts_then.filter(F.col("scanned_at").between(bounds.low, bounds.high))
-
-    def _store_facts(self, runs: DataFrame) -> int:
-        ids = [r.scan_run_id for r in runs.select("scan_run_id").collect()]
-        landed = self.table("raw_finding").filter(F.col("scan_run_id").isin(ids))  # whole partitions
-        arriving = facts.project_facts(landed, runs)
+        facts_then = reader.parquet(*[f"{self.root}/{month}" for month in months])
+        times = [s.micros for s in scans]
+        low, high = (F.timestamp_micros(F.lit(t)) for t in (min(times), max(times)))
+        return facts_then.filter(F.col("scanned_at").between(low, high))
+
+    def _store_facts(self, scans: list[Scan], runs: DataFrame) -> int:
+        delivered = F.col("scan_run_id").isin([s.scan_run_id for s in scans])  # whole partitions
+        arriving = facts.project_facts(self.table("raw_finding").filter(delivered), runs)
         counted = Observation("landed")
-        fresh = facts.new_facts(arriving, self._facts_of(runs))
+        fresh = facts.new_facts(arriving, self._facts_of(scans))
         fresh = fresh.withColumn("scan_month", scan_month(F.col("scanned_at"))).select(*schemas.FINDING.names)
-        months = runs.select(scan_month(F.col("scanned_at"))).distinct().count()
-        if months > 1:
+        if len(_months(scans)) > 1:
             # A backfill would scatter every month over every task's output. The
             # rebalance is by size, so one month's bulk is still split.
             fresh = fresh.hint("rebalance", "scan_month")
@@ -168,10 +174,9 @@ class Ledger:
         ).write.partitionBy("scan_month").mode("append").parquet(f"{self.root}/finding")
         return counted.get["n"]
 
-    def _reconcile(self, runs: DataFrame) -> list[Row]:
+    def _reconcile(self, scans: list[Scan], runs: DataFrame) -> list[Row]:
         version, synced_at = self._published()
-        registered = self.table("scan_run").select("scan_run_id", "scanned_at")
-        due = registered.unionByName(runs.select("scan_run_id", "scanned_at"))
+        due = self.table("scan_run").select(*SCANS.names).unionByName(runs)
         if synced_at is not None:
             due = due.filter(F.col("scanned_at") >= F.timestamp_micros(F.lit(synced_at)))
         chain = (
@@ -182,8 +187,9 @@ class Ledger:
         )
         first_step = 0 if synced_at is not None else 1
         steps = local_frame(self.spark, [(r.id, r.at, i) for i, r in enumerate(chain, first_step)], register.STEPS)
-        folding = steps.select("scan_run_id", "scanned_at").unionByName(runs.select("scan_run_id", "scanned_at")).distinct()
-        arrived = self._facts_of(folding).join(folding.select("scan_run_id"), "scan_run_id", "left_semi")
+        folding = sorted({*scans, *(Scan(r.id, r.at) for r in chain)}, key=lambda s: (s.micros, s.scan_run_id))
+        wanted = local_frame(self.spark, [(s.scan_run_id,) for s in folding], StructType([SCANS["scan_run_id"]]))
+        arrived = self._facts_of(folding).join(wanted, "scan_run_id", "left_semi")
         advanced = register.advance(self._register_version(version), arrived, steps, self.inventory)
         version += 1
         advanced.write.mode("overwrite").parquet(f"{self.root}/register/version={version}")
