@@ -52,7 +52,7 @@ def export_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The files themselves, so that one without hosts still counts as a scan.
     Only the path column is read, never the content."""
     reader = spark.read.format("binaryFile")
-    files = _load_or_none(_only_exports(reader, path), path)
+    files = _load_or_none(_only_exports(spark, reader, path), path)
     if files is None:
         return spark.range(0).select(F.lit("").alias("file"))
     return files.select(F.col("_metadata.file_path").alias("file"))
@@ -66,20 +66,29 @@ def export_hosts(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("rowTag", HOST_ELEMENT)
         .option("mode", "FAILFAST")
     )
-    hosts = _load_or_none(_only_exports(reader, path), path)
+    hosts = _load_or_none(_only_exports(spark, reader, path), path)
     if hosts is None:
         return spark.createDataFrame([], EXPORT_HOST).withColumn("file", F.lit(""))
     return hosts.withColumn("file", F.col("_metadata.file_path"))
 
 
-def _only_exports(reader, path):
-    # A directory is filtered by name; files that were named are taken as given.
+def _only_exports(spark, reader, path):
+    """A directory's files are filtered by name; a file that was named is taken as given."""
     named = path if isinstance(path, list) else [path]
-    if all(p.rsplit("/", 1)[-1].count(".") for p in named):
+    if any(_is_file_of_another_name(spark, p) for p in named):
         return reader
     return reader.option("pathGlobFilter", FILE_PATTERN)
 
 
+def _is_file_of_another_name(spark: SparkSession, path: str) -> bool:
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if "." not in name or name.endswith(FILE_PATTERN.lstrip("*")):
+        return False
+    # Keeps the path itself if it is a file, and nothing below it if it is a folder.
+    itself = _load_or_none(spark.read.format("binaryFile").option("pathGlobFilter", name), path)
+    return itself is not None and bool(itself.inputFiles())
+
+
 def _load_or_none(reader, path) -> DataFrame | None:
     if not path:
         return None

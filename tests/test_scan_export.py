@@ -110,6 +110,17 @@ def test_truncated_file_fails_the_load(spark, tmp_path):
         read(spark, str(tmp_path))
 
 
+def test_named_file_and_folder_with_a_dot(spark, tmp_path):
+    other = write(tmp_path / "export.xml", host("a", item(), 5))
+    assert read(spark, other)[0] == {"export.xml": 5}
+    folder = tmp_path / "v1.2"
+    folder.mkdir()
+    write(folder / "in.nessus", host("b", item(), 6))
+    (folder / "notes.txt").write_text("<ReportHost name='x'")
+    assert read(spark, str(folder))[0] == {"in.nessus": 6}
+    assert read(spark, [str(folder / "in.nessus"), other])[0] == {"in.nessus": 6, "export.xml": 5}
+
+
 def test_missing_path_reads_empty(spark, tmp_path):
     assert read(spark, str(tmp_path / "nowhere")) == ({}, [])
     assert read(spark, str(tmp_path / "nowhere.nessus")) == ({}, [])
