@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from driftledger.llm import exact_dedup, mixing, packing, simhash, token_counts
+from driftledger.llm import exact_dedup, mixing, packing, quality, simhash, token_counts
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_packing,
+    "op5_quality_classifier": quality.op5_quality_classifier,
     "op6_mixing": mixing.op6_mixing,
     "op8_simhash": simhash.op8_simhash,
     "op9_token_counts": token_counts.op9_token_counts,
