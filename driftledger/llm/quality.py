@@ -22,6 +22,8 @@ from driftledger.llm.common import column, documents, fresh, in_pieces, staged,
 #: Hashed features, and rows that the scorer is fitted on (drawn by hash; votes use all rows).
 WIDTH = 2048
 FIT_ROWS = 6000
+#: Added to the length that a vector is divided by.
+SHRINK = 8
 #: A document goes from this probability of being bad on.
 REJECT = 0.5
 BAD, ABSTAIN, GOOD = 0, 1, 2
@@ -54,7 +56,7 @@ def votes(text: str | None) -> int:
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
     n = len(words)
-    if n < 3:
+    if not n:
         return sum(ABSTAIN * 3**k for k in range(len(LABELLERS)))
     count = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
     letters = count[0x41:0x5B].sum() + count[0x61:0x7B].sum() + count[0x80:].sum()
@@ -70,7 +72,10 @@ def votes(text: str | None) -> int:
 
 
 def features(text: str | None) -> np.ndarray:
-    """Shares of hashed 3-grams of the text's shape (runs taken as one), unit length, and of repeated words."""
+    """Shares of hashed 3-grams of the text's shape (runs taken as one), near unit length, and of repeated words.
+
+    Short texts say little: their vector is shortened, so they stay near the intercept.
+    """
     data = (text or "").encode("utf-8", "surrogatepass")
     out = np.zeros(WIDTH, dtype=np.float32)
     shape = np.frombuffer(b" " + data.translate(SHAPES) + b" ", dtype=np.uint8)
@@ -78,9 +83,9 @@ def features(text: str | None) -> np.ndarray:
     if len(shape) >= 3:
         h = (shape[:-2] * 961 + shape[1:-1] * 31 + shape[2:]) * np.uint32(2654435761) >> np.uint32(16)
         out += np.bincount(h % (WIDTH - 1), minlength=WIDTH)
-        out /= np.linalg.norm(out)
+        out /= np.linalg.norm(out) + SHRINK
     words = data.split()
-    out[WIDTH - 1] = repeated(words) / max(1, len(words))
+    out[WIDTH - 1] = repeated(words) / (len(words) + SHRINK)
     return out
 
 
@@ -107,8 +112,8 @@ def estimate(patterns: dict[int, int], rounds: int = 100) -> tuple[np.ndarray, d
 
 def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
     """Weights and, last, the intercept of a logistic scorer of soft labels (Adam, full batches)."""
-    x = np.c_[x, np.ones(len(x), dtype=np.float32)]
-    w, m, v = np.zeros((3, x.shape[1]))
+    x, y = np.c_[x, np.ones(len(x), dtype=np.float32)].astype(np.float32), y.astype(np.float32)
+    w, m, v = np.zeros((3, x.shape[1]), dtype=np.float32)
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (p - y) / max(1, len(y)) + decay * w

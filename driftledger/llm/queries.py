@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from driftledger.llm import exact_dedup, mixing, packing, quality, simhash, token_counts
+from driftledger.llm import exact_dedup, language, mixing, packing, quality, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_packing,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op5_quality_classifier": quality.op5_quality_classifier,
     "op6_mixing": mixing.op6_mixing,
+    "op7_language_id": language.op7_language_id,
     "op8_simhash": simhash.op8_simhash,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
