@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from driftledger.llm import exact_dedup, language, mixing, packing, quality, rules, simhash, token_counts, toxicity
+from driftledger.llm import exact_dedup, language, mixing, packing, quality, rules, simhash, suffixes, token_counts, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_packing,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_suffix_dedup": suffixes.op3_suffix_dedup,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_quality_classifier": quality.op5_quality_classifier,
     "op6_mixing": mixing.op6_mixing,
