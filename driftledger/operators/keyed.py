@@ -28,8 +28,10 @@ def _extreme(pick, df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """The incoming rows whose key is not stored yet, ready to append."""
-    return incoming.join(existing.select(*keys), keys, "left_anti")
+    """The incoming rows whose key is not stored yet, ready to append; of rows that
+    share a key the least by the other columns."""
+    single = keep_first(incoming, keys, []) if set(incoming.columns) - set(keys) else incoming.distinct()
+    return single.join(existing.select(*keys), keys, "left_anti")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

@@ -95,7 +95,8 @@ def _load_or_none(reader, path) -> DataFrame | None:
     try:
         return reader.load(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        # One missing place holds no scans; a missing member of a list is a lost delivery.
+        if error.getCondition() == "PATH_NOT_FOUND" and isinstance(path, str):
             return None
         raise
 

@@ -8,6 +8,7 @@ the newest scan, so it cannot be reopened or closed by stale data.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import datetime
 
@@ -24,6 +25,11 @@ Report = Callable[[LoadResult], None]
 FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def literal(path: str) -> str:
+    """A path whose brackets, stars and the like are part of its name."""
+    return re.sub(r"([\\[\]{}*?])", r"\\\1", path)
+
+
 def watch_exports(
     ledger: Ledger,
     folder: str,
@@ -45,11 +51,11 @@ def watch_exports(
         .option("pathGlobFilter", FILE_PATTERN)
         .option("maxFilesPerTrigger", max_files)
         .load(folder)
-        .select(F.col("_metadata.file_path").alias("file"))
+        .select(F.col("path").alias("file"))  # the name as it is, not as a URI
     )
 
     def deliver(batch: DataFrame, _batch_id: int) -> None:
-        files = [r.file for r in batch.collect()]
+        files = [literal(r.file) for r in batch.collect()]
         result = ledger.load_exports(files, fallback, source)
         if report:
             report(result)
