@@ -30,6 +30,7 @@ from driftledger.llm.common import column, documents, in_pieces, salt_of, spread
 SPAN = 50
 GRAM = 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+HIGH = np.uint64(0xFFFFFFFF00000000)
 #: Pieces compared in one go.
 AT_ONCE = 20_000
 
@@ -43,34 +44,39 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def gram_hashes(codes: np.ndarray) -> np.ndarray:
+    """Polynomial hash of every GRAM codes, from those of 1, 2, 4, ... codes."""
+    power = powers(GRAM)
+    total, length = None, 0
+    block, size = codes, 1
+    while True:
+        if GRAM & size:
+            if total is None:
+                total, length = block, size
+            else:  # the block follows what there is
+                rest = block[length:]
+                total, length = total[: len(rest)] * power[size] + rest, length + size
+        if 2 * size > GRAM:
+            return total
+        block, size = block[:-size] * power[size] + block[size:], 2 * size
+
+
 def pieces_of(data: bytes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every piece: minimizer, first start, number of starts, bytes before the minimizer; together all starts."""
     n = len(data) - span + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 4
-    codes = np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-    grams = np.zeros(len(data) - GRAM + 1, dtype=np.uint64)
-    for k in range(GRAM):
-        grams = grams * BASE + codes[k : k + len(grams)]
-    grams = mixed(grams)
+    grams = mixed(gram_hashes(np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)))
+    # The high half of the hash decides, and among equals the leftmost place: both depend
+    # on nothing but the window's own bytes. One number holds the two.
+    keys = (grams & HIGH) | np.arange(len(grams), dtype=np.uint64)
     wide = span - GRAM + 1
-    least, size = grams, 1
+    size = 1
     while 2 * size <= wide:
-        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+        keys, size = np.minimum(keys[:-size], keys[size:]), 2 * size
     if size < wide:
-        least = np.minimum(least[: n], least[wide - size : wide - size + n])
-    # The leftmost place of each window's minimum, by binary search among its places.
-    where = np.lexsort((np.arange(len(grams)), grams))
-    values = grams[where]
-    starts = np.arange(n)
-    lo = np.searchsorted(values, least, "left")
-    hi = np.searchsorted(values, least, "right")
-    while (open_ := lo + 1 < hi).any():  # first occurrence at or after the window's start
-        middle = (lo + hi - 1) // 2
-        right = where[middle] < starts
-        lo = np.where(open_ & right, middle + 1, lo)
-        hi = np.where(open_ & ~right, middle + 1, hi)
-    place = where[lo]
+        keys = np.minimum(keys[:n], keys[wide - size : wide - size + n])
+    place = (keys & ~HIGH).view(np.int64)
     new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     return grams[place[new]].view(np.int64), new, np.diff(np.r_[new, n]), place[new] - new
 
@@ -90,8 +96,11 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     owner = np.repeat(np.arange(len(pieces)), starts)
     inner = np.arange(int(starts.sum())) - np.repeat(np.cumsum(starts) - starts, starts)
     at = first[owner] + inner
-    _, segment = np.unique(np.stack([group[owner], ahead[owner] - inner]), axis=1, return_inverse=True)
-    segment = segment.ravel()
+    # Starts of one group at one distance before the minimizer; a lone one repeats nothing.
+    rank = np.unique(group, return_inverse=True)[1].ravel()
+    segment = (rank * span)[owner] + ahead[owner] - inner
+    shared = np.flatnonzero(np.bincount(segment, minlength=1)[segment] > 1)
+    owner, inner, at, segment = owner[shared], inner[shared], at[shared], segment[shared]
 
     def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
@@ -116,24 +125,23 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     end = np.searchsorted(own, own, "right")
     longest, run = int((end - begin).max(initial=0)), 1
     while run < longest:
-        here = np.arange(len(order))
-        local = here - begin
+        here = np.flatnonzero(end - begin > run)  # the others are one run already
+        from_, to = begin[here], end[here]
+        local = here - from_
         block = local // run
         is_left = block % 2 == 0
-        low = begin + np.where(is_left, block + 1, block - 1) * run
-        lo, hi = np.minimum(low, end), np.minimum(low + run, end)
+        low = from_ + np.where(is_left, block + 1, block - 1) * run
+        lo, hi = np.minimum(low, to), np.minimum(low + run, to)
         base = lo.copy()
-        while (lo < hi).any():
-            open_ = np.flatnonzero(lo < hi)
+        while (open_ := np.flatnonzero(lo < hi)).size:
             middle = (lo[open_] + hi[open_]) // 2
-            mine, other = at[order[open_]], at[order[middle]]
+            mine, other = at[order[here[open_]]], at[order[middle]]
             # Ties: the left run's suffixes come first.
             goes = np.where(is_left[open_], before(other, mine), ~before(mine, other))
             lo[open_] = np.where(goes, middle + 1, lo[open_])
             hi[open_] = np.where(goes, hi[open_], middle)
-        target = begin + (block - block % 2) * run + local % run + (lo - base)
-        placed = np.empty_like(order)
-        placed[target] = order
+        placed = order.copy()
+        placed[from_ + (block - block % 2) * run + local % run + (lo - base)] = order[here]
         order, run = placed, 2 * run
     equal = np.zeros(len(order), dtype=bool)
     if len(order) > 1:
@@ -179,7 +187,8 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     grams = through_arrow(single, minimizers, "gram long, id long")
     shared = staged(grams.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("gram"), "suffix-shared")
-    wanted = spread_join(grams.withColumn("salt", salt_of(F.col("id"))), shared, "gram", "salt")
+    # A gram that very many documents have is a skewed side of this join, which AQE splits.
+    wanted = grams.join(shared, "gram", "left_semi")
     wanted = staged(wanted.groupBy("id").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -223,7 +232,7 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     # A piece's later documents repeat all of it; its first one what the mask says. Equal
     # marks of different pieces are told apart by the bytes.
     marks = masks.groupBy("key").agg(F.count(F.lit(1)).alias("n_pieces"), F.first("first").alias("first"), F.first("mask").alias("mask"))
-    joined = spread_join(found.select("id", "at", "n", F.col("mark").alias("key"), salt_of(F.col("id"), F.col("at")).alias("salt")), marks.filter("n_pieces = 1"), "key", "salt")
+    joined = found.select("id", "at", "n", F.col("mark").alias("key")).join(marks.filter("n_pieces = 1"), "key")
     twice = marks.filter("n_pieces > 1").select("key")
     exact = found.withColumnRenamed("mark", "key").join(twice, "key", "left_semi").join(masks.select("key", "gram", "piece", "first", "mask"), ["key", "gram", "piece"])
     fields = ("id", "at", "n", "first", "mask")
