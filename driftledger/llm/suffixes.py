@@ -232,6 +232,7 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     # A piece's later documents repeat all of it; its first one what the mask says. Equal
     # marks of different pieces are told apart by the bytes.
     marks = masks.groupBy("key").agg(F.count(F.lit(1)).alias("n_pieces"), F.first("first").alias("first"), F.first("mask").alias("mask"))
+    marks = staged(marks, "suffix-marks")  # with both sides plain shuffles, AQE can split a piece that very many documents have
     joined = found.select("id", "at", "n", F.col("mark").alias("key")).join(marks.filter("n_pieces = 1"), "key")
     twice = marks.filter("n_pieces > 1").select("key")
     exact = found.withColumnRenamed("mark", "key").join(twice, "key", "left_semi").join(masks.select("key", "gram", "piece", "first", "mask"), ["key", "gram", "piece"])
