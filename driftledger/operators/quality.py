@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftledger.functions import policy
 from driftledger.operators.facts import FACT_KEY
+from driftledger.operators.scans import latest_run, newest_scan
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,8 +30,12 @@ def check_domain(df: DataFrame, column: str, allowed: list) -> DataFrame:
 
 def zero_finding_newest_scan(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
     """The newest scan if it found nothing: syncing to it closes every commitment."""
-    newest = scan_run.select("scan_run_id", "scanned_at", "source").orderBy(F.desc("scanned_at"), "scan_run_id").limit(1)
-    return newest.join(finding.select("scan_run_id"), "scan_run_id", "left_anti")
+    newest = newest_scan(scan_run)
+    run = latest_run(scan_run.select("scan_run_id", "scanned_at", "source"))
+    if newest is None:
+        return run
+    # Its month alone is opened, and a task stops at its first row.
+    return run.join(newest.findings(finding).select("scan_run_id").limit(1), "scan_run_id", "left_anti")
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:

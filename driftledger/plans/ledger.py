@@ -3,17 +3,23 @@
 Tables are Parquet folders under one root on shared storage. A load writes in
 this order, each step safe to repeat, so a load that died is simply run again:
 
-1. landing rows, replacing the delivered runs' partitions;
+1. landing rows, replacing what the same delivery landed for the same runs;
 2. facts that are not stored yet, appended to their month;
-3. a new register version in its own folder, invisible so far;
-4. the runs themselves, which makes their facts "scans" to every report;
-5. one log file naming the register version, which publishes it.
+3. the delivery's runs, noted as waiting for a reconciliation;
+4. a new register version in its own folder, invisible so far;
+5. the runs themselves, which makes their facts "scans" to every report;
+6. one log file naming the register version, which publishes it;
+7. the deliveries, noted as reconciled.
+
+Steps 1 to 3 are :meth:`Ledger.store`, the others :meth:`Ledger.reconcile`. Any number of
+deliveries may be stored before one reconciliation, in any order of their scans.
 
 There is one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -31,9 +37,11 @@ from driftledger.sources import catalogs, scan_export
 
 TABLES = {
     "scan_run": schemas.SCAN_RUN,
-    "raw_finding": schemas.RAW_FINDING,
+    "raw_finding": StructType([*schemas.RAW_FINDING.fields, StructField("delivery", StringType())]),
     "finding": schemas.FINDING,
     "register_log": schemas.REGISTER_LOG,
+    "stored_run": StructType([*SCANS.fields, StructField("store_id", StringType())]),
+    "reconciled_store": StructType([StructField("store_id", StringType())]),
     "plugin_revision": StructType([*schemas.PLUGIN.fields, StructField("revision", IntegerType())]),
     "control": schemas.CONTROL,
     "plugin_control": schemas.PLUGIN_CONTROL,
@@ -41,7 +49,9 @@ TABLES = {
 }
 
 
-PARTITIONED = {"raw_finding": ["scan_run_id"], "finding": ["scan_month"]}
+#: Landing rows of whole files; row streams name each micro-batch, so its replay replaces it.
+WHOLE = "whole"
+PARTITIONED = {"raw_finding": ["scan_run_id", "delivery"], "finding": ["scan_month"]}
 
 
 def _months(scans: list[Scan]) -> list[str]:
@@ -107,7 +117,13 @@ class Ledger:
     def load_exports(
         self, path: str | list[str], fallback: datetime | None = None, source: str = DEFAULT_SOURCE
     ) -> LoadResult:
-        """Load export files. Their XML is parsed once, into a staged table."""
+        """Load export files: store them, then reconcile the register."""
+        return LoadResult(self.store_exports(path, fallback, source), self.reconcile())
+
+    def store_exports(self, path: str | list[str], fallback: datetime | None = None, source: str = DEFAULT_SOURCE) -> int:
+        """Land export files and return how many facts are new. Their XML is parsed
+        once, into a staged table. A file is a whole scan: what an earlier delivery
+        landed for its run is replaced, by nothing if it has no items now."""
         hosts = scan_export.started_hosts(scan_export.export_hosts(self.spark, path))
         staged_at = scratch_dir(self.spark, "delivery")
         hosts.drop("HostProperties").write.parquet(staged_at)
@@ -119,7 +135,13 @@ class Ledger:
         named = StructType([StructField("file", StringType()), *SCANS.fields])
         files_to_runs = local_frame(self.spark, [tuple(r) for r in rows], named).select("file", "scan_run_id")
         findings = scan_export.flatten_items(staged).join(files_to_runs, "file")
-        return self._load(sorted({tuple(r)[1:] for r in rows}), findings)
+        runs = sorted({tuple(r)[1:] for r in rows})
+        held = {r.scan_run_id for r in findings.select("scan_run_id").distinct().collect()}
+        landing = StructType([f for f in schemas.RAW_FINDING.fields if f.name != "scan_run_id"])
+        for run in sorted({r[0] for r in runs} - held):
+            nothing = local_frame(self.spark, [], landing)
+            nothing.write.mode("overwrite").parquet(f"{self.root}/raw_finding/scan_run_id={run}/delivery={WHOLE}")
+        return self._store(runs, findings, WHOLE)
 
     def load(self, runs: DataFrame, findings: DataFrame) -> LoadResult:
         """Land, type, deduplicate and reconcile a delivery of any number of scans.
@@ -127,22 +149,43 @@ class Ledger:
         ``runs``: (scan_run_id, scanned_at, source). ``findings``: (scan_run_id,
         landing_seq, host, plugin_id, plugin_name, severity, cve).
         """
+        return LoadResult(self.store(runs, findings), self.reconcile())
+
+    def store(self, runs: DataFrame, findings: DataFrame, delivery: str = WHOLE) -> int:
+        """Land and store a delivery, and leave the register for :meth:`reconcile`.
+
+        Storing ``delivery`` again replaces what it landed; another name adds to the
+        same runs' landing rows.
+        """
         listed = runs.select("scan_run_id", F.unix_micros("scanned_at"), "source").distinct()
-        return self._load(sorted(tuple(r) for r in listed.collect()), findings)
+        return self._store(sorted(tuple(r) for r in listed.collect()), findings, delivery)
 
-    def _load(self, rows: list[tuple[str, int, str]], findings: DataFrame) -> LoadResult:
+    def _store(self, rows: list[tuple[str, int, str]], findings: DataFrame, delivery: str) -> int:
         if not rows:
-            return LoadResult()
-        scans = [Scan(run, micros) for run, micros, _ in rows]
+            return 0
         runs = local_frame(self.spark, rows, SCANS)
-        self._land(findings)
-        landed = self._store_facts(scans, runs)
-        return LoadResult(landed, self._reconcile(scans, runs))
-
-    def _land(self, findings: DataFrame) -> None:
+        self._land(findings, delivery)
+        landed = self._store_facts([Scan(run, micros) for run, micros, _ in rows], runs)
+        self._append("stored_run", runs.withColumn("store_id", F.lit(uuid.uuid4().hex)))
+        return landed
+
+    def reconcile(self) -> list[Row]:
+        """Bring the register up to every stored delivery, in scan-time order."""
+        waiting = self.table("stored_run").join(self.table("reconciled_store"), "store_id", "left_anti")
+        rows = waiting.select("scan_run_id", F.unix_micros("scanned_at"), "source", "store_id").collect()
+        if not rows:
+            return []
+        listed = sorted({tuple(r)[:3] for r in rows})
+        moves = self._reconcile([Scan(run, micros) for run, micros, _ in listed], local_frame(self.spark, listed, SCANS))
+        done = sorted({(r.store_id,) for r in rows})
+        self._append("reconciled_store", local_frame(self.spark, done, TABLES["reconciled_store"]))
+        return moves
+
+    def _land(self, findings: DataFrame, delivery: str) -> None:
         findings.select(
-            "landing_seq", F.current_timestamp().alias("ingested_at"), to_payload().alias("payload"), "scan_run_id"
-        ).write.partitionBy("scan_run_id").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(
+            "landing_seq", F.current_timestamp().alias("ingested_at"), to_payload().alias("payload"), "scan_run_id",
+            F.lit(delivery).alias("delivery"),
+        ).hint("rebalance", "scan_run_id").write.partitionBy("scan_run_id", "delivery").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(
             f"{self.root}/raw_finding"
         )
 
@@ -165,10 +208,9 @@ class Ledger:
         counted = Observation("landed")
         fresh = facts.new_facts(arriving, self._facts_of(scans))
         fresh = fresh.withColumn("scan_month", scan_month(F.col("scanned_at"))).select(*schemas.FINDING.names)
-        if len(_months(scans)) > 1:
-            # A backfill would scatter every month over every task's output. The
-            # rebalance is by size, so one month's bulk is still split.
-            fresh = fresh.hint("rebalance", "scan_month")
+        # A backfill would scatter every month over every task's output. The
+        # rebalance is by size, so one month's bulk is still split.
+        fresh = fresh.hint("rebalance", "scan_month")
         fresh.sortWithinPartitions("scan_month", "scanned_at", "host", "plugin_id").observe(
             counted, F.count(F.lit(1)).alias("n")
         ).write.partitionBy("scan_month").mode("append").parquet(f"{self.root}/finding")
@@ -199,7 +241,7 @@ class Ledger:
             "scan_run",
             keyed.insert_if_absent(runs, self.table("scan_run"), ["scan_run_id"])
             .withColumn("ingested_at", F.current_timestamp())
-            .coalesce(1),
+            .hint("rebalance"),
         )
         newest = chain[-1].at if chain else synced_at
         log = [(version, newest, r.at, r.opened, r.reopened, r.closed) for r in moves]
@@ -222,10 +264,10 @@ class Ledger:
         """Later wording and rating win. Unchanged rows add no revision."""
         changed = incoming.select(*schemas.PLUGIN.names).exceptAll(self.plugin())
         last = self.table("plugin_revision").agg(F.coalesce(F.max("revision"), F.lit(0)).alias("v")).first().v
-        self._append("plugin_revision", changed.withColumn("revision", F.lit(last + 1)).coalesce(1))
+        self._append("plugin_revision", changed.withColumn("revision", F.lit(last + 1)).hint("rebalance"))
 
     def _insert(self, name: str, incoming: DataFrame, keys: list[str]) -> None:
-        self._append(name, keyed.insert_if_absent(incoming, self.table(name), keys).coalesce(1))
+        self._append(name, keyed.insert_if_absent(incoming, self.table(name), keys).hint("rebalance"))
 
     def record_assessment(self, export_id: str) -> int:
         """Assess as of the first scan. An export is frozen: recording it again

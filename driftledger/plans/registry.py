@@ -45,9 +45,7 @@ def _export_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema. A day and event type is a file; views are nameless hosts, clicks
     carry only the text time, signups none, and purchases a broken check id."""
     e = rel.table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if e.rdd.getNumPartitions() < cores:
-        e = e.repartition(cores)  # parsing is the work; a small table is one split
+    e = e.hint("repartition", spark.sparkContext.defaultParallelism)  # parsing is the work, and a small table is one split
     kind = F.col("event_type")
     code = policy.lookup(kind, {k: v[0] for k, v in rel.EVENT_CHECKS.items()}, -1)
     k = F.get_json_object("props", "$.k").cast("int")
@@ -196,7 +194,7 @@ def catalog_upsert(spark, sf_dir):
 def export_append(spark, sf_dir):
     """Assess, then assess again under the same export id: the export is frozen,
     so nothing is added and its row count is what it contains."""
-    stored = _assessment_b(spark, *_b(spark, sf_dir))
+    stored = _assessment_ends_b(spark, *_b(spark, sf_dir))
     again = stored.withColumn("compliance", F.lit(policy.COMPLIANT))
     added = keyed.insert_if_absent(again, stored, ["export_id", "control_id"])
     return stored.unionByName(added).groupBy("export_id").agg(
@@ -379,6 +377,13 @@ def backlog_total(spark, sf_dir):
 # ---- assessment and correlation ---------------------------------------------
 
 
+def _ends_b(spark, sf_dir):
+    """Relation B for what looks at its newest and earliest scans only."""
+    runs = rel.scan_run_b(spark, sf_dir)
+    ends = [s for s in (scans.newest_scan(runs), scans.earliest_scan(runs)) if s]
+    return rel.finding_b(spark, sf_dir, ends), runs
+
+
 def _assessment_b(spark, finding, runs):
     return correlation.assess_controls(rel.controls_b(spark), rel.evidence_b(spark), finding, runs, rel.EXPORT_ID_B)
 
@@ -394,12 +399,12 @@ def _statuses_b(spark, finding, runs):
 
 @_query
 def assess_controls(spark, sf_dir):
-    return _dated(_assessment_b(spark, *_b(spark, sf_dir)), "exported_at", "exported_on")
+    return _dated(_assessment_b(spark, *_ends_b(spark, sf_dir)), "exported_at", "exported_on")
 
 
 @_query
 def latest_export(spark, sf_dir):
-    return _dated(correlation.latest_export(_statuses_b(spark, *_b(spark, sf_dir))), "exported_at", "exported_on")
+    return _dated(correlation.latest_export(_statuses_b(spark, *_ends_b(spark, sf_dir))), "exported_at", "exported_on")
 
 
 @_query
@@ -415,12 +420,12 @@ def coverage(spark, sf_dir):
 
 @_query
 def control_evidence(spark, sf_dir):
-    finding, runs = _b(spark, sf_dir)
+    finding, runs = _ends_b(spark, sf_dir)
     return correlation.control_evidence(scans.latest_findings(finding, runs), rel.evidence_b(spark))
 
 
 def _correlated(spark, sf_dir):
-    finding, runs = _b(spark, sf_dir)
+    finding, runs = _ends_b(spark, sf_dir)
     return correlation.correlate(_statuses_b(spark, finding, runs), rel.controls_b(spark), rel.evidence_b(spark), finding, runs)
 
 
@@ -436,19 +441,19 @@ def verdict_flag(spark, sf_dir):
 
 @_query
 def uncovered(spark, sf_dir):
-    finding, runs = _b(spark, sf_dir)
+    finding, runs = _ends_b(spark, sf_dir)
     return correlation.uncovered(finding, runs, rel.evidence_b(spark))
 
 
 @_query
 def control_drilldown(spark, sf_dir):
-    finding, runs = _b(spark, sf_dir)
+    finding, runs = _ends_b(spark, sf_dir)
     return correlation.control_drilldown(finding, runs, rel.evidence_b(spark), "C2")
 
 
 @_query
 def evidence_sources(spark, sf_dir):
-    assessed = _assessment_b(spark, *_b(spark, sf_dir))
+    assessed = _assessment_b(spark, *_ends_b(spark, sf_dir))
     return correlation.evidence_sources(rel.controls_b(spark), assessed, rel.evidence_b(spark))
 
 

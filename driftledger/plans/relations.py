@@ -13,14 +13,16 @@ April 1995 on, so that evidence seen at assessment time is gone today.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftledger.functions import policy
 from driftledger.functions.identity import DEFAULT_SOURCE, run_id, scan_month
 from driftledger.functions.payload import to_payload
 from driftledger.operators.facts import dedup_facts
-from driftledger.operators.scans import listed
+from driftledger.operators.scans import Scan, listed
 from driftledger.schemas import CONTROL, FINDING, PLUGIN_CONTROL
 from driftledger.session import local_frame
 
@@ -75,13 +77,20 @@ def raw_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("landing_seq", "scan_run_id", to_payload().alias("payload"))
 
 
-def finding_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+def finding_b(spark: SparkSession, sf_dir: str, only: list[Scan] | None = None) -> DataFrame:
+    """Facts of every month, or of the months of the scans in ``only``. Those reach the
+    raw date as bounds, since a filter on the month made from it prunes nothing."""
+    items = table(spark, sf_dir, "lineitem")
+    if only is not None:
+        shipped = F.col("l_shipdate")
+        within = [(shipped >= F.to_date(s.time)) & (shipped < F.add_months(F.to_date(s.time), 1)) for s in only]
+        items = items.filter(reduce(Column.__or__, within, F.lit(False)))
     d = F.trunc("l_shipdate", "MM")
     residue = (F.col("l_partkey") % CHECKS_B).cast("int")
     check = F.when(
         (residue == SUPERSEDED_CHECK) & (d >= F.lit(SUPERSEDED_FROM).cast("date")), SUPERSEDING_CHECK
     ).otherwise(residue)
-    keys = table(spark, sf_dir, "lineitem").select(
+    keys = items.select(
         d.alias("d"), F.col("l_suppkey").alias("supplier"), check.alias("plugin_id")
     )
     scanned_at = F.col("d").cast("timestamp")

@@ -1,9 +1,10 @@
 """Scans that keep arriving: the load job as a Structured Streaming sink.
 
-Each micro-batch is one delivery. The fact key makes a re-delivered batch a
-no-op, so the sink is exactly-once in effect. There is no watermark: a late scan
-still belongs in the facts, and the register is only ever reconciled against
-the newest scan, so it cannot be reopened or closed by stale data.
+Micro-batches only land rows and facts. Once everything available has landed, the
+register is reconciled one time over all of it, in scan-time order, so how the feed was
+cut into batches never shows in the register. The fact key makes a re-delivered batch a
+no-op. There is no watermark: a late scan still belongs in the facts, and the register
+is only ever reconciled against newer scans, so stale data cannot reopen or close.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import datetime
+from hashlib import sha256
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,23 @@ Report = Callable[[LoadResult], None]
 FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+class Drain:
+    """A stream that lands what is available, then one reconciliation.
+
+    The reconciliation runs in :meth:`awaitTermination`. If the driver is lost before
+    it, the next drain over the same ledger makes up for it.
+    """
+
+    def __init__(self, query: StreamingQuery, ledger: Ledger, landed: list[int], report: Report | None):
+        self.query, self._ledger, self._landed, self._report = query, ledger, landed, report
+
+    def awaitTermination(self) -> None:
+        self.query.awaitTermination()
+        moves = self._ledger.reconcile()
+        if self._report and (self._landed or moves):
+            self._report(LoadResult(sum(self._landed), moves))
+
+
 def literal(path: str) -> str:
     """A path whose brackets, stars and the like are part of its name."""
     return re.sub(r"([\\[\]{}*?])", r"\\\1", path)
@@ -38,12 +57,13 @@ def watch_exports(
     source: str = DEFAULT_SOURCE,
     max_files: int = 1000,
     report: Report | None = None,
-) -> StreamingQuery:
+) -> Drain:
     """Load the export files that appeared in ``folder`` since the last run.
 
     The stream carries file names only; their content is read by the batch
     reader, which also sees files without any host. ``max_files`` bounds one
-    micro-batch and with it the list that passes through the driver.
+    micro-batch and with it the list that passes through the driver; the result
+    is the same for every value.
     """
     names = (
         ledger.spark.readStream.format("binaryFile")
@@ -54,34 +74,32 @@ def watch_exports(
         .select(F.col("path").alias("file"))  # the name as it is, not as a URI
     )
 
-    def deliver(batch: DataFrame, _batch_id: int) -> None:
+    def store(batch: DataFrame, _batch_id: int) -> int:
         files = [literal(r.file) for r in batch.collect()]
-        result = ledger.load_exports(files, fallback, source)
-        if report:
-            report(result)
+        return ledger.store_exports(files, fallback, source)
 
-    return _drain(names, deliver, checkpoint)
+    return _drain(ledger, names, store, checkpoint, report)
 
 
-def watch_sightings(
-    ledger: Ledger, sightings: DataFrame, checkpoint: str, report: Report | None = None
-) -> StreamingQuery:
+def watch_sightings(ledger: Ledger, sightings: DataFrame, checkpoint: str, report: Report | None = None) -> Drain:
     """Load a stream of rows (source, scanned_at, landing_seq, host, plugin_id,
-    plugin_name, severity, cve); rows of one source and time are one scan."""
+    plugin_name, severity, cve); rows of one source and time are one scan, however
+    many micro-batches they arrive in."""
+    feed = sha256(checkpoint.encode()).hexdigest()[:12]
 
-    def deliver(batch: DataFrame, _batch_id: int) -> None:
+    def store(batch: DataFrame, batch_id: int) -> int:
         keyed = batch.withColumn("scan_run_id", run_id(F.col("source"), F.col("scanned_at")))
-        result = ledger.load(keyed, keyed)
-        if report:
-            report(result)
+        return ledger.store(keyed, keyed, f"{feed}-{batch_id}")
 
-    return _drain(sightings, deliver, checkpoint)
+    return _drain(ledger, sightings, store, checkpoint, report)
 
 
-def _drain(stream: DataFrame, deliver, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(deliver)
+def _drain(ledger: Ledger, stream: DataFrame, store: Callable[[DataFrame, int], int], checkpoint: str, report: Report | None) -> Drain:
+    landed: list[int] = []
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, batch_id: landed.append(store(batch, batch_id)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    return Drain(query, ledger, landed, report)

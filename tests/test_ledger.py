@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_scan_export import host, item, write
 
 from driftledger.plans.ledger import Ledger
-from driftledger.streaming.reconcile import watch_exports
+from driftledger.streaming.reconcile import watch_exports, watch_sightings
 
 WEEKLY = os.environ.get("WEEKLY_SCANS_DIR")  # six weekly exports of one estate
 DAY = 86400
@@ -142,6 +142,48 @@ def test_stream_of_files(ledger, inbox, tmp_path):
     assert [(r.landed, moves(r)) for r in results] == [(2, [(1, 0, 0), (1, 0, 1)]), (0, [(0, 0, 1)])]
 
 
+def test_batch_size_never_shows_in_the_register(spark, tmp_path):
+    inbox = tmp_path / "backlog"
+    inbox.mkdir()
+    for i, (day, found) in enumerate([(14, [("h", 1, 4)]), (7, []), (0, [("h", 1, 4), ("h", 2, 2)])]):
+        os.utime(scan(inbox, f"s{i}", day, *found), (T0 + i, T0 + i))  # the newest scan is written first
+    got = []
+    for size in (1, 2, 1000):
+        ledger = Ledger(spark, str(tmp_path / f"ledger{size}"))
+        results = []
+        watch_exports(ledger, str(inbox), str(tmp_path / f"at{size}"), max_files=size, report=results.append).awaitTermination()
+        log = ledger.table("register_log").select("scanned_at", "opened", "reopened", "closed").orderBy("scanned_at")
+        got.append((state(ledger), [tuple(r) for r in log.collect()], [(r.landed, moves(r)) for r in results]))
+    assert got[0] == got[1] == got[2]
+    assert got[0][2] == [(3, [(2, 0, 0), (0, 0, 2), (0, 1, 0)])]
+
+
+def test_stored_scan_is_reconciled_by_the_next_drain(ledger, inbox, tmp_path):
+    ledger.store_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
+    assert state(ledger) == {} and ledger.table("scan_run").count() == 0
+    ledger.load_exports(scan(inbox, "b", 7))
+    assert state(ledger) == {("h1", 1): ("2026-01-05", "2026-01-12")}
+
+
+def test_emptied_run_leaves_no_landing_rows(ledger, inbox):
+    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
+    ledger.load_exports(scan(inbox, "a", 0))
+    assert ledger.table("raw_finding").count() == 0 and ledger.table("finding").count() == 1
+
+
+def test_scan_cut_over_micro_batches(spark, ledger, tmp_path):
+    feed, columns = str(tmp_path / "feed"), "source string, scanned_at timestamp, landing_seq long, host string, plugin_id int, plugin_name string, severity smallint, cve string"
+    at = [datetime.fromtimestamp(T0 + day * DAY, timezone.utc) for day in (0, 7)]
+    for lot in ([(at[0], 1), (at[1], 1)], [(at[1], 2), (at[0], 2)]):
+        rows = [("s", t, check, "h", check, "c", 4, None) for t, check in lot]
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(columns).option("maxFilesPerTrigger", 1).parquet(feed)
+    results = []
+    watch_sightings(ledger, stream, str(tmp_path / "offsets"), results.append).awaitTermination()
+    assert [(r.landed, moves(r)) for r in results] == [(4, [(2, 0, 0), (0, 0, 0)])]
+    assert ledger.table("raw_finding").count() == 4 and ledger.table("finding").count() == 4
+
+
 @pytest.mark.skipif(not WEEKLY, reason="WEEKLY_SCANS_DIR not set")
 def test_six_weekly_exports(ledger):
     result = ledger.load_exports(WEEKLY)

@@ -53,27 +53,27 @@ def test_keeps_only_well_formed_items(spark, tmp_path):
     path = write(
         tmp_path / "a.nessus",
         host(
-            "host-001",
-            item(97833, 4, "Remote Code", "<cve>CVE-1</cve><cve>CVE-2</cve>", port=445)
-            + item(42873, 2, "Ciphers")
-            + item("BROKEN", 4, "bad id")
+            "printer",
+            item(5120, 3, "Open share", "<cve>CVE-A</cve><cve>CVE-B</cve>")
+            + item(611, 1, "Banner")
+            + item("n/a", 2, "bad id")
             + item(7, 70000, "bad severity")
             + item("12.5", 1, "fractional id")
             + item(None, 1, "no id")
             + item(" +8 ", " 1 ", None)
             + item(9, 0, "empty cve", "<cve/>"),
-            time=1786698000,
+            time=1700000123,
         ),
-        host(None, item(10107, 1, "nameless host")),
-        host("  ", item(10107, 1, "blank host")),
+        host(None, item(31, 1, "nameless host")),
+        host("  ", item(31, 1, "blank host")),
     )
     times, findings = read(spark, path)
-    assert times == {"a.nessus": 1786698000}
+    assert times == {"a.nessus": 1700000123}
     assert findings == [
-        ("host-001", 8, "", 1, None),
-        ("host-001", 9, "empty cve", 0, ""),
-        ("host-001", 42873, "Ciphers", 2, None),
-        ("host-001", 97833, "Remote Code", 4, "CVE-1"),
+        ("printer", 8, "", 1, None),
+        ("printer", 9, "empty cve", 0, ""),
+        ("printer", 611, "Banner", 1, None),
+        ("printer", 5120, "Open share", 3, "CVE-A"),
     ]
 
 
