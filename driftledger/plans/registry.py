@@ -194,7 +194,7 @@ def catalog_upsert(spark, sf_dir):
 def export_append(spark, sf_dir):
     """Assess, then assess again under the same export id: the export is frozen,
     so nothing is added and its row count is what it contains."""
-    stored = _assessment_ends_b(spark, *_b(spark, sf_dir))
+    stored = _assessment_b(spark, *_ends_b(spark, sf_dir))
     again = stored.withColumn("compliance", F.lit(policy.COMPLIANT))
     added = keyed.insert_if_absent(again, stored, ["export_id", "control_id"])
     return stored.unionByName(added).groupBy("export_id").agg(

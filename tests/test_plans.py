@@ -98,3 +98,10 @@ def test_owner_counts_survive_a_hot_host(spark):
     history = [(t, {**f, **{("hot", c): ("x", 2) for c in range(20)}}) for t, f in random_history(9, scans=4)]
     finding, runs = frames(spark, history)
     assert register.rebuild(finding, runs).filter("host = 'hot'").count() == 20
+
+
+@pytest.mark.parametrize("name", ["uncovered", "control_evidence", "correlate", "verdict_flag", "control_drilldown", "assess_controls", "latest_export", "evidence_sources", "export_append"])
+def test_month_bounds_reach_the_scan(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    scans = [line for line in text.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
+    assert scans and all("GreaterThanOrEqual(l_shipdate" in line for line in scans)
