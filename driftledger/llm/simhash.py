@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftledger.llm.common import column, documents, fresh, in_pieces, salt_of, spread_join, staged, through_arrow
@@ -37,22 +37,30 @@ TREE = 4096
 FRONTIER = 1 << 20
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all runs of ``shingle`` words, repeated ones too; a shorter text is one run."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII letters and white space only
-    if not words:
-        return 0
     joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
     stops = ends[shingle - 1 :].tolist() or [len(joined)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops)], dtype=">u8")
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops)], dtype=np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
+    hashes = hashes.astype(">u8")
     counts = np.zeros(64, dtype=np.int64)
     for k in range(0, len(hashes), 1 << 16):
         counts += np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    return majority(shingles(text, shingle)) if (text or "").encode("utf-8", "surrogatepass").split() else 0
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) of every row."""
 
@@ -244,6 +252,31 @@ def near_groups(docs: DataFrame, radius: int = RADIUS, tree: int = TREE) -> Data
     return spread_join(rows.withColumn("salt", salt_of(F.col("doc_id"))), nodes, "fp", "salt").select("doc_id", "fp", "component_id")
 
 
+def text_digest(docs: DataFrame) -> Column:
+    """128 bits of the text's SHA-256; null counts as empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(column(docs, "text"), F.lit("")).cast("binary"), 256), 1, 32))
+
+
+def keep_firsts(docs: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component: that of the smallest id (null last), then the smallest digest.
+
+    ``members`` has doc_id, digest and node of every row, ``roots`` node and root of the
+    nodes that are not alone. Of rows that repeat both id and text one is taken.
+    """
+    id_, digest = fresh(docs.columns, "kept_id"), fresh(docs.columns, "digest")
+    members = staged(members.groupBy("node", "doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")), "keep-members")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest", "copies")
+    nodes = members.groupBy("node").agg(F.min(rank).alias("first")).join(roots, "node", "left")
+    stay = nodes.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    stay = staged(stay.select(F.col("first.doc_id").alias(id_), F.col("first.digest").alias(digest + "_right"), F.col("first.copies").alias("copies")), "keep-firsts")
+    rows = docs.withColumn(digest, text_digest(docs))
+    same = column(docs, "doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(digest + "_right"))
+    kept = rows.join(stay.drop("copies"), same, "left_semi")
+    if not stay.filter("copies > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", digest])
+    return kept.drop(digest)
+
+
 def drop_near(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest; one of repeated ids."""
     id_ = fresh(docs.columns, "kept_id")
