@@ -24,11 +24,18 @@ FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SPAN = 8
 SYMBOLS = b"#*$%&|<>"
 #: Smallest deviation by dimension: keeps the covariance of features that are mostly zero regular.
-FLOORS = (0.15, 0.5, 0.8, 0.8)
+#: Each is below a quarter of its feature's reach among rows that pass the base (log1p(100), and
+#: log1p(30) for repeated words), so that every feature alone can cross the cutoff.
+FLOORS = (0.15, 0.5, 0.5, 0.5)
 DIMS = len(FLOORS)
 SHARE, STEPS = 0.75, 4
-#: Squared distance that rejects, and rows a group needs to be judged.
-CUTOFF, LEAST_ROWS = 40.0, 50
+#: Squared distance that rejects: the 0.999 quantile of chi-square with DIMS degrees of freedom.
+CUTOFF = 18.467
+#: The covariance of the nearest SHARE of normal rows, times this, is that of all of them:
+#: SHARE / P(chi-square with DIMS + 2 degrees of freedom <= the SHARE quantile with DIMS).
+CONSISTENCY = 1.486
+#: Rows a group needs to be judged.
+LEAST_ROWS = 50
 
 
 def repeat_words(words: list[bytes], span: int = SPAN) -> int:
@@ -111,7 +118,7 @@ def determinant_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         near = spread_join(rows, found, "cell", "salt").withColumn("d", distance())
         cut = staged(near.groupBy("cell").agg(F.percentile_approx("d", SHARE, 1000).alias("cut")), "rules-cuts")
         near = spread_join(near.drop("n"), cut.join(found.select("cell", "n"), "cell"), "cell", "salt").filter(F.col("d") <= F.col("cut"))
-        cov = [F.covar_pop(xs[i], xs[j]) for i, j in combinations_with_replacement(range(DIMS), 2)]
+        cov = [CONSISTENCY * F.covar_pop(xs[i], xs[j]) for i, j in combinations_with_replacement(range(DIMS), 2)]
         found = near.groupBy("cell").agg(F.first("n").alias("n"), F.array(*[F.avg(x) for x in xs]).alias("m"), F.array(*cov).alias("c"))
         found = staged(inverted(found), "rules-step")
     return found
