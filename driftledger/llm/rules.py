@@ -1,7 +1,7 @@
 """Quality rules by robust multivariate outliers.
 
-Per language and source the statistics' centre and covariance are estimated by minimum
-covariance determinant: from medians and MADs on, concentration steps take the three
+Per language and source (small ones: per language, or of all rows) the statistics' centre
+and covariance are estimated by minimum covariance determinant: from medians and MADs on, concentration steps take the three
 quarters of the rows that are nearest by Mahalanobis distance and estimate anew. A step is
 one grouped aggregate over all rows (sums, products and a quantile sketch), so a group may
 hold any share of the corpus.
@@ -34,7 +34,7 @@ CUTOFF = 18.467
 #: The covariance of the nearest SHARE of normal rows, times this, is that of all of them:
 #: SHARE / P(chi-square with DIMS + 2 degrees of freedom <= the SHARE quantile with DIMS).
 CONSISTENCY = 1.486
-#: Rows a group needs to be judged.
+#: Passing rows that a language and source needs for estimates of its own, and a language too.
 LEAST_ROWS = 50
 
 
@@ -124,19 +124,40 @@ def determinant_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return found
 
 
+def estimated_from(cells: DataFrame, least_rows: int) -> DataFrame:
+    """cell, use, keys of cell, n: whose estimates judge a cell, and to which ones its rows contribute.
+
+    A cell with fewer than ``least_rows`` rows is judged by its language's, a language with
+    fewer by those of all rows.
+    """
+    language = F.to_json(F.struct(F.get_json_object("cell", "$.lang").alias("lang")))
+    cells = cells.withColumn("language", language)
+    cells = cells.join(cells.groupBy("language").agg(F.sum("n").alias("language_n")), "language")
+    own, wider, all_ = F.concat(F.lit("0"), "cell"), F.concat(F.lit("1"), "language"), F.lit("2")
+    use = F.when(F.col("n") >= least_rows, own).when(F.col("language_n") >= least_rows, wider).otherwise(all_)
+    cells = staged(cells.select("cell", use.alias("use"), F.array(own, wider, all_).alias("keys")), "rules-cells")
+    wanted = cells.select(F.col("use").alias("key")).distinct()
+    keys = cells.select("cell", F.explode("keys").alias("key")).join(wanted, "key", "left_semi")
+    return staged(cells.drop("keys").join(keys.groupBy("cell").agg(F.collect_set("key").alias("keys")), "cell"), "rules-keys")
+
+
 def judged(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS, steps: int = STEPS) -> DataFrame:
     """Per row of ``docs``: doc_id, the base statistics, base_failed, kept, distance.
 
-    Estimates use all rows that pass the base rules. A row of a language and source (nulls
-    are values of their own) with fewer than ``least_rows`` such rows has no distance and is
-    kept if it passes the base. Null, empty and wordless texts fail the base. Repeated rows
-    count each; an empty table gives no rows; extra columns are ignored.
+    Estimates use all rows that pass the base rules. A row is judged by the estimates of its
+    language and source (nulls are values of their own), with fewer than ``least_rows`` such
+    rows by those of its language, and failing that by those of all rows: every row that
+    passes the base has a distance. Null, empty and wordless texts fail the base. Repeated
+    rows count each; an empty table gives no rows; extra columns are ignored.
     """
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = measured(docs).withColumn("base_failed", base).withColumn("salt", salt_of(F.col("doc_id")))
     rows = staged(rows.select("*", *[x.alias(f"x{i}") for i, x in enumerate(transformed())]), "rules-rows")
-    found = determinant_estimates(rows.filter("NOT base_failed"), steps).filter(F.col("n") >= least_rows)
-    cells = rows.select("cell").distinct().join(found, "cell", "left")
+    cells = estimated_from(rows.groupBy("cell").agg(F.sum(F.when(F.col("base_failed"), 0).otherwise(1)).alias("n")), least_rows)
+    passing = spread_join(rows.filter("NOT base_failed"), cells.select("cell", "keys"), "cell", "salt")
+    passing = passing.select(F.explode("keys").alias("cell"), "salt", *[f"x{i}" for i in range(DIMS)])
+    found = determinant_estimates(staged(passing, "rules-passing"), steps)
+    cells = cells.select("cell", "use").join(found.select(F.col("cell").alias("use"), "center", "inverse"), "use", "left")
     out = spread_join(rows, cells, "cell", "salt").withColumn("distance", F.when(~F.col("base_failed"), distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return out.select("doc_id", *FIELDS, "base_failed", kept.alias("kept"), "distance")

@@ -28,3 +28,14 @@ def test_every_statistic_rejects_alone(spark, name):
     rows = [(i, prose(r), "en", "a") for i in range(120)] + [(120, outliers(r)[name], "en", "a")]
     got = {x.doc_id: x for x in rules.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert not got[120].base_failed and [i for i, x in got.items() if not x.kept] == [120]
+
+
+def test_small_cells_are_judged_by_wider_ones(spark):
+    r = random.Random(2)
+    bad = outliers(r)["n_symbols"]
+    rows = [(i, prose(r), "en", f"s{i % 40}") for i in range(80)]  # two rows a source, 80 a language
+    rows += [(100, bad, "en", "s0"), (101, bad, "xx", None), (102, prose(r), "xx", None), (103, bad, None, "s1"), (104, "short", "yy", "s1")]
+    got = {x.doc_id: x for x in rules.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == len(rows)
+    assert all((x.distance is None) == x.base_failed for x in got.values())
+    assert sorted(i for i, x in got.items() if not x.kept) == [100, 101, 103, 104]
