@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -168,7 +169,8 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     Removes each byte covered by a ``span``-byte string that also starts in a document with
     a smaller id. Null texts are empty; shorter texts lose nothing. Rows that repeat an id
-    are not each other's sources. Null ids are taken as larger than any other. An empty table
+    are not each other's sources, each loses what its own text repeats. Null ids are taken as one
+    id larger than any other. An empty table
     gives no rows; extra columns are ignored.
     """
     whole = F.coalesce(column(docs, "text"), F.lit(""))
@@ -176,36 +178,41 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     # Of equal texts the first is compared; the others are repeats from end to end.
     firsts = staged(rows.groupBy("digest").agg(F.min("id").alias("first")), "suffix-firsts")
-    texts = staged(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt", "digest"), "suffix-texts")
-    single = texts.filter("id = first").select("id", "text")
+    texts = staged(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt"), "suffix-texts")
+    # Ids may repeat, and null ids share one: a text is known by its id and a hash of its
+    # digest, another hash where two texts of an id have an equal one.
+    of_text = next(h for k in count() if firsts.groupBy("first", (h := F.xxhash64("digest", F.lit(k)))).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty())
+    texts = texts.withColumn("twin", of_text).drop("digest")
+    single = texts.filter("id = first").select("id", "twin", "text")
 
     def minimizers(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
             found = [np.unique(pieces_of(utf8(t), span)[0]) for t in part["text"].to_pylist()]
             ids = np.repeat(part["id"].to_numpy(), [len(f) for f in found])
-            yield pa.record_batch([pa.array(np.concatenate(found)), pa.array(ids)], names=["gram", "id"])
+            twins = np.repeat(part["twin"].to_numpy(), [len(f) for f in found])
+            yield pa.record_batch([pa.array(np.concatenate(found)), pa.array(ids), pa.array(twins)], names=["gram", "id", "twin"])
 
-    grams = through_arrow(single, minimizers, "gram long, id long")
+    grams = through_arrow(single, minimizers, "gram long, id long, twin long")
     shared = staged(grams.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("gram"), "suffix-shared")
     # A gram that very many documents have is a skewed side of this join, which AQE splits.
     wanted = grams.join(shared, "gram", "left_semi")
-    wanted = staged(wanted.groupBy("id").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
+    wanted = staged(wanted.groupBy("id", "twin").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
             out: list[tuple] = []
-            for doc_id, text, grams in zip(part["id"].to_pylist(), part["text"].to_pylist(), part["grams"]):
+            for doc_id, twin, text, grams in zip(part["id"].to_pylist(), part["twin"].to_pylist(), part["text"].to_pylist(), part["grams"]):
                 data = utf8(text)
                 gram, start, n, ahead = pieces_of(data, span)
                 keep = np.isin(gram, grams.values.to_numpy())
                 for g, a, k, before in zip(*[x[keep].tolist() for x in (gram, start, n, ahead)]):
                     piece = data[a : a + k + span - 1]
-                    out.append((doc_id, a, g, k, before, piece, xxhash.xxh3_64_intdigest(piece) >> 1))
-            columns = list(zip(*out)) or [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "at", "gram", "n", "ahead", "piece", "mark"])
+                    out.append((doc_id, twin, a, g, k, before, piece, xxhash.xxh3_64_intdigest(piece) >> 1))
+            columns = list(zip(*out)) or [()] * 8
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "twin", "at", "gram", "n", "ahead", "piece", "mark"])
 
-    found = through_arrow(single.join(wanted, "id"), cut, "id long, at long, gram long, n int, ahead int, piece binary, mark long")
+    found = through_arrow(single.join(wanted, ["id", "twin"]), cut, "id long, twin long, at long, gram long, n int, ahead int, piece binary, mark long")
     found = staged(found, "suffix-pieces")
     distinct = found.groupBy("gram", "mark", "piece").agg(F.min("id").alias("first"), F.first("ahead").alias("ahead"))
 
@@ -233,14 +240,14 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     # marks of different pieces are told apart by the bytes.
     marks = masks.groupBy("key").agg(F.count(F.lit(1)).alias("n_pieces"), F.first("first").alias("first"), F.first("mask").alias("mask"))
     marks = staged(marks, "suffix-marks")  # with both sides plain shuffles, AQE can split a piece that very many documents have
-    joined = found.select("id", "at", "n", F.col("mark").alias("key")).join(marks.filter("n_pieces = 1"), "key")
+    joined = found.select("id", "twin", "at", "n", F.col("mark").alias("key")).join(marks.filter("n_pieces = 1"), "key")
     twice = marks.filter("n_pieces > 1").select("key")
     exact = found.withColumnRenamed("mark", "key").join(twice, "key", "left_semi").join(masks.select("key", "gram", "piece", "first", "mask"), ["key", "gram", "piece"])
-    fields = ("id", "at", "n", "first", "mask")
+    fields = ("id", "twin", "at", "n", "first", "mask")
     hits = joined.select(*fields).unionByName(exact.select(*fields))
     every = F.when(F.col("id") > F.col("first"), F.lit(-1).cast("long")).otherwise(F.col("mask"))
-    hits = hits.select("id", F.struct("at", "n", every.alias("mask")).alias("hit")).filter("hit.mask != 0")
-    hits = staged(hits.groupBy("id").agg(F.collect_list("hit").alias("hits")), "suffix-hits")
+    hits = hits.select("id", "twin", F.struct("at", "n", every.alias("mask")).alias("hit")).filter("hit.mask != 0")
+    hits = staged(hits.groupBy("id", "twin").agg(F.collect_list("hit").alias("hits")), "suffix-hits")
 
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
@@ -268,7 +275,7 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return through_arrow(texts.join(hits, "id", "left"), remove, schema)
+    return through_arrow(texts.join(hits, ["id", "twin"], "left"), remove, schema)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

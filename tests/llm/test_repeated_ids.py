@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from driftledger.llm import toxicity
+from driftledger.llm import suffixes, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -30,3 +30,32 @@ def test_toxicity_gives_each_row_its_own_on_both_paths(spark):
         got = toxicity.described(docs.select("doc_id", "text"), model, unseen, carried).collect()
         found.append(Counter((r.doc_id, *[round(x, 6) for x in r[1:]]) for r in got))
     assert found[0] == found[1] and sum(found[0].values()) == len(rows)
+
+
+def removed(rows, span=50):
+    """Brute force: a null id is one id beyond all others."""
+    of = [(1 << 63) - 1 if i is None else i for i, _ in rows]
+    seen, out = {}, []
+    for i, (_, text) in zip(of, rows):
+        data = (text or "").encode()
+        for k in range(len(data) - span + 1):
+            seen[data[k : k + span]] = min(i, seen.get(data[k : k + span], i))
+    for i, (own, text) in zip(of, rows):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - span + 1):
+            if seen[data[k : k + span]] < i:
+                gone[k : k + span] = b"\1" * span
+        out.append((own, len(data), sum(gone), hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest()))
+    return Counter(out)
+
+
+def test_suffixes_of_null_and_repeated_ids(spark):
+    r = random.Random(4)
+    one, two, three = (sentence(r, 30) for _ in range(3))
+    rows = [
+        (1, one + " end"), (2, two), (None, "short " + one), (None, sentence(r, 200) + " " + two), (None, "short " + one),
+        (7, sentence(r, 5) + one), (7, sentence(r, 90) + three), (7, three), (7, three), (8, sentence(r, 3) + three), (9, None),
+    ]
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed, x.kept_sha256) for x in suffixes.repeats(table(spark, rows)).collect())
+    assert got == removed(rows)
