@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from driftledger.session import scratch_dir
 
@@ -52,7 +53,7 @@ def salt_of(*columns: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
 
-def through_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def through_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """One Arrow batch in, any number out, as a narrow stage.
 
     Batches are bounded in bytes as well as rows, since texts may be very long.

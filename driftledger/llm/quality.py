@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftledger.llm.common import column, documents, fresh, in_pieces, staged, through_arrow
+from driftledger.llm.common import column, documents, fresh, in_pieces, through_arrow
 
 #: Hashed features, and rows that the scorer is fitted on (drawn by hash; votes use all rows).
 WIDTH = 2048
@@ -151,6 +151,10 @@ def learn(docs: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndarray | None:
     return fit_linear(x, np.array([bad[r["pattern"]] for r in rows]))
 
 
+def badness(x: np.ndarray, weights: np.ndarray) -> float:
+    return float(1 / (1 + np.exp(-np.clip(float(x @ weights[:-1] + weights[-1]), -30, 30))))
+
+
 def scored(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, score (0 to 1, higher: better), kept.
 
@@ -163,21 +167,26 @@ def scored(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text"):
             w = np.zeros(WIDTH + 1) if weights is None else weights
-            z = [float(features(t) @ w[:-1] + w[-1]) for t in part["text"].to_pylist()]
-            bad = 1 / (1 + np.exp(-np.clip(np.array(z), -30, 30)))
+            bad = np.array([badness(features(t), w) for t in part["text"].to_pylist()])
             yield pa.record_batch([part["doc_id"], pa.array(1 - bad), pa.array(bad < REJECT)], names=["doc_id", "score", "kept"])
 
     return through_arrow(docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").alias("text")), score, "doc_id long, score double, kept boolean")
 
 
 def drop_bad(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the scorer keeps, with all their columns.
+    """The rows of ``docs`` that the scorer keeps, each by its own text, with all their columns."""
+    weights = learn(docs, fit_rows)
+    if weights is None:
+        return docs
+    text = fresh(docs.columns, "judged_text")
 
-    An id is dropped with all its rows only if each of them is rejected.
-    """
-    id_ = fresh(docs.columns, "kept_id")
-    stay = staged(scored(docs, fit_rows).filter("kept").select(F.col("doc_id").alias(id_)).distinct(), "quality-stay")
-    return docs.join(stay, column(docs, "doc_id").eqNullSafe(F.col(id_)), "left_semi")
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in in_pieces(batch, text):
+            stays = [bool(badness(features(t), weights) < REJECT) for t in part[text].to_pylist()]
+            yield part.filter(pa.array(stays, pa.bool_())).select(list(range(part.num_columns - 1)))
+
+    rows = docs.withColumn(text, column(docs, "text"))
+    return through_arrow(rows, keep, docs.schema)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

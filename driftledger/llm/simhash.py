@@ -278,12 +278,18 @@ def keep_firsts(docs: DataFrame, members: DataFrame, roots: DataFrame) -> DataFr
 
 
 def drop_near(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest; one of repeated ids."""
-    id_ = fresh(docs.columns, "kept_id")
-    groups = near_groups(docs, radius)
-    stay = staged(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_)).distinct(), "simhash-stay")
-    kept = docs.join(stay, column(docs, "doc_id").eqNullSafe(F.col(id_)), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay, with all their columns: one per component (``keep_firsts``)."""
+    rows = docs.withColumn(digest := fresh(docs.columns, "digest"), text_digest(docs))
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in in_pieces(batch, "text"):
+            fps = np.array([fingerprint(t) for t in part["text"].to_pylist()], dtype=np.uint64)
+            yield pa.record_batch([part["doc_id"], part["digest"], pa.array(fps.view(np.int64))], names=["doc_id", "digest", "node"])
+
+    texts = rows.select(column(rows, "doc_id").cast("long").alias("doc_id"), F.col(digest).alias("digest"), column(rows, "text").alias("text"))
+    members = staged(through_arrow(texts, work, "doc_id long, digest binary, node long"), "simhash-members")
+    roots = staged(components(links(members.select(F.col("node").alias("fp")).distinct(), radius)), "simhash-components")
+    return keep_firsts(docs, members, roots)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from driftledger.llm import suffixes, toxicity
+from driftledger.llm import quality, simhash, suffixes, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -59,3 +59,23 @@ def test_suffixes_of_null_and_repeated_ids(spark):
     ]
     got = Counter((x.doc_id, x.n_bytes, x.n_removed, x.kept_sha256) for x in suffixes.repeats(table(spark, rows)).collect())
     assert got == removed(rows)
+
+
+def test_near_rows_of_null_and_repeated_ids(spark):
+    r = random.Random(5)
+    texts = [sentence(r, 60) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[3].upper()), (None, texts[4]), (7, texts[4]), (7, texts[4]), (8, texts[5])]
+    want = Counter([rows[0], rows[1], rows[2], rows[3], rows[6], rows[8]])
+    assert Counter((x.doc_id, x.text) for x in simhash.drop_near(table(spark, rows)).collect()) == want
+
+
+@pytest.mark.parametrize("id_", [None, 4])
+def test_a_rejected_row_goes_whatever_its_id(spark, id_):
+    r = random.Random(6)
+    good = [(i + 100, f"{sentence(r, 12).capitalize()}. {sentence(r, 9).capitalize()}, {sentence(r, 8)}.") for i in range(60)]
+    bad = [(i + 200, " ".join(w + "###%%%" for w in sentence(r, 20).split())) for i in range(20)]
+    rows = good[1:] + bad[1:] + [(id_, good[0][1]), (id_, bad[0][1])]
+    docs = table(spark, rows)
+    kept = quality.drop_bad(docs)
+    assert kept.columns == docs.columns
+    assert Counter((x.doc_id, x.text) for x in kept.filter(F.col("doc_id").eqNullSafe(F.lit(id_))).collect()) == Counter([(id_, good[0][1])])
