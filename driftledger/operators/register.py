@@ -8,15 +8,19 @@ Three forms of one fold over scans:
   from the fact table in one aggregation.
 * :func:`advance` carries a stored register over any number of newly arrived
   scans, reading only their facts.
+
+A step of the fold is an instant: scans that several sources made at one time are one
+step, in whatever order they were loaded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from driftledger.functions import policy
+from driftledger.operators import presence
 from driftledger.operators.scans import latest_findings, newest_date, scan_chain
 from driftledger.schemas import REGISTER
 
@@ -101,11 +105,11 @@ def rebuild(finding: DataFrame, scan_run: DataFrame, inventory: DataFrame | None
     A commitment takes name and severity from its first sighting and is closed
     by the scan after its last one, so two extremes per key say it all.
     """
-    chain = scan_chain(scan_run).select("scan_run_id", F.col("scanned_at").alias("_at"), "next_at")
+    chain = scan_chain(scan_run).select("scanned_at", F.col("scanned_at").alias("_at"), "next_at")
     at = F.col("_at")  # NULL for a scan no sync was ever run against
     per_key = (
-        finding.select("scan_run_id", "scanned_at", *KEY, "plugin_name", "severity")
-        .join(chain, "scan_run_id", "left")
+        finding.select("scanned_at", *KEY, "plugin_name", "severity")
+        .join(chain, "scanned_at", "left")
         .groupBy(*KEY)
         .agg(
             F.min("scanned_at").alias("first_seen"),
@@ -131,11 +135,11 @@ def transitions(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
     Each sighting is compared with the same problem's neighbouring sightings;
     the window holds one problem's history, at most one row per scan.
     """
-    chain = scan_chain(scan_run).select("scan_run_id", "prev_at", "next_at")
+    chain = scan_chain(scan_run).select("scanned_at", "prev_at", "next_at")
     history = Window.partitionBy(*KEY).orderBy("scanned_at")
     moves = (
-        finding.select("scan_run_id", "scanned_at", *KEY)
-        .join(chain, "scan_run_id")
+        finding.select("scanned_at", *KEY)
+        .join(chain, "scanned_at")
         .select(
             "scanned_at",
             "prev_at",
@@ -174,47 +178,45 @@ def advance(
     arrived: DataFrame,
     steps: DataFrame,
     inventory: DataFrame | None = None,
+    n_steps: int | None = None,
 ) -> DataFrame:
     """Carry a stored register over newly arrived scans.
 
-    ``arrived``: their facts, late scans included. ``steps``: the scans to
+    ``arrived``: their facts, late scans included. ``steps``: the scan times to
     reconcile against in order, as (scan_run_id, scanned_at, step): step 0 is the
     scan the register was last synced to, if any, and 1..n are newer ones. Facts
     of any other scan only move ``first_seen``, never open or close anything.
+    ``n_steps``, where the caller knows it, saves a shuffle for short deliveries.
 
-    Returns the new register plus ``moves``, an array of (transition, step). A
-    problem is sighted at most once per step, so the arrays are bounded by the
-    number of scans in the delivery.
+    Returns the new register plus ``moves``, masks of the scans at which a problem
+    opened, reopened and closed (see ``presence``), and ``changed``: false for a row
+    that is as it was.
     """
-    batch = (
-        arrived.select("scan_run_id", "scanned_at", *KEY, "plugin_name", "severity")
-        .join(steps.select("scan_run_id", "step"), "scan_run_id", "left")
-        .groupBy(*KEY)
-        .agg(
-            F.min("scanned_at").alias("_since"),
-            F.min_by(F.struct("plugin_name", "severity"), "step").alias("_first"),
-            F.collect_set("step").alias("_steps"),
-        )
+    one_word = n_steps is not None and n_steps < presence.WORD
+    batch = presence.seen_words(
+        arrived.select("scanned_at", *KEY, "plugin_name", "severity").join(steps.select("scanned_at", "step"), "scanned_at", "left"),
+        KEY,
+        one_word,
+        _since=(F.min, "scanned_at"),
+        _first=(F.min_by, F.struct("plugin_name", "severity"), F.col("step")),
+        _opened_at=(F.min, "step"),
+        _last=(F.max, "step"),
     )
     stored = register.select(*KEY, F.struct(*[c for c in REGISTER.names if c not in KEY]).alias("_old"))
-    was_known = F.col("_old.opened_on").isNotNull()
+    was_known = F.coalesce(F.col("_old.opened_on").isNotNull(), F.lit(False))
     was_open = was_known & F.col("_old.closed_on").isNull()
-    sighted = F.coalesce("_steps", _no_steps())
-    # An open commitment counts as seen by the scan it was last synced to.
-    carried = F.when(was_open, F.array(F.lit(0))).otherwise(_no_steps())
+    sighted = F.col("_last").isNotNull()
     dates = steps.select(F.col("step").alias("_close_step"), F.to_date("scanned_at").alias("_close_date"))
     merged = (
         stored.join(batch, KEY, "full")
         .select(
             "*",
-            sighted.alias("_sighted"),
-            F.array_union(sighted, carried).alias("_seen"),
             was_open.alias("_was_open"),
-            (~F.coalesce(was_known, F.lit(False)) & (F.size(sighted) > 0)).alias("_opens"),
+            (~was_known & sighted).alias("_opens"),
             F.least("_old.first_seen", "_since").alias("_from"),
-            steps.agg(F.max("step").alias("v")).scalar().alias("_last_step"),
+            # An open commitment counts as seen by the scan it was last synced to.
+            (F.coalesce("_last", F.when(was_open, 0)) + 1).alias("_close_step"),
         )
-        .withColumn("_close_step", F.array_max("_seen") + 1)
         .join(dates, "_close_step", "left")
     )
     opened_on = F.to_date("_from")
@@ -232,41 +234,17 @@ def advance(
         for name, value in promise.items()
     }
     kept["first_seen"] = F.col("_from").alias("first_seen")
-    kept["closed_on"] = (
-        F.when(F.size("_seen") > 0, F.col("_close_date")).otherwise(F.col("_old.closed_on")).alias("closed_on")
-    )
-    return policy.assign_owner(merged, inventory).select(
-        *[kept.get(name, F.col(name)) for name in REGISTER.names], _moves().alias("moves")
-    )
-
-
-def _no_steps() -> Column:
-    return F.array().cast("array<int>")
-
-
-def _moves() -> Column:
-    """What happened to one problem, step by step, as (transition, step)."""
-    seen = F.col("_seen")
-
-    def moved(kind: str, steps: Column) -> Column:
-        return F.transform(steps, lambda s: F.struct(F.lit(kind).alias("transition"), s.alias("step")))
-
-    opened = F.when(F.col("_opens"), F.array(F.array_min("_sighted"))).otherwise(_no_steps())
-    appeared = F.filter("_sighted", lambda s: ~F.array_contains(seen, s - 1) & ~(F.col("_was_open") & (s == 0)))
-    vanished = F.filter(
-        F.transform("_seen", lambda s: s + 1),
-        lambda s: ~F.array_contains(seen, s) & (s <= F.col("_last_step")),
-    )
-    return F.concat(
-        moved("opened", opened),
-        moved("reopened", F.array_except(appeared, opened)),
-        moved("closed", vanished),
+    closed_on = F.when(F.col("_close_step").isNotNull(), F.col("_close_date")).otherwise(F.col("_old.closed_on"))
+    kept["closed_on"] = closed_on.alias("closed_on")
+    words = presence.carried(F.col("words"), F.col("_was_open"))
+    same = F.col("_old").isNotNull() & ~F.col("_opens") & closed_on.eqNullSafe(F.col("_old.closed_on")) & F.col("_from").eqNullSafe(F.col("_old.first_seen"))
+    return policy.assign_owner(merged.withColumn("words", words), inventory).select(
+        *[kept.get(name, F.col(name)) for name in REGISTER.names],
+        presence.moves(F.col("words"), F.col("_was_open"), F.col("_opens"), F.col("_opened_at")).alias("moves"),
+        (~same).alias("changed"),
     )
 
 
 def count_moves(advanced: DataFrame, steps: DataFrame) -> DataFrame:
     """Per scan of ``steps``, how many commitments opened, reopened and closed."""
-    moves = advanced.select(F.explode("moves").alias("_move")).groupBy("_move.step").agg(
-        *[F.count_if(F.col("_move.transition") == t).alias(t) for t in ("opened", "reopened", "closed")]
-    )
-    return steps.join(moves, "step", "left").na.fill(0, ["opened", "reopened", "closed"])
+    return presence.count_moves(advanced, steps)

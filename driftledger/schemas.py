@@ -58,9 +58,9 @@ REGISTER = _schema(
     closed_on=_D,
 )
 
-# A stored version also keeps what the reconciliation that wrote it did.
+# What a reconciliation did to a row: masks of the scans of its delivery, 64 to a word.
 REGISTER_MOVES = StructType(
-    [*REGISTER.fields, StructField("moves", ArrayType(_schema(transition=_S, step=_I)))]
+    [*REGISTER.fields, StructField("moves", ArrayType(_schema(transition=_S, word=_I, bits=_L)))]
 )
 
 REGISTER_LOG = _schema(

@@ -30,7 +30,7 @@ def advance_in(spark, history, sizes):
         advanced = settle(register.advance(current, finding, steps), REGISTER_MOVES)
         moved = register.count_moves(advanced, steps).filter("step > 0").orderBy("step").collect()
         counts += [(m.opened, m.reopened, m.closed) for m in moved]
-        current, synced, start = advanced.drop("moves"), rows[-1], start + size
+        current, synced, start = advanced.select(*REGISTER.names), rows[-1], start + size
     return current, counts
 
 
@@ -137,3 +137,87 @@ def test_aging_from_state_equals_aging_from_history(spark):
     from_history = reports.aging(finding, runs).collect()
     from_state = reports.aging(finding, runs, first_seen=register.rebuild(finding, runs)).collect()
     assert from_history == from_state and from_history
+
+
+def backfill(seed, scans, share):
+    """A long history of few keys, with runs and gaps that cross the words of 64 scans."""
+    import random
+    from datetime import timedelta
+
+    from histories import START
+
+    rng = random.Random(seed)
+    seen, history = {key: False for key in [("h", c) for c in range(4)]}, []
+    for i in range(scans):
+        for key in seen:
+            if rng.random() < share:
+                seen[key] = not seen[key]
+        history.append((START + timedelta(hours=i), {k: (f"check {k[1]}", k[1]) for k, on in seen.items() if on}))
+    return history
+
+
+@pytest.mark.parametrize("seed, sizes, share", [(1, [200], 0.5), (2, [64, 64, 72], 0.02), (3, [1, 63, 65, 71], 0.3), (4, [127, 73], 0.01)])
+def test_presence_words_equal_the_fold(spark, seed, sizes, share):
+    history = backfill(seed, 200, share)
+    want, want_counts = fold(history)
+    carried, counts = advance_in(spark, history, sizes)
+    assert as_dict(carried) == want and counts == want_counts
+
+
+def test_one_word_and_many_agree(spark):
+    """Telling the number of steps changes the plan, not the rows."""
+    history = backfill(9, 40, 0.3)
+    finding, runs = frames(spark, history)
+    rows = [(r.scan_run_id, r.scanned_at, i) for i, r in enumerate(runs.orderBy("scanned_at").collect(), 1)]
+    steps = spark.createDataFrame(rows, STEPS)
+    none = spark.createDataFrame([], REGISTER)
+    told, untold = (register.advance(none, finding, steps, n_steps=n) for n in (40, None))
+    assert sorted(map(repr, told.collect())) == sorted(map(repr, untold.collect()))
+    # One exchange less for the facts.
+    assert untold._jdf.queryExecution().executedPlan().toString().count("Exchange") > told._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_five_thousand_scans_of_one_key(spark):
+    """A backfill whose one key comes and goes: words, not arrays of scans, and no square of them."""
+    import time
+
+    from pyspark.sql import Row
+
+    def load(n):
+        steps = spark.range(1, n + 1).select(
+            F.concat(F.lit("run"), "id").alias("scan_run_id"), F.timestamp_seconds(F.col("id") * 3600).alias("scanned_at"), F.col("id").cast("int").alias("step")
+        )
+        seen = steps.filter("step % 3 != 0").select(
+            "scan_run_id", "scanned_at", F.lit("h").alias("host"), F.lit(1).alias("plugin_id"), F.lit("x").alias("plugin_name"), F.lit(2).cast("smallint").alias("severity")
+        )
+        advanced = settle(register.advance(spark.createDataFrame([], REGISTER), seen, steps), REGISTER_MOVES)
+        row = advanced.first()
+        assert len(row.moves) <= 4 * (n // 64 + 1)
+        totals = register.count_moves(advanced, steps).agg(F.sum("opened"), F.sum("reopened"), F.sum("closed")).first()
+        return row, tuple(totals)
+
+    load(5000)  # code is compiled
+    start = time.perf_counter()
+    row, totals = load(5000)
+    took = time.perf_counter() - start
+    assert totals == (1, 1666, 1666) and row.closed_on is None and isinstance(row, Row)
+    start = time.perf_counter()
+    load(20000)
+    assert time.perf_counter() - start < 8 * max(took, 0.5)
+
+
+def test_equal_instants_in_any_order(spark):
+    """Two sources at one time are one step, whichever comes first and also in two deliveries."""
+    t, later = random_history(1)[0][0], random_history(1)[1][0]
+    a, runs_a = frames(spark, [(t, {("h", 1): ("x", 2)})], "a")
+    b, runs_b = frames(spark, [(t, {("h", 2): ("y", 2)}), (later, {("h", 1): ("x", 2)})], "b")
+    built = as_dict(register.rebuild(a.unionByName(b), runs_a.unionByName(runs_b)))
+    assert built == {("h", 1): ("x", 2, t.date(), None), ("h", 2): ("y", 2, t.date(), later.date())}
+    none, at_t = spark.createDataFrame([], REGISTER), runs_a.select("scan_run_id", "scanned_at", F.lit(1).alias("step"))
+    for first, second in ((a, b.filter(F.col("scanned_at") == F.lit(t))), (b.filter(F.col("scanned_at") == F.lit(t)), a)):
+        current = settle(register.advance(none, first, at_t), REGISTER)
+        current = settle(register.advance(current, second, at_t.withColumn("step", F.lit(0))), REGISTER)
+        last = runs_b.filter(F.col("scanned_at") == F.lit(later)).select("scan_run_id", "scanned_at", F.lit(1).alias("step"))
+        steps = at_t.withColumn("step", F.lit(0)).unionByName(last)
+        current = settle(register.advance(current, b.filter(F.col("scanned_at") == F.lit(later)), steps), REGISTER)
+        assert as_dict(current) == built
