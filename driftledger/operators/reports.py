@@ -34,7 +34,12 @@ def trend(finding: DataFrame) -> DataFrame:
     per_scan = finding.groupBy("scanned_at").agg(
         F.count_if(policy.is_serious(F.col("severity"))).alias("high_crit")
     )
-    # One row per scan is left when the unpartitioned window runs.
+    return changes(per_scan)
+
+
+def changes(per_scan: DataFrame) -> DataFrame:
+    """Each scan's ``high_crit`` beside the one before it. One row per scan is left when
+    the unpartitioned window runs."""
     before = F.lag("high_crit").over(Window.orderBy("scanned_at"))
     return (
         per_scan.withColumn("prev", before)

@@ -1,62 +1,69 @@
 """The stored relations and the load job that keeps them consistent.
 
-Tables are Parquet folders under one root on shared storage. A load writes in
-this order, each step safe to repeat, so a load that died is simply run again:
-
-1. landing rows, replacing what the same delivery landed for the same runs;
-2. facts that are not stored yet, appended to their month;
-3. the delivery's runs, noted as waiting for a reconciliation;
-4. a new register version in its own folder, invisible so far;
-5. the runs themselves, which makes their facts "scans" to every report;
-6. one log file naming the register version, which publishes it;
-7. the deliveries, noted as reconciled.
-
-Steps 1 to 3 are :meth:`Ledger.store`, the others :meth:`Ledger.reconcile`. Any number of
-deliveries may be stored before one reconciliation, in any order of their scans.
-
-There is one writer at a time.
+Tables are Parquet folders under one root on shared storage. Every row carries the number
+of the load that wrote it, and counts once a manifest says so (``plans/manifest``). A load
+writes in this order, nothing of which a reader sees:
+
+1. the load's number, so that no other load ever takes it;
+2. landing rows, beside those that earlier deliveries landed for the same runs;
+3. facts that are not stored yet, in their month;
+4. the new facts' counts per scan, severity and check;
+5. the delivery's runs;
+6. a note that the load is complete and waits for a reconciliation;
+7. new versions of the register buckets in which something changed;
+8. the manifest, which publishes all of it at once.
+
+Steps 1 to 6 are :meth:`Ledger.store`, the others :meth:`Ledger.reconcile`. Any number of
+deliveries may be stored before one reconciliation, in any order of their scans. A load that
+died is simply run again: what it left behind has a number that never counts.
+
+There is one writer at a time. Readers hold a :class:`Snapshot`, one manifest's state, for
+as long as :meth:`Ledger.vacuum` keeps it.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from driftledger import schemas
+from driftledger import schemas, storage
 from driftledger.functions.identity import DEFAULT_SOURCE, scan_month
 from driftledger.functions.payload import to_payload
-from driftledger.operators import correlation, facts, keyed, quality, register, reports
+from driftledger.operators import correlation, facts, keyed, landing, quality, register, reports, rollup
 from driftledger.operators.scans import SCANS, Scan
+from driftledger.plans import manifest, register_store
+from driftledger.plans.manifest import Manifest
 from driftledger.session import local_frame, pin_utc, scratch_dir
 from driftledger.sources import catalogs, scan_export
 
+SEQ = StructField("load_seq", LongType())
+MONTH = StructField("scan_month", StringType())
+#: Readers' columns; a stored row also has its load's number.
 TABLES = {
     "scan_run": schemas.SCAN_RUN,
-    "raw_finding": StructType([*schemas.RAW_FINDING.fields, StructField("delivery", StringType())]),
+    "raw_finding": StructType([*schemas.RAW_FINDING.fields, StructField("host", StringType()), MONTH]),
+    "landed_run": StructType([StructField("scan_run_id", StringType()), StructField("whole", BooleanType())]),
     "finding": schemas.FINDING,
-    "register_log": schemas.REGISTER_LOG,
-    "stored_run": StructType([*SCANS.fields, StructField("store_id", StringType())]),
-    "reconciled_store": StructType([StructField("store_id", StringType())]),
-    "plugin_revision": StructType([*schemas.PLUGIN.fields, StructField("revision", IntegerType())]),
+    "rollup": StructType([*[schemas.FINDING[c] for c in rollup.CELL], StructField("n", LongType())]),
+    "plugin_revision": schemas.PLUGIN,
     "control": schemas.CONTROL,
     "plugin_control": schemas.PLUGIN_CONTROL,
     "control_status": schemas.CONTROL_STATUS,
 }
+#: Stored by month and load; the others are small.
+BY_MONTH = ("raw_finding", "finding", "rollup")
+FACT_ORDER = ("scanned_at", "host", "plugin_id")
+LOADS = StructType([SEQ, StructField("complete", BooleanType())])
+#: Parts of the register that are rewritten apart: as many as make one a task's work.
+BUCKETS = 64
 
 
-#: Landing rows of whole files; row streams name each micro-batch, so its replay replaces it.
-WHOLE = "whole"
-PARTITIONED = {"raw_finding": ["scan_run_id", "delivery"], "finding": ["scan_month"]}
-
-
-def _months(scans: list[Scan]) -> list[str]:
-    utc = [datetime.fromtimestamp(s.micros // 1_000_000, timezone.utc) for s in scans]
-    return sorted({f"{t:%Y_%m}" for t in utc})
+def _months(micros: list[int]) -> list[str]:
+    return sorted({f"{datetime.fromtimestamp(t // 1_000_000, timezone.utc):%Y_%m}" for t in micros})
 
 
 @dataclass(frozen=True)
@@ -68,49 +75,142 @@ class LoadResult:
     moves: list[Row] = field(default_factory=list)
 
 
+class Snapshot:
+    """The ledger as one manifest has it; lazy, and the same however often it is read."""
+
+    def __init__(self, ledger: Ledger, published: Manifest):
+        self.ledger, self.spark, self.manifest = ledger, ledger.spark, published
+
+    def table(self, name: str) -> DataFrame:
+        if name == "register_log":
+            return self._register_log()
+        rows = self.ledger.stored(name).filter(self.manifest.visible(name, name in BY_MONTH))
+        if name == "raw_finding":
+            runs = self.ledger.stored("landed_run").filter(self.manifest.visible("landed_run"))
+            rows = landing.resolve(rows, runs)
+        if name == "plugin_revision":
+            return rows.withColumnRenamed("load_seq", "revision")
+        return rows.drop("load_seq")
+
+    def _register_log(self) -> DataFrame:
+        past = manifest.manifests(self.spark, self.ledger.path("manifest")).filter(F.col("version") <= self.manifest.version)
+        moved = past.select("version", F.timestamp_micros("synced_at").alias("synced_at"), F.inline("moves"))
+        return moved.select("version", "synced_at", F.timestamp_micros("at").alias("scanned_at"), "opened", "reopened", "closed")
+
+    def register_state(self) -> DataFrame:
+        """The register with first sightings of problems never opened."""
+        return register_store.read(self.spark, self.ledger.path("register"), self.manifest.buckets)
+
+    def register(self) -> DataFrame:
+        """The commitments as of the last published reconciliation."""
+        return register.commitments(self.register_state())
+
+    def plugin(self) -> DataFrame:
+        """The catalogue: the newest revision of each check."""
+        return keyed.keep_last(self.table("plugin_revision"), ["plugin_id"], [F.col("revision")]).drop("revision")
+
+    def reports(self) -> dict[str, DataFrame]:
+        """The ten standing reports by name; each is lazy."""
+        finding, runs, poam = self.table("finding"), self.table("scan_run"), self.register()
+        bridge, counts = self.table("plugin_control"), self.table("rollup")
+        return {
+            "total_fact_rows": rollup.total_fact_rows(counts),
+            "by_severity": rollup.by_severity(counts, runs),
+            "trend": rollup.trend(counts),
+            "delta": reports.delta(finding, runs),
+            "aging": reports.aging(finding, runs, first_seen=self.register_state()),
+            "poam_status": reports.poam_status(poam, runs),
+            "by_owner": reports.by_owner(poam, runs),
+            "worst_overdue": reports.worst_overdue(poam, runs),
+            "correlate": correlation.correlate(self.table("control_status"), self.table("control"), bridge, finding, runs),
+            "uncovered": correlation.uncovered(finding, runs, bridge),
+        }
+
+    def quality(self) -> DataFrame:
+        names = ("scan_run", "finding", "raw_finding", "control", "plugin_control", "control_status")
+        tables = {name: self.table(name) for name in names}
+        return quality.quality_report({**tables, "register": self.register_state(), "plugin": self.plugin()})
+
+
 class Ledger:
-    def __init__(self, spark: SparkSession, root: str, inventory: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, root: str, inventory: DataFrame | None = None, buckets: int = BUCKETS):
+        """``buckets`` holds for a new ledger; one that exists keeps its own number."""
         self.spark = pin_utc(spark)
         self.root = root.rstrip("/")
         self.inventory = inventory
-        for name, schema in TABLES.items():
-            self._ensure(name, schema, PARTITIONED.get(name, []))
+        kept = [int(name.split("=")[1]) for name in storage.folders(spark, self.path("buckets"))]
+        self.buckets = kept[0] if kept else buckets
+        if not kept:
+            storage.make(spark, self.path(f"buckets/n={buckets}"))
 
-    def _ensure(self, path: str, schema: StructType, partitioned_by: list[str]) -> None:
-        """Create an empty table, leaving one that exists alone."""
-        empty = local_frame(self.spark, [], schema)
-        empty.write.mode("ignore").partitionBy(*partitioned_by).parquet(f"{self.root}/{path}")
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     # ---- reading ------------------------------------------------------------
 
+    def snapshot(self) -> Snapshot:
+        """The state published last."""
+        return Snapshot(self, self._manifest())
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}")
+        return self.snapshot().table(name)
 
     def register(self) -> DataFrame:
-        """The commitments as of the last published reconciliation."""
-        return register.commitments(self.register_state())
+        return self.snapshot().register()
 
     def register_state(self) -> DataFrame:
-        """The register with first sightings of problems never opened."""
-        return self._register_version(self._published()[0])
-
-    def _register_version(self, version: int, moves: bool = False) -> DataFrame:
-        schema = schemas.REGISTER_MOVES if moves else schemas.REGISTER
-        if version == 0:
-            return self.spark.createDataFrame([], schema)  # nothing reconciled yet
-        return self.spark.read.schema(schema).parquet(f"{self.root}/register/version={version}")
-
-    def _published(self) -> tuple[int, int | None]:
-        """Current register version and the scan time it is synced to, in microseconds."""
-        log = self.table("register_log").agg(
-            F.coalesce(F.max("version"), F.lit(0)).alias("version"),
-            F.unix_micros(F.max("synced_at")).alias("synced_at"),
-        )
-        return tuple(log.first())
+        return self.snapshot().register_state()
 
     def plugin(self) -> DataFrame:
-        """The catalogue: the newest revision of each check."""
-        return keyed.keep_last(self.table("plugin_revision"), ["plugin_id"], [F.col("revision")]).drop("revision")
+        return self.snapshot().plugin()
+
+    def reports(self) -> dict[str, DataFrame]:
+        return self.snapshot().reports()
+
+    def quality(self) -> DataFrame:
+        return self.snapshot().quality()
+
+    def stored(self, name: str) -> DataFrame:
+        """A table as it is stored, with what no reader sees."""
+        return storage.read_table(self.spark, StructType([*TABLES[name].fields, SEQ]), self.path(name))
+
+    def _manifest(self) -> Manifest:
+        return next(iter(manifest.newest(self.spark, self.path("manifest"))), Manifest())
+
+    # ---- loads and what they publish ----------------------------------------
+
+    def _loads(self) -> tuple[set[int], set[int]]:
+        """All loads that ever began, and those that are complete."""
+        rows = storage.read_table(self.spark, LOADS, self.path("load")).collect()
+        return {r.load_seq for r in rows}, {r.load_seq for r in rows if r.complete}
+
+    def _begin(self) -> int:
+        begun, _ = self._loads()
+        load_seq = max(begun, default=0) + 1
+        self._note(load_seq, False)
+        return load_seq
+
+    def _note(self, load_seq: int, complete: bool) -> None:
+        row = self.spark.range(1).select(F.lit(load_seq).cast("bigint").alias("load_seq"), F.lit(complete).alias("complete"))
+        row.coalesce(1).write.mode("append").parquet(self.path("load"))
+
+    def _publish(self, before: Manifest, begun: set[int], included: set[int], **changes) -> Manifest:
+        after = before.next(begun, included, **changes)
+        manifest.publish(self.spark, self.path("manifest"), after)
+        return after
+
+    def _append(self, name: str, rows: DataFrame, load_seq: int, order: tuple[str, ...] = ()) -> None:
+        """Rows of one load; ``order`` sorts a month's rows, for the statistics of their files."""
+        rows = rows.select(*TABLES[name].names).withColumn("load_seq", F.lit(load_seq).cast("bigint"))
+        if order:
+            rows = rows.sortWithinPartitions("scan_month", "load_seq", *order)
+        writer = rows.write.mode("append")
+        (writer.partitionBy("scan_month", "load_seq") if name in BY_MONTH else writer).parquet(self.path(name))
+
+    def _for_writer(self, name: str, published: Manifest, waiting: set[int]) -> DataFrame:
+        """What is published and what waits to be, but nothing of a load that died."""
+        counts = published.visible(name, name in BY_MONTH)
+        return self.stored(name).filter(counts | F.col("load_seq").isin(sorted(waiting)) if waiting else counts)
 
     # ---- loading scans ------------------------------------------------------
 
@@ -135,13 +235,9 @@ class Ledger:
         named = StructType([StructField("file", StringType()), *SCANS.fields])
         files_to_runs = local_frame(self.spark, [tuple(r) for r in rows], named).select("file", "scan_run_id")
         findings = scan_export.flatten_items(staged).join(files_to_runs, "file")
-        runs = sorted({tuple(r)[1:] for r in rows})
-        held = {r.scan_run_id for r in findings.select("scan_run_id").distinct().collect()}
-        landing = StructType([f for f in schemas.RAW_FINDING.fields if f.name != "scan_run_id"])
-        for run in sorted({r[0] for r in runs} - held):
-            nothing = local_frame(self.spark, [], landing)
-            nothing.write.mode("overwrite").parquet(f"{self.root}/raw_finding/scan_run_id={run}/delivery={WHOLE}")
-        return self._store(runs, findings, WHOLE)
+        landed = self._store(sorted({tuple(r)[1:] for r in rows}), findings, whole=True)
+        storage.delete(self.spark, staged_at)
+        return landed
 
     def load(self, runs: DataFrame, findings: DataFrame) -> LoadResult:
         """Land, type, deduplicate and reconcile a delivery of any number of scans.
@@ -151,153 +247,188 @@ class Ledger:
         """
         return LoadResult(self.store(runs, findings), self.reconcile())
 
-    def store(self, runs: DataFrame, findings: DataFrame, delivery: str = WHOLE) -> int:
+    def store(self, runs: DataFrame, findings: DataFrame, whole: bool = True) -> int:
         """Land and store a delivery, and leave the register for :meth:`reconcile`.
 
-        Storing ``delivery`` again replaces what it landed; another name adds to the
-        same runs' landing rows.
+        A ``whole`` delivery replaces all that was landed for its runs before; another
+        one adds to it, and replaces the rows that it has again.
         """
         listed = runs.select("scan_run_id", F.unix_micros("scanned_at"), "source").distinct()
-        return self._store(sorted(tuple(r) for r in listed.collect()), findings, delivery)
+        return self._store(sorted(tuple(r) for r in listed.collect()), findings, whole)
 
-    def _store(self, rows: list[tuple[str, int, str]], findings: DataFrame, delivery: str) -> int:
+    def _store(self, rows: list[tuple[str, int, str]], findings: DataFrame, whole: bool) -> int:
         if not rows:
             return 0
-        runs = local_frame(self.spark, rows, SCANS)
-        self._land(findings, delivery)
-        landed = self._store_facts([Scan(run, micros) for run, micros, _ in rows], runs)
-        self._append("stored_run", runs.withColumn("store_id", F.lit(uuid.uuid4().hex)))
+        published, (_, complete) = self._manifest(), self._loads()
+        waiting = {n for n in complete if not published.has(n)}
+        runs, times = local_frame(self.spark, rows, SCANS), [micros for _, micros, _ in rows]
+        load_seq = self._begin()
+        self._land(findings, runs, whole, load_seq)
+        landed = self._store_facts(runs, times, published, waiting, load_seq)
+        if landed:
+            self._roll_up(_months(times), load_seq)
+        known = self._for_writer("scan_run", published, waiting)
+        fresh = keyed.insert_if_absent(runs, known, ["scan_run_id"]).withColumn("ingested_at", F.current_timestamp())
+        self._append("scan_run", fresh.hint("rebalance"), load_seq)
+        self._note(load_seq, True)
         return landed
 
-    def reconcile(self) -> list[Row]:
-        """Bring the register up to every stored delivery, in scan-time order."""
-        waiting = self.table("stored_run").join(self.table("reconciled_store"), "store_id", "left_anti")
-        rows = waiting.select("scan_run_id", F.unix_micros("scanned_at"), "source", "store_id").collect()
-        if not rows:
-            return []
-        listed = sorted({tuple(r)[:3] for r in rows})
-        moves = self._reconcile([Scan(run, micros) for run, micros, _ in listed], local_frame(self.spark, listed, SCANS))
-        done = sorted({(r.store_id,) for r in rows})
-        self._append("reconciled_store", local_frame(self.spark, done, TABLES["reconciled_store"]))
-        return moves
-
-    def _land(self, findings: DataFrame, delivery: str) -> None:
-        findings.select(
-            "landing_seq", F.current_timestamp().alias("ingested_at"), to_payload().alias("payload"), "scan_run_id",
-            F.lit(delivery).alias("delivery"),
-        ).hint("rebalance", "scan_run_id").write.partitionBy("scan_run_id", "delivery").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(
-            f"{self.root}/raw_finding"
-        )
-
-    def _facts_of(self, scans: list[Scan]) -> DataFrame:
-        """Stored facts seen at the scans' times. Only their months are opened, so
-        the files of the rest of history are not even listed."""
-        stored = StructType([f for f in schemas.FINDING.fields if f.name != "scan_month"])
-        months = [f"finding/scan_month={month}" for month in _months(scans)]
-        for month in months:
-            self._ensure(month, stored, [])
-        reader = self.spark.read.schema(schemas.FINDING).option("basePath", f"{self.root}/finding")
-        facts_then = reader.parquet(*[f"{self.root}/{month}" for month in months])
-        times = [s.micros for s in scans]
+    def _land(self, findings: DataFrame, runs: DataFrame, whole: bool, load_seq: int) -> None:
+        months = runs.select("scan_run_id", scan_month(F.col("scanned_at")).alias("scan_month"))
+        rows = findings.select("scan_run_id", "landing_seq", "host", to_payload().alias("payload")).join(months, "scan_run_id")
+        rows = rows.withColumn("ingested_at", F.current_timestamp())
+        self._append("raw_finding", rows.hint("rebalance", "scan_month"), load_seq)
+        self._append("landed_run", runs.withColumn("whole", F.lit(whole)).hint("rebalance"), load_seq)
+
+    def _in_months(self, name: str, months: list[str]) -> DataFrame:
+        """Stored rows of some months. Only these are opened, so the files of the rest of
+        history are not even listed."""
+        schema = StructType([*TABLES[name].fields, SEQ])
+        places = [place for month in months if storage.exists(self.spark, place := self.path(f"{name}/scan_month={month}"))]
+        if not places:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*places)
+
+    def _store_facts(self, runs: DataFrame, times: list[int], published: Manifest, waiting: set[int], load_seq: int) -> int:
+        months = _months(times)
+        landed = self._in_months("raw_finding", months).filter(F.col("load_seq") == load_seq)
+        arriving = facts.project_facts(landed, runs)
+        counts = published.visible("finding", True)
+        known = self._in_months("finding", months).filter(counts | F.col("load_seq").isin(sorted(waiting)) if waiting else counts)
         low, high = (F.timestamp_micros(F.lit(t)) for t in (min(times), max(times)))
-        return facts_then.filter(F.col("scanned_at").between(low, high))
-
-    def _store_facts(self, scans: list[Scan], runs: DataFrame) -> int:
-        delivered = F.col("scan_run_id").isin([s.scan_run_id for s in scans])  # whole partitions
-        arriving = facts.project_facts(self.table("raw_finding").filter(delivered), runs)
+        known = known.filter(F.col("scanned_at").between(low, high))
         counted = Observation("landed")
-        fresh = facts.new_facts(arriving, self._facts_of(scans))
-        fresh = fresh.withColumn("scan_month", scan_month(F.col("scanned_at"))).select(*schemas.FINDING.names)
+        fresh = facts.new_facts(arriving, known).withColumn("scan_month", scan_month(F.col("scanned_at")))
         # A backfill would scatter every month over every task's output. The
         # rebalance is by size, so one month's bulk is still split.
-        fresh = fresh.hint("rebalance", "scan_month")
-        fresh.sortWithinPartitions("scan_month", "scanned_at", "host", "plugin_id").observe(
-            counted, F.count(F.lit(1)).alias("n")
-        ).write.partitionBy("scan_month").mode("append").parquet(f"{self.root}/finding")
+        fresh = fresh.hint("rebalance", "scan_month").observe(counted, F.count(F.lit(1)).alias("n"))
+        self._append("finding", fresh, load_seq, FACT_ORDER)
         return counted.get["n"]
 
-    def _reconcile(self, scans: list[Scan], runs: DataFrame) -> list[Row]:
-        version, synced_at = self._published()
-        due = self.table("scan_run").select(*SCANS.names).unionByName(runs)
-        if synced_at is not None:
-            due = due.filter(F.col("scanned_at") >= F.timestamp_micros(F.lit(synced_at)))
-        chain = (
-            due.groupBy(F.unix_micros("scanned_at").alias("at"))
-            .agg(F.min("scan_run_id").alias("id"))
-            .orderBy("at")
-            .collect()
-        )
-        first_step = 0 if synced_at is not None else 1
-        steps = local_frame(self.spark, [(r.id, r.at, i) for i, r in enumerate(chain, first_step)], register.STEPS)
-        folding = sorted({*scans, *(Scan(r.id, r.at) for r in chain)}, key=lambda s: (s.micros, s.scan_run_id))
-        wanted = local_frame(self.spark, [(s.scan_run_id,) for s in folding], StructType([SCANS["scan_run_id"]]))
-        arrived = self._facts_of(folding).join(wanted, "scan_run_id", "left_semi")
-        advanced = register.advance(self._register_version(version), arrived, steps, self.inventory)
-        version += 1
-        advanced.write.mode("overwrite").parquet(f"{self.root}/register/version={version}")
-        stored = self._register_version(version, moves=True)
-        moves = register.count_moves(stored, steps).withColumn("at", F.unix_micros("scanned_at")).orderBy("step").collect()
-        self._append(
-            "scan_run",
-            keyed.insert_if_absent(runs, self.table("scan_run"), ["scan_run_id"])
-            .withColumn("ingested_at", F.current_timestamp())
-            .hint("rebalance"),
-        )
-        newest = chain[-1].at if chain else synced_at
-        log = [(version, newest, r.at, r.opened, r.reopened, r.closed) for r in moves]
-        self._append("register_log", local_frame(self.spark, log, schemas.REGISTER_LOG))
-        return [r for r in moves if r.step > 0 or r.opened or r.reopened or r.closed]
+    def _roll_up(self, months: list[str], load_seq: int) -> None:
+        new = self._in_months("finding", months).filter(F.col("load_seq") == load_seq)
+        self._append("rollup", rollup.roll_up(new).hint("rebalance"), load_seq)
+
+    def reconcile(self) -> list[Row]:
+        """Bring the register up to every stored delivery, in scan-time order, and publish."""
+        published, (begun, complete) = self._manifest(), self._loads()
+        waiting = {n for n in complete if not published.has(n)}
+        if not waiting:
+            return []
+        late = self.stored("landed_run").filter(F.col("load_seq").isin(sorted(waiting))).select("scan_run_id").distinct()
+        runs = self._for_writer("scan_run", published, waiting).select(*SCANS.names)
+        delivered = runs.join(late, "scan_run_id").select(F.unix_micros("scanned_at").alias("at")).distinct().collect()
+        months = _months([r.at for r in delivered])
+        arrived = self._in_months("finding", months).filter(F.col("load_seq").isin(sorted(waiting)))
+        steps, chain = self._steps(runs, published.synced_at)
+        buckets, moves = self._advance(published, arrived, steps, chain)
+        moved = tuple((r.at, r.opened, r.reopened, r.closed) for r in moves)
+        newest = chain[-1] if chain else published.synced_at
+        self._publish(published, begun, waiting, synced_at=newest, buckets=published.buckets | buckets, moves=moved)
+        return moves
 
-    def _append(self, name: str, rows: DataFrame) -> None:
-        rows.select(*TABLES[name].names).write.mode("append").parquet(f"{self.root}/{name}")
+    def _steps(self, runs: DataFrame, synced_at: int | None) -> tuple[DataFrame, list[int]]:
+        """The scan times to go through: step 0 is where the register stands, if anywhere."""
+        due = runs if synced_at is None else runs.filter(F.col("scanned_at") >= F.timestamp_micros(F.lit(synced_at)))
+        rows = due.groupBy(F.unix_micros("scanned_at").alias("at")).agg(F.min("scan_run_id").alias("id")).orderBy("at").collect()
+        first = 1 if synced_at is None else 0
+        steps = local_frame(self.spark, [(r.id, r.at, i) for i, r in enumerate(rows, first)], register.STEPS)
+        return steps, [r.at for r in rows]
+
+    def _advance(self, published: Manifest, arrived: DataFrame, steps: DataFrame, chain: list[int]) -> tuple[dict[int, int], list[Row]]:
+        """Write the buckets in which something changes; what became of them, and the moves."""
+        folder, bucket = self.path("register"), register_store.bucket_of(self.buckets)
+        current = published.buckets
+        if published.synced_at is not None and not any(at > published.synced_at for at in chain):
+            # Nothing can close: only the keys that arrived may change.
+            asked = {r.bucket for r in arrived.select(bucket.alias("bucket")).distinct().collect()}
+            current = {b: v for b, v in current.items() if b in asked}
+        stored = register_store.read(self.spark, folder, current)
+        advanced = register.advance(stored, arrived, steps, self.inventory, n_steps=len(chain) + 1)
+        staged_at = scratch_dir(self.spark, "register-changes")
+        advanced.filter("changed").withColumn("bucket", bucket).write.parquet(staged_at)
+        changed = self.spark.read.parquet(staged_at)
+        touched = sorted(r.bucket for r in changed.select("bucket").distinct().collect())  # one row per bucket at most
+        version = published.version + 1
+        if touched:
+            old = register_store.read(self.spark, folder, {b: v for b, v in published.buckets.items() if b in touched})
+            register_store.write(register_store.rewritten(old, changed), folder, version, self.buckets)
+        moves = register.count_moves(changed, steps).withColumn("at", F.unix_micros("scanned_at")).orderBy("step").collect()
+        storage.delete(self.spark, staged_at)
+        return {b: version for b in touched}, [r for r in moves if r.step > 0 or r.opened or r.reopened or r.closed]
 
     # ---- the second source --------------------------------------------------
 
+    def _publish_rows(self, name: str, rows: DataFrame) -> None:
+        """Append to a small table and publish it; deliveries that wait go on waiting."""
+        published, load_seq = self._manifest(), self._begin()
+        self._append(name, rows.hint("rebalance"), load_seq)
+        self._publish(published, self._loads()[0], {load_seq})
+
     def seed_catalogs(self) -> int:
         """Install the built-in catalogues; returns how many checks are known."""
         self.upsert_plugins(catalogs.plugin_catalog(self.spark))
-        self._insert("control", catalogs.control_catalog(self.spark), ["control_id"])
-        self._insert("plugin_control", catalogs.evidence_map(self.spark), ["plugin_id", "control_id"])
+        self.insert("control", catalogs.control_catalog(self.spark), ["control_id"])
+        self.insert("plugin_control", catalogs.evidence_map(self.spark), ["plugin_id", "control_id"])
         return self.plugin().count()
 
     def upsert_plugins(self, incoming: DataFrame) -> None:
         """Later wording and rating win. Unchanged rows add no revision."""
-        changed = incoming.select(*schemas.PLUGIN.names).exceptAll(self.plugin())
-        last = self.table("plugin_revision").agg(F.coalesce(F.max("revision"), F.lit(0)).alias("v")).first().v
-        self._append("plugin_revision", changed.withColumn("revision", F.lit(last + 1)).hint("rebalance"))
+        self._publish_rows("plugin_revision", incoming.select(*schemas.PLUGIN.names).exceptAll(self.plugin()))
 
-    def _insert(self, name: str, incoming: DataFrame, keys: list[str]) -> None:
-        self._append(name, keyed.insert_if_absent(incoming, self.table(name), keys).hint("rebalance"))
+    def insert(self, name: str, incoming: DataFrame, keys: list[str]) -> None:
+        """Rows of a catalogue or map whose keys it does not have yet."""
+        self._publish_rows(name, keyed.insert_if_absent(incoming, self.table(name), keys))
 
     def record_assessment(self, export_id: str) -> int:
         """Assess as of the first scan. An export is frozen: recording it again
         adds nothing, and what is returned is how many statuses it contains."""
+        now = self.snapshot()
         assessed = correlation.assess_controls(
-            self.table("control"), self.table("plugin_control"), self.table("finding"), self.table("scan_run"), export_id
+            now.table("control"), now.table("plugin_control"), now.table("finding"), now.table("scan_run"), export_id
         )
-        self._insert("control_status", assessed, ["export_id", "control_id"])
+        self.insert("control_status", assessed, ["export_id", "control_id"])
         return self.table("control_status").filter(F.col("export_id") == export_id).count()
 
-    # ---- reports ------------------------------------------------------------
+    # ---- keeping house ------------------------------------------------------
 
-    def reports(self) -> dict[str, DataFrame]:
-        """The ten standing reports by name; each is lazy."""
-        finding, runs, poam = self.table("finding"), self.table("scan_run"), self.register()
-        bridge = self.table("plugin_control")
-        return {
-            "total_fact_rows": reports.total_fact_rows(finding),
-            "by_severity": reports.by_severity(finding, runs),
-            "trend": reports.trend(finding),
-            "delta": reports.delta(finding, runs),
-            "aging": reports.aging(finding, runs, first_seen=self.register_state()),
-            "poam_status": reports.poam_status(poam, runs),
-            "by_owner": reports.by_owner(poam, runs),
-            "worst_overdue": reports.worst_overdue(poam, runs),
-            "correlate": correlation.correlate(self.table("control_status"), self.table("control"), bridge, finding, runs),
-            "uncovered": correlation.uncovered(finding, runs, bridge),
-        }
+    def compact(self, name: str, months: list[str] | None = None) -> list[str]:
+        """Rewrite months of ``finding``, ``rollup`` or ``raw_finding`` as one load each.
 
-    def quality(self) -> DataFrame:
-        names = ("scan_run", "finding", "raw_finding", "control", "plugin_control", "control_status")
-        tables = {name: self.table(name) for name in names}
-        return quality.quality_report({**tables, "register": self.register_state(), "plugin": self.plugin()})
+        Landing rows that a newer delivery replaced are left out, counts of one cell are
+        added up; no report changes. What waits is reconciled first. Returns the months.
+        """
+        self.reconcile()
+        now = self.snapshot()
+        months = months or [n.split("=")[1] for n in storage.folders(self.spark, self.path(name))]
+        if not months:
+            return []
+        published, load_seq = now.manifest, self._begin()
+        rows = now.table(name).filter(F.col("scan_month").isin(months))
+        rows = rollup.merged(rows) if name == "rollup" else rows
+        order = {"finding": FACT_ORDER, "raw_finding": ("scan_run_id", "host", "landing_seq")}.get(name, ("scanned_at",))
+        self._append(name, rows.hint("rebalance", "scan_month"), load_seq, order)
+        floors = published.floors | {f"{name}/{month}": load_seq for month in months}
+        self._publish(published, self._loads()[0], {load_seq}, floors=floors)
+        return months
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete the folders that none of the last ``keep`` manifests reads: register
+        buckets that were rewritten, months that were compacted, loads that died. Returns
+        how many. Snapshots older than these manifests can no longer be read."""
+        kept = manifest.newest(self.spark, self.path("manifest"), keep)
+        if not kept:
+            return 0
+        named = {pair for m in kept for pair in m.buckets.items()}
+        gone = register_store.forget(self.spark, self.path("register"), named, kept[0].version)
+        _, complete = self._loads()
+        dead = {n for n in kept[0].hidden if n not in complete}
+        for name in BY_MONTH:
+            for month in storage.folders(self.spark, self.path(name)):
+                floor = min(m.floors.get(f"{name}/{month.split('=')[1]}", 0) for m in kept)
+                for load in storage.folders(self.spark, self.path(f"{name}/{month}")):
+                    n = int(load.split("=")[1])
+                    if n in dead or n < floor:
+                        storage.delete(self.spark, self.path(f"{name}/{month}/{load}"))
+                        gone += 1
+        return gone

@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import datetime
-from hashlib import sha256
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +83,13 @@ def watch_exports(
 def watch_sightings(ledger: Ledger, sightings: DataFrame, checkpoint: str, report: Report | None = None) -> Drain:
     """Load a stream of rows (source, scanned_at, landing_seq, host, plugin_id,
     plugin_name, severity, cve); rows of one source and time are one scan, however
-    many micro-batches they arrive in."""
-    feed = sha256(checkpoint.encode()).hexdigest()[:12]
+    many micro-batches they arrive in, and a row that comes again replaces itself."""
 
-    def store(batch: DataFrame, batch_id: int) -> int:
-        keyed = batch.withColumn("scan_run_id", run_id(F.col("source"), F.col("scanned_at")))
-        return ledger.store(keyed, keyed, f"{feed}-{batch_id}")
+    def store(batch: DataFrame, _batch_id: int) -> int:
+        keyed = batch.withColumn("scan_run_id", run_id(F.col("source"), F.col("scanned_at"))).persist()
+        landed = ledger.store(keyed, keyed, whole=False)  # the runs are listed first, then the rows land
+        keyed.unpersist()
+        return landed
 
     return _drain(ledger, sightings, store, checkpoint, report)
 

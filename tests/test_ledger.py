@@ -97,24 +97,148 @@ def test_several_scans_in_one_delivery(ledger, inbox):
     assert ledger.table("register_log").count() == 4
 
 
-@pytest.mark.parametrize("step", ["_store_facts", "_reconcile", "_append"])
-def test_load_that_died_is_run_again(ledger, inbox, monkeypatch, step):
-    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
-    path = scan(inbox, "b", 7, ("h1", 2, 2))
-    original = getattr(Ledger, step)
+STEPS = ["_begin", "_land", "_store_facts", "_roll_up", "_append", "_note", "_advance", "_publish"]
+
 
-    def die_after(self, *args, **kwargs):
-        original(self, *args, **kwargs)
-        raise RuntimeError("executor lost")
+def everything(ledger):
+    """All ten reports and the register, first sightings included."""
+    shown = {name: sorted(map(repr, df.collect())) for name, df in ledger.reports().items()}
+    return shown | {"register": sorted(map(repr, ledger.register_state().collect()))}
 
-    with monkeypatch.context() as patch:
-        patch.setattr(Ledger, step, die_after)
-        with pytest.raises(RuntimeError):
-            ledger.load_exports(path)
-    ledger.load_exports(path)
+
+def test_load_that_died_at_any_step_is_run_again(ledger, inbox, monkeypatch):
+    """A death after each step in turn, then the load itself: nothing shows but what is published."""
+    ledger.seed_catalogs()
+    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
+    ledger.record_assessment("e")
+    path = scan(inbox, "b", 7, ("h1", 2, 2))
+    before = everything(ledger)
+    for step in STEPS:
+        original = getattr(Ledger, step)
+
+        def die_after(self, *args, original=original, **kwargs):
+            original(self, *args, **kwargs)
+            raise RuntimeError("executor lost")
+
+        with monkeypatch.context() as patch:
+            patch.setattr(Ledger, step, die_after)
+            with pytest.raises(RuntimeError):
+                ledger.load_exports(path)
+        assert (everything(ledger) == before) == (step != "_publish"), step
+    assert ledger.load_exports(path).landed == 0
     assert state(ledger) == {("h1", 1): ("2026-01-05", "2026-01-12"), ("h1", 2): ("2026-01-12", None)}
     assert ledger.table("finding").count() == 2 and ledger.table("scan_run").count() == 2
-    assert ledger.quality().filter("violations > 0").count() == 0
+    assert ledger.reports()["total_fact_rows"].first().n == 2
+    assert [r.high_crit for r in ledger.reports()["trend"].collect()] == [1, 0]
+    assert ledger.quality().filter("violations > 0").select("constraint").collect() == []
+    assert ledger.vacuum(keep=1) > 0
+    assert ledger.table("finding").count() == 2 and len(state(ledger)) == 2
+
+
+def test_stored_loads_are_seen_by_no_report(ledger, inbox):
+    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
+    before = everything(ledger)
+    held = ledger.snapshot()
+    ledger.store_exports(scan(inbox, "b", 7, ("h1", 2, 2), ("h2", 1, 1)))
+    assert everything(ledger) == before
+    ledger.upsert_plugins(ledger.spark.createDataFrame([(1, "One", 2)], "plugin_id int, name string, severity smallint"))
+    assert everything(ledger) == before and ledger.plugin().count() == 1  # published past the load that waits
+    ledger.reconcile()
+    assert ledger.reports()["total_fact_rows"].first().n == 3
+    # A reader that resolved its manifest before goes on seeing that state.
+    assert {name: sorted(map(repr, df.collect())) for name, df in held.reports().items()} == {k: v for k, v in before.items() if k != "register"}
+
+
+def versions(ledger):
+    return dict(ledger.snapshot().manifest.buckets)
+
+
+def test_late_scan_of_one_key_rewrites_one_bucket(spark, tmp_path, inbox):
+    ledger = Ledger(spark, str(tmp_path / "bucketed"), buckets=16)
+    ledger.load_exports(scan(inbox, "a", 7, *[(f"h{i}", 1, 4) for i in range(40)]))
+    first = versions(ledger)
+    assert len(first) > 8 and Ledger(spark, str(tmp_path / "bucketed"), buckets=3).buckets == 16
+    ledger.load_exports(scan(inbox, "late", 0, ("h5", 1, 4)))
+    second = versions(ledger)
+    assert sum(first[b] != second[b] for b in first) == 1 and set(first) == set(second)
+    ledger.load_exports(scan(inbox, "b", 14, *[(f"h{i}", 1, 4) for i in range(40) if i != 9]))
+    assert sum(second[b] != v for b, v in versions(ledger).items()) == 1  # one closing
+    assert state(ledger)["h9", 1] == ("2026-01-12", "2026-01-19")
+    assert ledger.vacuum(keep=1) >= 2
+    assert len(state(ledger)) == 40
+
+
+@pytest.mark.parametrize("seed", [2, 5])
+def test_buckets_equal_rebuild(spark, tmp_path, seed):
+    """Random histories in random deliveries: the stored register is the rebuilt one."""
+    import random
+
+    from histories import as_dict, frames, random_history
+
+    from driftledger.operators import register
+
+    history = random_history(seed, scans=9, hosts=6)
+    ledger, rng, start = Ledger(spark, str(tmp_path / f"r{seed}"), buckets=5), random.Random(seed), 0
+    while start < len(history):
+        size = rng.randint(1, 4)
+        finding, runs = frames(spark, history[start : start + size])
+        ledger.load(runs, finding.selectExpr("scan_run_id", "0L AS landing_seq", "host", "plugin_id", "plugin_name", "severity", "cve"))
+        start += size
+    whole = register.rebuild(*frames(spark, history))
+    assert as_dict(ledger.register()) == as_dict(whole)
+    assert sorted(map(repr, ledger.register().collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_two_sources_at_one_time_equal_rebuild(spark, tmp_path):
+    """Whichever of two sources' scans of one instant is loaded first."""
+    from histories import as_dict, frames, random_history
+
+    from driftledger.operators import register
+
+    a, b = random_history(31, scans=3), random_history(32, scans=3)
+    parts = [frames(spark, a, "a"), frames(spark, b, "b")]
+    facts = parts[0][0].unionByName(parts[1][0]).dropDuplicates(["scanned_at", "host", "plugin_id"])
+    built = {k: v[2:] for k, v in as_dict(register.rebuild(facts, parts[0][1].unionByName(parts[1][1]))).items()}
+    for order in ((0, 1), (1, 0)):
+        ledger = Ledger(spark, str(tmp_path / f"o{order[0]}"))
+        for i in range(3):
+            for source in order:
+                finding, runs = frames(spark, [(a, b)[source][i]], "ab"[source])
+                ledger.load(runs, finding.selectExpr("scan_run_id", "0L AS landing_seq", "host", "plugin_id", "plugin_name", "severity", "cve"))
+        assert {k: v[2:] for k, v in as_dict(ledger.register()).items()} == built
+
+
+def test_rows_delivered_again_land_once(spark, ledger, tmp_path):
+    columns = "source string, scanned_at timestamp, landing_seq long, host string, plugin_id int, plugin_name string, severity smallint, cve string"
+    at = datetime.fromtimestamp(T0, timezone.utc)
+    rows = spark.createDataFrame([("s", at, i, f"h{i}", 1, "c", 4, None) for i in range(5)], columns)
+    feed = str(tmp_path / "feed")
+    for _ in range(3):
+        rows.coalesce(1).write.mode("append").parquet(feed)
+        watch_sightings(ledger, spark.readStream.schema(columns).parquet(feed), str(tmp_path / "offsets")).awaitTermination()
+    assert ledger.stored("raw_finding").count() == 15
+    assert ledger.table("raw_finding").count() == 5 and ledger.table("finding").count() == 5
+    before = everything(ledger)
+    assert ledger.compact("raw_finding") == ["2026_01"]
+    ledger.vacuum(keep=1)
+    assert ledger.stored("raw_finding").count() == ledger.table("raw_finding").count() == 5
+    watch_sightings(ledger, spark.readStream.schema(columns).parquet(feed), str(tmp_path / "again")).awaitTermination()
+    assert ledger.table("raw_finding").count() == 5 and everything(ledger) == before
+
+
+def test_compaction_changes_no_report(ledger, inbox):
+    for i, found in enumerate([[("h", 1, 4)], [("h", 2, 1)], [("h", 1, 4), ("h", 2, 1), ("g", 3, 0)], []]):
+        ledger.load_exports(scan(inbox, f"s{i}", 10 * i, *found))
+    ledger.load_exports(scan(inbox, "s0", 0, ("g", 9, 2)))  # adds a fact to a stored scan
+    before, held = everything(ledger), ledger.snapshot()
+    for name in ("finding", "rollup", "raw_finding"):
+        ledger.compact(name)
+        assert everything(ledger) == before
+    assert held.table("finding").count() == 6
+    assert ledger.vacuum(keep=1) > 0 and everything(ledger) == before
+    assert ledger.stored("rollup").count() == 6 and ledger.stored("finding").count() == 6
+    again = ledger.load_exports(scan(inbox, "s0", 0, ("g", 9, 2), ("k", 1, 1)))
+    assert again.landed == 1 and ledger.table("raw_finding").filter("host = 'k'").count() == 1
 
 
 def test_catalogue_revisions(ledger, spark):
