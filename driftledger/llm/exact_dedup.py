@@ -52,18 +52,19 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256, s
     empty. The row with the most code points stays, of those the smallest doc_id (a null
     id is the largest). Rows that repeat one doc_id with equal texts are one group, and
     ``kept`` is true for each of the winner's rows. An empty table gives no rows. Extra
-    columns are ignored. Two texts under one digest stay apart: where that happens, their
-    rows join on the text itself.
+    columns are ignored. Two texts under one digest stay apart: where that happens, the
+    groups of such digests are made again and their rows join on the text itself.
     """
     rows = keyed(docs, digest, salts)
-    groups = staged(classes(rows).select("digest", "keep_id", "group_size", "norm"), "exact-groups")
+    groups = staged(classes(rows).select("digest", "keep_id", "group_size"), "exact-groups")
     clash = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
     if clash.isEmpty():
-        out = spread_join(rows.drop("norm", "size"), groups.drop("norm"), "digest", "salt")
+        out = spread_join(rows.drop("norm", "size"), groups, "digest", "salt")
     else:
         clash = staged(clash, "exact-clashes")
-        plain = spread_join(rows.drop("norm", "size").join(clash, "digest", "left_anti"), groups.join(clash, "digest", "left_anti").drop("norm"), "digest", "salt")
-        same = rows.join(clash, "digest", "left_semi").drop("size").join(groups, ["digest", "norm"])
+        plain = spread_join(rows.drop("norm", "size").join(clash, "digest", "left_anti"), groups.join(clash, "digest", "left_anti"), "digest", "salt")
+        same = rows.join(clash, "digest", "left_semi")
+        same = same.drop("size").join(classes(same), ["digest", "norm"])
         out = plain.unionByName(same.drop("norm"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
@@ -73,13 +74,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     Where rows share both id and normalised text, one of them is taken.
     """
-    id_, digest = fresh(docs.columns, "keep_id"), fresh(docs.columns, "digest")
+    id_, digest, kept_digest = fresh(docs.columns, "keep_id"), fresh(docs.columns, "digest"), fresh(docs.columns, "kept_digest")
     groups = exact_groups(docs).filter("kept")
     winners = staged(groups.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")), "exact-winners")
     text = F.translate(F.coalesce(column(docs, "text"), F.lit("")), DELETED, "")
     rows = docs.withColumn(digest, sha256(text))
-    keys = winners.select(F.col("doc_id").alias(id_), F.col("digest").alias(digest + "_right"))
-    kept = rows.join(keys, column(docs, "doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(digest + "_right")), "left_semi")
+    keys = winners.select(F.col("doc_id").alias(id_), F.col("digest").alias(kept_digest))
+    kept = rows.join(keys, column(docs, "doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(kept_digest)), "left_semi")
     if not winners.filter("copies > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", digest])
     return kept.drop(digest)

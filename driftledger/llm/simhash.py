@@ -263,14 +263,14 @@ def keep_firsts(docs: DataFrame, members: DataFrame, roots: DataFrame) -> DataFr
     ``members`` has doc_id, digest and node of every row, ``roots`` node and root of the
     nodes that are not alone. Of rows that repeat both id and text one is taken.
     """
-    id_, digest = fresh(docs.columns, "kept_id"), fresh(docs.columns, "digest")
+    id_, digest, kept_digest = fresh(docs.columns, "kept_id"), fresh(docs.columns, "digest"), fresh(docs.columns, "kept_digest")
     members = staged(members.groupBy("node", "doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")), "keep-members")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest", "copies")
     nodes = members.groupBy("node").agg(F.min(rank).alias("first")).join(roots, "node", "left")
     stay = nodes.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    stay = staged(stay.select(F.col("first.doc_id").alias(id_), F.col("first.digest").alias(digest + "_right"), F.col("first.copies").alias("copies")), "keep-firsts")
+    stay = staged(stay.select(F.col("first.doc_id").alias(id_), F.col("first.digest").alias(kept_digest), F.col("first.copies").alias("copies")), "keep-firsts")
     rows = docs.withColumn(digest, text_digest(docs))
-    same = column(docs, "doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(digest + "_right"))
+    same = column(docs, "doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(kept_digest))
     kept = rows.join(stay.drop("copies"), same, "left_semi")
     if not stay.filter("copies > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", digest])
@@ -278,7 +278,11 @@ def keep_firsts(docs: DataFrame, members: DataFrame, roots: DataFrame) -> DataFr
 
 
 def drop_near(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one per component (``keep_firsts``)."""
+    """The rows of ``docs`` that stay, with all their columns: one per component (``keep_firsts``).
+
+    Null and empty texts have fingerprint 0 and are one component with what is near it; an
+    empty table stays empty.
+    """
     rows = docs.withColumn(digest := fresh(docs.columns, "digest"), text_digest(docs))
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
