@@ -24,6 +24,23 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[tuple[str, int]] | None:
+    """(path, length) of a file, or of the files right below a folder; None if there is
+    no such place. Names are taken as they are: nothing in them is a pattern."""
+    system, place = _at(spark, path)
+    if not system.exists(place):
+        return None
+    status = system.getFileStatus(place)
+    if status.isFile():
+        return [(status.getPath().toString(), status.getLen())]
+    return sorted((s.getPath().toString(), s.getLen()) for s in system.listStatus(place) if s.isFile())
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, place = _at(spark, path)
+    return system.exists(place) and system.getFileStatus(place).isDirectory()
+
+
 def make(spark: SparkSession, path: str) -> None:
     system, place = _at(spark, path)
     system.mkdirs(place)

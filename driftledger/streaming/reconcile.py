@@ -9,7 +9,6 @@ is only ever reconciled against newer scans, so stale data cannot reopen or clos
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from datetime import datetime
 
@@ -43,11 +42,6 @@ class Drain:
             self._report(LoadResult(sum(self._landed), moves))
 
 
-def literal(path: str) -> str:
-    """A path whose brackets, stars and the like are part of its name."""
-    return re.sub(r"([\\[\]{}*?])", r"\\\1", path)
-
-
 def watch_exports(
     ledger: Ledger,
     folder: str,
@@ -74,8 +68,7 @@ def watch_exports(
     )
 
     def store(batch: DataFrame, _batch_id: int) -> int:
-        files = [literal(r.file) for r in batch.collect()]
-        return ledger.store_exports(files, fallback, source)
+        return ledger.store_exports([r.file for r in batch.collect()], fallback, source)
 
     return _drain(ledger, names, store, checkpoint, report)
 

@@ -9,7 +9,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from driftledger.sources.scan_export import canonical_order, read_scan_exports
+from driftledger.sources.scan_export import canonical_order, export_hosts, read_scan_exports
 
 FAILURES = (PySparkException, Py4JJavaError)
 FALLBACK = datetime(2000, 1, 1, tzinfo=timezone.utc)
@@ -138,3 +138,49 @@ def test_six_weekly_exports(spark):
     assert first == sorted(first, key=lambda f: (f[0], f[1]))
     _, second = read(spark, str(files[1]))
     assert len(second) == 294
+
+
+def large(folder, hosts, name="large.nessus"):
+    """An export whose hosts differ in every part the reader looks at."""
+    parts = ['<?xml version="1.0"?>\n<!-- made <here> -->\n<Data><Policy><p>x</p></Policy><Report name="r">']
+    for i in range(hosts):
+        if i % 7 == 3:
+            parts.append(f'<ReportHost name="empty {i}" note="a > b"/>')
+        parts.append(host(f"h{i} &amp; co" if i % 5 else "", "".join(item(k, k % 5, f"check {k}", f"<cve>CVE-{k}</cve>") for k in range(i % 4)), 1767600000 + i if i % 3 else None))
+        if i % 11 == 5:
+            parts.append('</Report>\n<Report name="s">\n')
+    path = folder / name
+    path.write_text("\n".join(parts) + "</Report></Data>\n")
+    return path
+
+
+def test_a_large_file_is_read_in_several_tasks(spark, tmp_path):
+    path = large(tmp_path, 900)
+    whole = export_hosts(spark, str(path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        split = export_hosts(spark, str(path))
+        assert split.rdd.getNumPartitions() > 4
+        assert sorted(map(repr, split.collect())) == sorted(map(repr, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert whole.count() == 900 + len(range(3, 900, 7))
+    both = export_hosts(spark, [str(path), str(write(tmp_path / "small.nessus", host("box")))], split_bytes=10_000)
+    assert both.count() == whole.count() + 1
+
+
+@pytest.mark.parametrize("cut", [1, 8, 20, 300, 1000, 1800])
+def test_a_large_truncated_file_fails(spark, tmp_path, cut):
+    path = large(tmp_path, 40)
+    text = path.read_text()
+    path.write_text(text[:-cut] if cut > 1 else text[: text.rindex("</ReportHost>") + len("</ReportHost>")])
+    with pytest.raises(Exception, match="malformed|MALFORMED"):
+        export_hosts(spark, str(path), split_bytes=100).count()
+
+
+def test_a_large_file_without_hosts(spark, tmp_path):
+    (tmp_path / "none.nessus").write_text("<Data><Policy/>" + " " * 500 + "</Data>")
+    assert export_hosts(spark, str(tmp_path), split_bytes=100).count() == 0
+    (tmp_path / "none.nessus").write_text("<Data><Policy/>" + " " * 500)
+    with pytest.raises(Exception, match="malformed"):
+        export_hosts(spark, str(tmp_path), split_bytes=100).count()
