@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from driftledger import storage
 from driftledger.functions import policy
 from driftledger.functions.identity import DEFAULT_SOURCE
 from driftledger.functions.payload import project_payload, to_payload
@@ -457,6 +458,85 @@ def evidence_sources(spark, sf_dir):
     return correlation.evidence_sources(rel.controls_b(spark), assessed, rel.evidence_b(spark))
 
 
+# ---- the load job -----------------------------------------------------------
+
+
+def _delivery(events: DataFrame) -> DataFrame:
+    return rel.with_run(rel.sightings_a(events)).withColumn("source", F.lit(DEFAULT_SOURCE))
+
+
+def _before(day: str):
+    return F.to_date("ts") < F.lit(day).cast("date")
+
+
+def _export_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The events as export files, one a day, each event a host element with one item."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    seen = rel.sightings_a(rel.table(spark, sf_dir, "events")).withColumnRenamed("scanned_at", "ts")
+    cve = F.when(F.col("cve").isNotNull(), F.concat(F.lit("<cve>"), "cve", F.lit("</cve>"))).otherwise("")
+    host = F.concat(
+        F.lit('<ReportHost name="'), "host", F.lit('"><HostProperties><tag name="HOST_START_TIMESTAMP">'), F.unix_seconds("ts"),
+        F.lit('</tag></HostProperties><ReportItem pluginID="'), "plugin_id", F.lit('" severity="'), "severity",
+        F.lit('" pluginName="'), "plugin_name", F.lit('">'), cve, F.lit("</ReportItem></ReportHost>"),
+    )
+    days = seen.select(day.alias("day")).distinct()
+    start, end = '<?xml version="1.0"?><Data><Report name="day">', "</Report></Data>"
+    lines = seen.select(day.alias("day"), F.lit(1).alias("part"), host.alias("value"))
+    for part, text in ((0, start), (2, end)):
+        lines = lines.unionByName(days.select("day", F.lit(part).alias("part"), F.lit(text).alias("value")))
+    folder = scratch_dir(spark, "exports")
+    # A file is written by one task, as one scanner would; the days are dealt out.
+    lines.repartition("day").sortWithinPartitions("day", "part").select("value", "day").write.partitionBy("day").text(folder)
+    return [path for name in storage.folders(spark, folder) for path, _ in storage.files(spark, f"{folder}/{name}")]
+
+
+@_query
+def load_exports_register(spark, sf_dir):
+    """Files through the whole load job: what landed, what is stored, and the register."""
+    ledger = Ledger(spark, scratch_dir(spark, "ledger"))
+    ledger.load_exports(_export_files(spark, sf_dir))
+    landed, stored = (ledger.table(t).agg(F.count("*").alias("n")).scalar() for t in ("raw_finding", "finding"))
+    return ledger.register().drop("first_seen").withColumns({"rows_landed": landed, "facts_stored": stored})
+
+
+@_query
+def load_trend(spark, sf_dir):
+    """Two overlapping deliveries; the trend of the counts that the loads kept."""
+    ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
+    for lot in (events.filter(_before("2024-01-16")), events.filter(~_before("2024-01-11"))):
+        ledger.load(_delivery(lot), _delivery(lot))
+    return _dated(ledger.reports()["trend"])
+
+
+@_query
+def load_cells(spark, sf_dir):
+    """The counts themselves after a late delivery, one month compacted."""
+    ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
+    for lot in (events.filter(~_before("2024-01-11")), events.filter(_before("2024-01-13"))):
+        ledger.load(_delivery(lot), _delivery(lot))
+    ledger.compact("rollup")
+    return _dated(ledger.table("rollup")).select("d", "severity", "plugin_id", "n")
+
+
+@_query
+def load_published(spark, sf_dir):
+    """What readers see while a delivery is stored but not reconciled, and after it is."""
+    ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
+    first, rest = events.filter(_before("2024-01-16")), events.filter(~_before("2024-01-16"))
+    ledger.load(_delivery(first), _delivery(first))
+    ledger.store(_delivery(rest), _delivery(rest))
+    waiting = ledger.snapshot()
+    ledger.reconcile()
+
+    def seen(step, at):
+        facts = at.reports()["total_fact_rows"].scalar()
+        runs = at.table("scan_run").agg(F.count("*").alias("n")).scalar()
+        serious = at.table("finding").agg(F.count_if(F.col("severity") >= 3).alias("n")).scalar()
+        return reports.register_counts(at.register()).withColumns({"step": F.lit(step), "facts": facts, "scans": runs, "serious": serious})
+
+    return seen("stored", waiting).unionByName(seen("published", ledger.snapshot()))
+
+
 # ---- streaming --------------------------------------------------------------
 
 
@@ -483,6 +563,22 @@ def stream_register(spark, sf_dir):
     return ledger.register().drop("first_seen")
 
 
+@_query
+def stream_split(spark, sf_dir):
+    """Scans cut over micro-batches, every third row delivered twice: counts of what landed,
+    what is stored and what the register holds."""
+    events = rel.table(spark, sf_dir, "events")
+    ledger = Ledger(spark, scratch_dir(spark, "ledger"))
+    feed, checkpoint = scratch_dir(spark, "feed"), scratch_dir(spark, "offsets")
+    for lot in (events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1"), events.filter("event_id % 3 = 0")):
+        lot.write.mode("append").parquet(feed)
+    files = sum(path.endswith(".parquet") for path, _ in storage.files(spark, feed))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(feed)
+    watch_sightings(ledger, rel.sightings_a(stream).withColumn("source", F.lit(DEFAULT_SOURCE)), checkpoint).awaitTermination()
+    landed, stored = (ledger.table(t).agg(F.count("*").alias("n")).scalar() for t in ("raw_finding", "finding"))
+    return reports.register_counts(ledger.register()).withColumns({"rows_landed": landed, "facts_stored": stored})
+
+
 @_query
 def stream_late(spark, sf_dir):
     """One mid-month scan arrives after all others: its facts are kept, the
