@@ -21,7 +21,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType,
 
 from driftledger.functions import policy
 from driftledger.operators import presence
-from driftledger.operators.scans import latest_findings, newest_date, scan_chain
+from driftledger.operators.scans import latest_findings, newest_date, scan_chain, source_chains
 from driftledger.schemas import REGISTER
 
 KEY = ["host", "plugin_id"]
@@ -167,6 +167,65 @@ def transitions(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
     return _sum_moves(happened.unionByName(left).unionByName(quiet))
 
 
+def rebuild_by_source(finding: DataFrame, scan_run: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
+    """The register if each source's scans are a chain of their own.
+
+    A problem is open as long as the newest scan of some source reports it: a scan says
+    nothing about what only other sources look at. A commitment so closes with the last of
+    the sources that ever reported it to miss it.
+    """
+    per_source = (
+        finding.select("scan_run_id", "scanned_at", *KEY, "plugin_name", "severity")
+        .join(source_chains(scan_run), "scan_run_id")
+        .groupBy(*KEY, "source")
+        .agg(
+            F.min("scanned_at").alias("_since"),
+            F.min_by(F.struct("plugin_name", "severity"), F.struct("scanned_at", "scan_run_id")).alias("_seen"),
+            F.min(F.struct("scanned_at", "scan_run_id")).alias("_order"),
+            F.max_by("missed_at", "scanned_at").alias("_missed_at"),
+        )
+    )
+    per_key = per_source.groupBy(*KEY).agg(
+        F.min("_since").alias("first_seen"),
+        F.min_by("_seen", "_order").alias("_first"),
+        F.when(F.count("_missed_at") == F.count("*"), F.max("_missed_at")).alias("_closed_at"),
+    )
+    opened = per_key.select(
+        *KEY,
+        "first_seen",
+        "_first.plugin_name",
+        "_first.severity",
+        F.to_date("first_seen").alias("opened_on"),
+        F.to_date("_closed_at").alias("closed_on"),
+    )
+    return _commit(opened, inventory).select(*REGISTER.names)
+
+
+def transitions_by_source(finding: DataFrame, scan_run: DataFrame) -> DataFrame:
+    """Per scan time, what opened, reopened and closed in the register by source.
+
+    A sighting holds a problem open until its source's next scan. The holds of one problem,
+    in time order, run together where one begins no later than the others end.
+    """
+    holds = finding.select("scan_run_id", "scanned_at", *KEY).join(source_chains(scan_run), "scan_run_id")
+    never = F.lit("9999-12-31").cast("timestamp")
+    holds = holds.select(*KEY, "scanned_at", F.coalesce("missed_at", never).alias("until"))
+    history = Window.partitionBy(*KEY).orderBy("scanned_at", "until")
+    before, after = F.max("until").over(history.rowsBetween(Window.unboundedPreceding, -1)), F.lead("scanned_at").over(history)
+    until = F.max("until").over(history.rowsBetween(Window.unboundedPreceding, 0))
+    holds = holds.select("scanned_at", before.alias("_before"), until.alias("_until"), after.alias("_after"))
+    began = holds.groupBy("scanned_at").agg(
+        F.count_if(F.col("_before").isNull()).alias("opened"),
+        F.count_if(F.col("_before") < F.col("scanned_at")).alias("reopened"),
+        F.lit(0).cast("bigint").alias("closed"),
+    )
+    ended = holds.filter((F.col("_until") < never) & (F.col("_after").isNull() | (F.col("_after") > F.col("_until"))))
+    none = [F.lit(0).cast("bigint").alias(c) for c in ("opened", "reopened")]
+    closed = ended.groupBy(F.col("_until").alias("scanned_at")).agg(F.count("*").alias("closed")).select("scanned_at", *none, "closed")
+    quiet = scan_run.select("scanned_at", *none, F.lit(0).cast("bigint").alias("closed"))
+    return _sum_moves(began.unionByName(closed).unionByName(quiet))
+
+
 def _sum_moves(moves: DataFrame) -> DataFrame:
     return moves.groupBy("scanned_at").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("opened", "reopened", "closed")]

@@ -102,6 +102,13 @@ def scan_chain(scan_run: DataFrame) -> DataFrame:
     )
 
 
+def source_chains(scan_run: DataFrame) -> DataFrame:
+    """Per run its source and the time of that source's next scan, which misses what the
+    run reported and it does not. Runs over the scan list."""
+    following = Window.partitionBy("source").orderBy("scanned_at")
+    return scan_run.select("scan_run_id", "source", F.lead("scanned_at").over(following).alias("missed_at"))
+
+
 def listed(scan_run: DataFrame, most: int = 200_000) -> DataFrame:
     """The scan list as a relation of known size, if it has at most ``most`` scans.
 

@@ -105,6 +105,10 @@ class Snapshot:
         """The commitments as of the last published reconciliation."""
         return register.commitments(self.register_state())
 
+    def register_by_source(self) -> DataFrame:
+        """The commitments if each source's scans are a chain of their own, from history."""
+        return register.rebuild_by_source(self.table("finding"), self.table("scan_run"), self.ledger.inventory)
+
     def plugin(self) -> DataFrame:
         """The catalogue: the newest revision of each check."""
         return keyed.keep_last(self.table("plugin_revision"), ["plugin_id"], [F.col("revision")]).drop("revision")

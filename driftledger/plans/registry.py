@@ -327,6 +327,23 @@ def register_counts(spark, sf_dir):
     return reports.register_counts(register.rebuild(*_a(spark, sf_dir)))
 
 
+def _two_sources(spark, sf_dir):
+    """Relation A with scans of even days made by one source and of odd days by another."""
+    finding, runs = _a(spark, sf_dir)
+    source = F.when(F.dayofmonth("scanned_at") % 2 == 0, "even").otherwise("odd")
+    return finding, runs.withColumn("source", source)
+
+
+@_query
+def register_by_source(spark, sf_dir):
+    return register.rebuild_by_source(*_two_sources(spark, sf_dir)).drop("first_seen")
+
+
+@_query
+def transitions_by_source(spark, sf_dir):
+    return _dated(register.transitions_by_source(*_two_sources(spark, sf_dir)))
+
+
 @_query
 def sla_due(spark, sf_dir):
     register_b = register.rebuild(*_b(spark, sf_dir))

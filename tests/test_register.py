@@ -221,3 +221,40 @@ def test_equal_instants_in_any_order(spark):
         steps = at_t.withColumn("step", F.lit(0)).unionByName(last)
         current = settle(register.advance(current, b.filter(F.col("scanned_at") == F.lit(later)), steps), REGISTER)
         assert as_dict(current) == built
+
+
+def test_by_source_equals_a_plain_state_machine(spark):
+    """Two sources with histories of their own over shared problems."""
+    from datetime import timedelta
+
+    a = random_history(41, scans=6)
+    b = [(t + timedelta(days=3), f) for t, f in random_history(42, scans=5)]
+    frames_a, frames_b = frames(spark, a, "a"), frames(spark, b, "b")
+    finding, runs = (x.unionByName(y) for x, y in zip(frames_a, frames_b))
+    newest, want, counts = {}, {}, {}
+    for time, found, source in sorted([(t, f, "a") for t, f in a] + [(t, f, "b") for t, f in b], key=lambda x: x[0]):
+        newest[source] = found
+        held = {k for f in newest.values() for k in f}
+        opened = reopened = closed = 0
+        for k in held:
+            if k not in want:
+                want[k] = [*found[k], time.date(), None]
+                opened += 1
+            elif want[k][3]:
+                want[k][3] = None
+                reopened += 1
+        for k, row in want.items():
+            if k not in held and row[3] is None:
+                row[3] = time.date()
+                closed += 1
+        counts[time] = (opened, reopened, closed)
+    assert as_dict(register.rebuild_by_source(finding, runs)) == {k: tuple(v) for k, v in want.items()}
+    moved = register.transitions_by_source(finding, runs).withColumn("at", F.col("scanned_at").cast("string")).collect()
+    assert {r.at: (r.opened, r.reopened, r.closed) for r in moved} == {str(t): c for t, c in counts.items()}
+
+
+def test_by_source_of_one_source_is_the_register(spark):
+    finding, runs = frames(spark, random_history(43))
+    assert as_dict(register.rebuild_by_source(finding, runs)) == as_dict(register.rebuild(finding, runs))
+    one, two = (sorted(map(tuple, f(finding, runs).collect())) for f in (register.transitions, register.transitions_by_source))
+    assert one == two
