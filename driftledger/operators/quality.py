@@ -38,14 +38,66 @@ def zero_finding_newest_scan(finding: DataFrame, scan_run: DataFrame) -> DataFra
     return run.join(newest.findings(finding).select("scan_run_id").limit(1), "scan_run_id", "left_anti")
 
 
-def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Violations per constraint over the stored relations, zeros included."""
-    t = tables
-    checks = {
-        "scan_run: id unique": check_unique(t["scan_run"], ["scan_run_id"]),
-        "scan_run: source and time unique": check_unique(t["scan_run"], ["source", "scanned_at"]),
-        "finding: key unique": check_unique(t["finding"], FACT_KEY),
-        "register: key unique": check_unique(t["register"], ["host", "plugin_id"]),
+#: Kept by the load, per month or register bucket that it writes.
+KEPT = [
+    "scan_run: id unique",
+    "scan_run: source and time unique",
+    "finding: key unique",
+    "register: key unique",
+    "raw_finding: run known",
+    "newest scan: has findings",
+]
+
+
+def _counted(bad: DataFrame, name: str, scope: str | None = None) -> DataFrame:
+    """Offending values of one constraint, counted as a whole or per value of ``scope``."""
+    if scope is None:
+        return bad.agg(F.count("*").alias("violations")).select(F.lit(name).alias("constraint"), F.lit("").alias("scope"), "violations")
+    return bad.groupBy(F.col(scope).cast("string").alias("scope")).agg(F.sum("_bad").cast("bigint").alias("violations")).select(F.lit(name).alias("constraint"), "scope", "violations")
+
+
+def _repeated(df: DataFrame, keys: list[str], scope: str) -> DataFrame:
+    """Per key 1 if it is there more than once, else 0, so that a clean scope is counted, too."""
+    return df.groupBy(scope, *keys).agg((F.count("*") > 1).cast("int").alias("_bad"))
+
+
+def delivery_report(finding: DataFrame, landed: DataFrame, scan_run: DataFrame, register: DataFrame, newest: DataFrame) -> DataFrame:
+    """(constraint, scope, violations) of what a load wrote.
+
+    ``finding``: all facts at the delivery's scan times, since a key has its scan's time.
+    ``landed``: the rows it landed. ``register``: the buckets it rewrote, with ``bucket``.
+    ``newest``: the counts kept of the newest scan. The scan list is small and whole.
+    """
+    empty = newest.agg((F.coalesce(F.sum("n"), F.lit(0)) == 0).cast("bigint").alias("violations"))
+    found = [
+        _counted(check_unique(scan_run, ["scan_run_id"]), KEPT[0]),
+        _counted(check_unique(scan_run, ["source", "scanned_at"]), KEPT[1]),
+        _counted(_repeated(finding, FACT_KEY, "scan_month"), KEPT[2], "scan_month"),
+        _counted(_repeated(register, ["host", "plugin_id"], "bucket"), KEPT[3], "bucket"),
+        _counted(_unknown_runs(landed, scan_run), KEPT[4], "scan_month"),
+        empty.select(F.lit(KEPT[5]).alias("constraint"), F.lit("").alias("scope"), "violations"),
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+def _unknown_runs(landed: DataFrame, scan_run: DataFrame) -> DataFrame:
+    per_run = landed.groupBy("scan_month", "scan_run_id").agg(F.count("*").alias("n"))
+    known = scan_run.select("scan_run_id", F.lit(True).alias("_known"))
+    return per_run.join(known, "scan_run_id", "left").withColumn("_bad", F.col("_known").isNull().cast("int"))
+
+
+def kept_report(violation: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Violations per constraint as the loads kept them, the newest of each scope, and of
+    the catalogues as they are. Zeros are included; no fact and no landed row is read."""
+    newest = violation.groupBy("constraint", "scope").agg(F.max_by("violations", "load_seq").alias("violations"))
+    known = newest.groupBy("constraint").agg(F.sum("violations").cast("bigint").alias("violations"))
+    names = violation.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, KEPT))).alias("constraint"))
+    kept = names.join(known, "constraint", "left").select("constraint", F.coalesce("violations", F.lit(0)).alias("violations"))
+    return kept.unionAll(_report(_catalogue_checks(tables)))
+
+
+def _catalogue_checks(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
         "plugin: id unique": check_unique(t["plugin"], ["plugin_id"]),
         "control: id unique": check_unique(t["control"], ["control_id"]),
         "plugin_control: pair unique": check_unique(t["plugin_control"], ["plugin_id", "control_id"]),
@@ -56,9 +108,24 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
         "control_status: compliance known": check_domain(
             t["control_status"], "compliance", [policy.COMPLIANT, policy.NON_COMPLIANT]
         ),
-        "raw_finding: run known": check_fk(t["raw_finding"], t["scan_run"], "scan_run_id"),
-        "newest scan: has findings": zero_finding_newest_scan(t["finding"], t["scan_run"]),
     }
+
+
+def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """The audit: violations per constraint over all stored relations, zeros included."""
+    t = tables
+    whole = {
+        KEPT[0]: check_unique(t["scan_run"], ["scan_run_id"]),
+        KEPT[1]: check_unique(t["scan_run"], ["source", "scanned_at"]),
+        KEPT[2]: check_unique(t["finding"], FACT_KEY),
+        KEPT[3]: check_unique(t["register"], ["host", "plugin_id"]),
+        KEPT[4]: check_fk(t["raw_finding"], t["scan_run"], "scan_run_id"),
+        KEPT[5]: zero_finding_newest_scan(t["finding"], t["scan_run"]),
+    }
+    return _report(whole | _catalogue_checks(t))
+
+
+def _report(checks: dict[str, DataFrame]) -> DataFrame:
     counted = [
         bad.agg(F.count("*").alias("violations")).select(F.lit(name).alias("constraint"), "violations")
         for name, bad in checks.items()

@@ -11,7 +11,8 @@ writes in this order, nothing of which a reader sees:
 5. the delivery's runs;
 6. a note that the load is complete and waits for a reconciliation;
 7. new versions of the register buckets in which something changed;
-8. the manifest, which publishes all of it at once.
+8. which constraints the rows of this delivery break, if any;
+9. the manifest, which publishes all of it at once.
 
 Steps 1 to 6 are :meth:`Ledger.store`, the others :meth:`Ledger.reconcile`. Any number of
 deliveries may be stored before one reconciliation, in any order of their scans. A load that
@@ -49,6 +50,7 @@ TABLES = {
     "landed_run": StructType([StructField("scan_run_id", StringType()), StructField("whole", BooleanType())]),
     "finding": schemas.FINDING,
     "rollup": StructType([*[schemas.FINDING[c] for c in rollup.CELL], StructField("n", LongType())]),
+    "violation": StructType([StructField("constraint", StringType()), StructField("scope", StringType()), StructField("violations", LongType())]),
     "plugin_revision": schemas.PLUGIN,
     "control": schemas.CONTROL,
     "plugin_control": schemas.PLUGIN_CONTROL,
@@ -131,6 +133,13 @@ class Snapshot:
         }
 
     def quality(self) -> DataFrame:
+        """Violations per constraint as the loads found them where they wrote, and of the catalogues."""
+        violation = self.ledger.stored("violation").filter(self.manifest.visible("violation"))
+        small = {name: self.table(name) for name in ("control", "plugin_control", "control_status")}
+        return quality.kept_report(violation, {**small, "plugin": self.plugin()})
+
+    def audit(self) -> DataFrame:
+        """The same from all that is stored, whoever wrote it."""
         names = ("scan_run", "finding", "raw_finding", "control", "plugin_control", "control_status")
         tables = {name: self.table(name) for name in names}
         return quality.quality_report({**tables, "register": self.register_state(), "plugin": self.plugin()})
@@ -174,6 +183,9 @@ class Ledger:
     def quality(self) -> DataFrame:
         return self.snapshot().quality()
 
+    def audit(self) -> DataFrame:
+        return self.snapshot().audit()
+
     def stored(self, name: str) -> DataFrame:
         """A table as it is stored, with what no reader sees."""
         return storage.read_table(self.spark, StructType([*TABLES[name].fields, SEQ]), self.path(name))
@@ -328,6 +340,7 @@ class Ledger:
         buckets, moves = self._advance(published, arrived, steps, chain)
         moved = tuple((r.at, r.opened, r.reopened, r.closed) for r in moves)
         newest = chain[-1] if chain else published.synced_at
+        self._check(published, waiting, [r.at for r in delivered], newest, buckets)
         self._publish(published, begun, waiting, synced_at=newest, buckets=published.buckets | buckets, moves=moved)
         return moves
 
@@ -361,6 +374,21 @@ class Ledger:
         storage.delete(self.spark, staged_at)
         return {b: version for b in touched}, [r for r in moves if r.step > 0 or r.opened or r.reopened or r.closed]
 
+    def _check(self, published: Manifest, waiting: set[int], times: list[int], newest: int, buckets: dict[int, int]) -> None:
+        """Keep the constraint violations of the months and buckets that this delivery wrote."""
+        months, own = _months(times), F.col("load_seq").isin(sorted(waiting))
+        low, high = (F.timestamp_micros(F.lit(t)) for t in (min(times), max(times)))
+        then = self._in_months("finding", months).filter(published.visible("finding", True) | own)
+        counts = self._in_months("rollup", _months([newest])).filter(published.visible("rollup", True) | own)
+        report = quality.delivery_report(
+            then.filter(F.col("scanned_at").between(low, high)),
+            self._in_months("raw_finding", months).filter(own),
+            self._for_writer("scan_run", published, waiting),
+            register_store.read(self.spark, self.path("register"), buckets).withColumn("bucket", register_store.bucket_of(self.buckets)),
+            counts.filter(F.col("scanned_at") == F.timestamp_micros(F.lit(newest))),
+        )
+        self._append("violation", report.coalesce(1), max(waiting))
+
     # ---- the second source --------------------------------------------------
 
     def _publish_rows(self, name: str, rows: DataFrame) -> None:

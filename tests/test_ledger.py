@@ -97,7 +97,7 @@ def test_several_scans_in_one_delivery(ledger, inbox):
     assert ledger.table("register_log").count() == 4
 
 
-STEPS = ["_begin", "_land", "_store_facts", "_roll_up", "_append", "_note", "_advance", "_publish"]
+STEPS = ["_begin", "_land", "_store_facts", "_roll_up", "_append", "_note", "_advance", "_check", "_publish"]
 
 
 def everything(ledger):
@@ -241,6 +241,30 @@ def test_compaction_changes_no_report(ledger, inbox):
     assert again.landed == 1 and ledger.table("raw_finding").filter("host = 'k'").count() == 1
 
 
+def test_constraints_are_kept_where_rows_are_written(spark, ledger, inbox, capsys):
+    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
+    ledger.load_exports(scan(inbox, "b", 40, ("h2", 2, 2)))
+    assert ledger.quality().filter("violations > 0").count() == 0
+    names = {r.constraint for r in ledger.audit().collect()}
+    assert names == {r.constraint for r in ledger.quality().collect()} and len(names) == 14
+    # A copy of a stored fact, as some other writer might leave it.
+    january = ledger.stored("finding").filter("scan_month = '2026_01'").coalesce(1)
+    january.write.mode("append").partitionBy("scan_month", "load_seq").parquet(ledger.path("finding"))
+    broken = {"finding: key unique": 1}
+
+    def found(report):
+        return {r.constraint: r.violations for r in report.filter("violations > 0").collect()}
+
+    assert found(ledger.audit()) == broken and found(ledger.quality()) == {}
+    ledger.load_exports(scan(inbox, "c", 47, ("h2", 2, 2)))  # another month is opened
+    assert found(ledger.quality()) == {}
+    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4), ("h9", 3, 1)))
+    assert found(ledger.quality()) == broken
+    ledger.quality().explain("formatted")
+    text = capsys.readouterr().out
+    assert "/violation" in text and "/finding" not in text and "/raw_finding" not in text
+
+
 def test_catalogue_revisions(ledger, spark):
     assert ledger.seed_catalogs() == 20 and ledger.seed_catalogs() == 20
     assert ledger.table("plugin_revision").count() == 20
