@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from driftledger.llm import exact_dedup, mixing, packing, quality, simhash
+from driftledger.llm import packing, simhash
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACE = re.compile("[\x20\x09-\x0d]")
@@ -32,7 +32,7 @@ def rows():
     texts += [texts[3]] * 9 + [texts[4].replace(" ", "  "), texts[5] + "\n"]
     texts += [None, "", " \t", "x" * 4000, "long " * 9000]
     out = [(k, t, ("en", "fr", None)[k % 3], "hot" if k % 3 else ("a", "b", None)[k // 3 % 3]) for k, t in enumerate(texts)]
-    out += [(None, prose(rng, 40), "en", "hot"), (None, prose(rng, 40), "en", "a"), (7, prose(rng, 40), "en", "b"), (3, texts[3], "en", "hot"), (3, texts[3], "en", "hot")]
+    out += [(None, prose(rng, 40), "en", "hot"), (None, prose(rng, 40), "en", "a"), (7, prose(rng, 40), "en", "b"), (3, texts[3], "en", "b"), (3, texts[3], "en", "b")]  # whole rows repeated
     return [(*r, len(r[1] or ""), 1, 2, 3) for r in out]
 
 
@@ -185,6 +185,5 @@ def test_run_passes_documents_on(spark, sf_dir):
             assert docs.columns == columns
 
 
-def test_operators_are_the_dealt_ones():
-    assert (quality.drop_bad, exact_dedup.drop_copies, simhash.drop_near, mixing.mix, packing.pack)
+def test_near_stage_takes_the_operators_numbers():
     assert (simhash.SHINGLE, simhash.RADIUS) == (4, 4)
