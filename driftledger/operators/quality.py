@@ -38,7 +38,7 @@ def zero_finding_newest_scan(finding: DataFrame, scan_run: DataFrame) -> DataFra
     return run.join(newest.findings(finding).select("scan_run_id").limit(1), "scan_run_id", "left_anti")
 
 
-#: Kept by the load, per month or register bucket that it writes.
+#: Kept per month or register bucket that was written.
 KEPT = [
     "scan_run: id unique",
     "scan_run: source and time unique",
@@ -61,22 +61,26 @@ def _repeated(df: DataFrame, keys: list[str], scope: str) -> DataFrame:
     return df.groupBy(scope, *keys).agg((F.count("*") > 1).cast("int").alias("_bad"))
 
 
-def delivery_report(finding: DataFrame, landed: DataFrame, scan_run: DataFrame, register: DataFrame, newest: DataFrame) -> DataFrame:
-    """(constraint, scope, violations) of what a load wrote.
+def delivery_report(
+    finding: DataFrame, landed: DataFrame, scan_run: DataFrame, register: DataFrame, newest: DataFrame | None
+) -> DataFrame:
+    """(constraint, scope, violations) of what deliveries wrote.
 
-    ``finding``: all facts at the delivery's scan times, since a key has its scan's time.
-    ``landed``: the rows it landed. ``register``: the buckets it rewrote, with ``bucket``.
-    ``newest``: the counts kept of the newest scan. The scan list is small and whole.
+    ``finding``: all facts at their scan times, since a key has its scan's time. ``landed``:
+    the rows they landed. ``register``: the buckets they rewrote, with ``bucket``.
+    ``newest``: the counts kept of the newest scan, if there was a delivery. The scan list
+    is small and whole.
     """
-    empty = newest.agg((F.coalesce(F.sum("n"), F.lit(0)) == 0).cast("bigint").alias("violations"))
     found = [
         _counted(check_unique(scan_run, ["scan_run_id"]), KEPT[0]),
         _counted(check_unique(scan_run, ["source", "scanned_at"]), KEPT[1]),
         _counted(_repeated(finding, FACT_KEY, "scan_month"), KEPT[2], "scan_month"),
         _counted(_repeated(register, ["host", "plugin_id"], "bucket"), KEPT[3], "bucket"),
         _counted(_unknown_runs(landed, scan_run), KEPT[4], "scan_month"),
-        empty.select(F.lit(KEPT[5]).alias("constraint"), F.lit("").alias("scope"), "violations"),
     ]
+    if newest is not None:
+        empty = newest.agg((F.coalesce(F.sum("n"), F.lit(0)) == 0).cast("bigint").alias("violations"))
+        found.append(empty.select(F.lit(KEPT[5]).alias("constraint"), F.lit("").alias("scope"), "violations"))
     return reduce(DataFrame.unionAll, found)
 
 
@@ -87,8 +91,8 @@ def _unknown_runs(landed: DataFrame, scan_run: DataFrame) -> DataFrame:
 
 
 def kept_report(violation: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Violations per constraint as the loads kept them, the newest of each scope, and of
-    the catalogues as they are. Zeros are included; no fact and no landed row is read."""
+    """Violations per constraint, the newest of each scope, and of the catalogues as they
+    are. Zeros are included."""
     newest = violation.groupBy("constraint", "scope").agg(F.max_by("violations", "load_seq").alias("violations"))
     known = newest.groupBy("constraint").agg(F.sum("violations").cast("bigint").alias("violations"))
     names = violation.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, KEPT))).alias("constraint"))

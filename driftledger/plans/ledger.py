@@ -11,8 +11,7 @@ writes in this order, nothing of which a reader sees:
 5. the delivery's runs;
 6. a note that the load is complete and waits for a reconciliation;
 7. new versions of the register buckets in which something changed;
-8. which constraints the rows of this delivery break, if any;
-9. the manifest, which publishes all of it at once.
+8. the manifest, which publishes all of it at once.
 
 Steps 1 to 6 are :meth:`Ledger.store`, the others :meth:`Ledger.reconcile`. Any number of
 deliveries may be stored before one reconciliation, in any order of their scans. A load that
@@ -59,9 +58,8 @@ TABLES = {
 #: Stored by month and load; the others are small.
 BY_MONTH = ("raw_finding", "finding", "rollup")
 FACT_ORDER = ("scanned_at", "host", "plugin_id")
-LOADS = StructType([SEQ, StructField("complete", BooleanType())])
 #: Parts of the register that are rewritten apart: as many as make one a task's work.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def _months(micros: list[int]) -> list[str]:
@@ -95,7 +93,7 @@ class Snapshot:
         return rows.drop("load_seq")
 
     def _register_log(self) -> DataFrame:
-        past = manifest.manifests(self.spark, self.ledger.path("manifest")).filter(F.col("version") <= self.manifest.version)
+        past = manifest.log(self.spark, self.ledger.path("manifest")).filter(F.col("version") <= self.manifest.version)
         moved = past.select("version", F.timestamp_micros("synced_at").alias("synced_at"), F.inline("moves"))
         return moved.select("version", "synced_at", F.timestamp_micros("at").alias("scanned_at"), "opened", "reopened", "closed")
 
@@ -133,10 +131,33 @@ class Snapshot:
         }
 
     def quality(self) -> DataFrame:
-        """Violations per constraint as the loads found them where they wrote, and of the catalogues."""
-        violation = self.ledger.stored("violation").filter(self.manifest.visible("violation"))
+        """Violations per constraint: those that :meth:`Ledger.check` keeps, those of the months
+        and buckets written since, and the catalogues'."""
+        kept = self.ledger.stored("violation").filter(self.manifest.visible("violation"))
+        fresh = self.unchecked().withColumn("load_seq", F.lit(self.manifest.watermark + 1).cast("bigint"))
         small = {name: self.table(name) for name in ("control", "plugin_control", "control_status")}
-        return quality.kept_report(violation, {**small, "plugin": self.plugin()})
+        return quality.kept_report(kept.unionByName(fresh), {**small, "plugin": self.plugin()})
+
+    def unchecked(self) -> DataFrame:
+        """(constraint, scope, violations) of what loads wrote since the last check."""
+        m, ledger = self.manifest, self.ledger
+        load_seq, version = m.checked
+        new = F.col("load_seq") > load_seq
+        runs = self.table("scan_run")
+        named = ledger.stored("landed_run").filter(m.visible("landed_run") & new).select("scan_run_id").distinct()
+        times = [r.at for r in runs.join(named, "scan_run_id").select(F.unix_micros("scanned_at").alias("at")).distinct().collect()]
+        low, high = (F.timestamp_micros(F.lit(t)) for t in (min(times, default=0), max(times, default=0)))
+        then = ledger.in_months("finding", _months(times)).filter(m.visible("finding", True))
+        newest = F.timestamp_micros(F.lit(m.synced_at))
+        counts = ledger.in_months("rollup", _months([m.synced_at] if times else [])).filter(m.visible("rollup", True))
+        buckets = register_store.read(self.spark, ledger.path("register"), {b: v for b, v in m.buckets.items() if v > version})
+        return quality.delivery_report(
+            then.filter(F.col("scanned_at").between(low, high)),
+            ledger.in_months("raw_finding", _months(times)).filter(m.visible("raw_finding", True) & new),
+            runs,
+            buckets.withColumn("bucket", register_store.bucket_of(ledger.buckets)),
+            counts.filter(F.col("scanned_at") == newest) if times else None,
+        )
 
     def audit(self) -> DataFrame:
         """The same from all that is stored, whoever wrote it."""
@@ -197,18 +218,18 @@ class Ledger:
 
     def _loads(self) -> tuple[set[int], set[int]]:
         """All loads that ever began, and those that are complete."""
-        rows = storage.read_table(self.spark, LOADS, self.path("load")).collect()
-        return {r.load_seq for r in rows}, {r.load_seq for r in rows if r.complete}
+        noted = storage.names(self.spark, self.path("load"))
+        return {int(n) for n in noted if n.isdigit()}, {int(n.split(".")[0]) for n in noted if n.endswith(".complete")}
 
     def _begin(self) -> int:
-        begun, _ = self._loads()
-        load_seq = max(begun, default=0) + 1
-        self._note(load_seq, False)
+        """A number of its own for a load; the mark stays whatever becomes of it."""
+        load_seq = max(self._loads()[0], default=0) + 1
+        storage.make(self.spark, self.path("load"))
+        storage.write_text(self.spark, self.path(f"load/{load_seq}"), "")
         return load_seq
 
-    def _note(self, load_seq: int, complete: bool) -> None:
-        row = self.spark.range(1).select(F.lit(load_seq).cast("bigint").alias("load_seq"), F.lit(complete).alias("complete"))
-        row.coalesce(1).write.mode("append").parquet(self.path("load"))
+    def _complete(self, load_seq: int) -> None:
+        storage.write_text(self.spark, self.path(f"load/{load_seq}.complete"), "")
 
     def _publish(self, before: Manifest, begun: set[int], included: set[int], **changes) -> Manifest:
         after = before.next(begun, included, **changes)
@@ -286,7 +307,7 @@ class Ledger:
         known = self._for_writer("scan_run", published, waiting)
         fresh = keyed.insert_if_absent(runs, known, ["scan_run_id"]).withColumn("ingested_at", F.current_timestamp())
         self._append("scan_run", fresh.hint("rebalance"), load_seq)
-        self._note(load_seq, True)
+        self._complete(load_seq)
         return landed
 
     def _land(self, findings: DataFrame, runs: DataFrame, whole: bool, load_seq: int) -> None:
@@ -296,7 +317,7 @@ class Ledger:
         self._append("raw_finding", rows.hint("rebalance", "scan_month"), load_seq)
         self._append("landed_run", runs.withColumn("whole", F.lit(whole)).hint("rebalance"), load_seq)
 
-    def _in_months(self, name: str, months: list[str]) -> DataFrame:
+    def in_months(self, name: str, months: list[str]) -> DataFrame:
         """Stored rows of some months. Only these are opened, so the files of the rest of
         history are not even listed."""
         schema = StructType([*TABLES[name].fields, SEQ])
@@ -307,10 +328,10 @@ class Ledger:
 
     def _store_facts(self, runs: DataFrame, times: list[int], published: Manifest, waiting: set[int], load_seq: int) -> int:
         months = _months(times)
-        landed = self._in_months("raw_finding", months).filter(F.col("load_seq") == load_seq)
+        landed = self.in_months("raw_finding", months).filter(F.col("load_seq") == load_seq)
         arriving = facts.project_facts(landed, runs)
         counts = published.visible("finding", True)
-        known = self._in_months("finding", months).filter(counts | F.col("load_seq").isin(sorted(waiting)) if waiting else counts)
+        known = self.in_months("finding", months).filter(counts | F.col("load_seq").isin(sorted(waiting)) if waiting else counts)
         low, high = (F.timestamp_micros(F.lit(t)) for t in (min(times), max(times)))
         known = known.filter(F.col("scanned_at").between(low, high))
         counted = Observation("landed")
@@ -322,7 +343,7 @@ class Ledger:
         return counted.get["n"]
 
     def _roll_up(self, months: list[str], load_seq: int) -> None:
-        new = self._in_months("finding", months).filter(F.col("load_seq") == load_seq)
+        new = self.in_months("finding", months).filter(F.col("load_seq") == load_seq)
         self._append("rollup", rollup.roll_up(new).hint("rebalance"), load_seq)
 
     def reconcile(self) -> list[Row]:
@@ -331,26 +352,33 @@ class Ledger:
         waiting = {n for n in complete if not published.has(n)}
         if not waiting:
             return []
-        late = self.stored("landed_run").filter(F.col("load_seq").isin(sorted(waiting))).select("scan_run_id").distinct()
-        runs = self._for_writer("scan_run", published, waiting).select(*SCANS.names)
-        delivered = runs.join(late, "scan_run_id").select(F.unix_micros("scanned_at").alias("at")).distinct().collect()
-        months = _months([r.at for r in delivered])
-        arrived = self._in_months("finding", months).filter(F.col("load_seq").isin(sorted(waiting)))
+        runs = self._due(published, waiting)
+        months = _months([r.at for r in runs if r.delivered])
+        arrived = self.in_months("finding", months).filter(F.col("load_seq").isin(sorted(waiting)))
         steps, chain = self._steps(runs, published.synced_at)
         buckets, moves = self._advance(published, arrived, steps, chain)
         moved = tuple((r.at, r.opened, r.reopened, r.closed) for r in moves)
         newest = chain[-1] if chain else published.synced_at
-        self._check(published, waiting, [r.at for r in delivered], newest, buckets)
         self._publish(published, begun, waiting, synced_at=newest, buckets=published.buckets | buckets, moves=moved)
         return moves
 
-    def _steps(self, runs: DataFrame, synced_at: int | None) -> tuple[DataFrame, list[int]]:
+    def _due(self, published: Manifest, waiting: set[int]) -> list[Row]:
+        """Runs that were delivered, or that the register has not gone past: one short row each."""
+        named = self.stored("landed_run").filter(F.col("load_seq").isin(sorted(waiting)))
+        named = named.select("scan_run_id", F.lit(True).alias("_named")).distinct()
+        runs = self._for_writer("scan_run", published, waiting).join(named, "scan_run_id", "left")
+        runs = runs.select("scan_run_id", F.unix_micros("scanned_at").alias("at"), F.coalesce("_named", F.lit(False)).alias("delivered"))
+        later = F.lit(True) if published.synced_at is None else F.col("at") >= published.synced_at
+        return runs.filter(F.col("delivered") | later).collect()
+
+    def _steps(self, runs: list[Row], synced_at: int | None) -> tuple[DataFrame, list[int]]:
         """The scan times to go through: step 0 is where the register stands, if anywhere."""
-        due = runs if synced_at is None else runs.filter(F.col("scanned_at") >= F.timestamp_micros(F.lit(synced_at)))
-        rows = due.groupBy(F.unix_micros("scanned_at").alias("at")).agg(F.min("scan_run_id").alias("id")).orderBy("at").collect()
-        first = 1 if synced_at is None else 0
-        steps = local_frame(self.spark, [(r.id, r.at, i) for i, r in enumerate(rows, first)], register.STEPS)
-        return steps, [r.at for r in rows]
+        least: dict[int, str] = {}
+        for r in runs:
+            if synced_at is None or r.at >= synced_at:
+                least[r.at] = min(r.scan_run_id, least.get(r.at, r.scan_run_id))
+        chain, first = sorted(least), 1 if synced_at is None else 0
+        return local_frame(self.spark, [(least[at], at, i) for i, at in enumerate(chain, first)], register.STEPS), chain
 
     def _advance(self, published: Manifest, arrived: DataFrame, steps: DataFrame, chain: list[int]) -> tuple[dict[int, int], list[Row]]:
         """Write the buckets in which something changes; what became of them, and the moves."""
@@ -374,21 +402,6 @@ class Ledger:
         storage.delete(self.spark, staged_at)
         return {b: version for b in touched}, [r for r in moves if r.step > 0 or r.opened or r.reopened or r.closed]
 
-    def _check(self, published: Manifest, waiting: set[int], times: list[int], newest: int, buckets: dict[int, int]) -> None:
-        """Keep the constraint violations of the months and buckets that this delivery wrote."""
-        months, own = _months(times), F.col("load_seq").isin(sorted(waiting))
-        low, high = (F.timestamp_micros(F.lit(t)) for t in (min(times), max(times)))
-        then = self._in_months("finding", months).filter(published.visible("finding", True) | own)
-        counts = self._in_months("rollup", _months([newest])).filter(published.visible("rollup", True) | own)
-        report = quality.delivery_report(
-            then.filter(F.col("scanned_at").between(low, high)),
-            self._in_months("raw_finding", months).filter(own),
-            self._for_writer("scan_run", published, waiting),
-            register_store.read(self.spark, self.path("register"), buckets).withColumn("bucket", register_store.bucket_of(self.buckets)),
-            counts.filter(F.col("scanned_at") == F.timestamp_micros(F.lit(newest))),
-        )
-        self._append("violation", report.coalesce(1), max(waiting))
-
     # ---- the second source --------------------------------------------------
 
     def _publish_rows(self, name: str, rows: DataFrame) -> None:
@@ -424,6 +437,15 @@ class Ledger:
 
     # ---- keeping house ------------------------------------------------------
 
+    def check(self) -> DataFrame:
+        """Check what loads wrote since the last check, and keep what was found per month and
+        bucket, so that the next one opens only what was written after it."""
+        now, load_seq = self.snapshot(), self._begin()
+        self._append("violation", now.unchecked().coalesce(1), load_seq)
+        done = (now.manifest.watermark, now.manifest.version)
+        self._publish(now.manifest, self._loads()[0], {load_seq}, checked=done)
+        return self.quality()
+
     def compact(self, name: str, months: list[str] | None = None) -> list[str]:
         """Rewrite months of ``finding``, ``rollup`` or ``raw_finding`` as one load each.
 

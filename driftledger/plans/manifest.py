@@ -1,40 +1,27 @@
-"""What is published: one row that every reader resolves first.
+"""What is published: one file that every reader resolves first.
 
 Every stored row carries the number of the load that wrote it. A manifest names the loads
 that count (all up to ``watermark`` but the ``hidden`` ones, which died or still wait for a
 reconciliation), the version of each register bucket, and where a compaction has replaced a
-month's earlier loads. Writing the next manifest is the one step that publishes anything:
-before it readers see all of the old state, after it all of the new.
+month's earlier loads. Writing the next manifest, a small file that is renamed into its
+place, is the one step that publishes anything: before it readers see all of the old state,
+after it all of the new.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from driftledger.storage import read_table
+from driftledger import storage
 
-
-def _long(name: str) -> StructField:
-    return StructField(name, LongType())
-
-
-MOVED = StructType([_long("at"), _long("opened"), _long("reopened"), _long("closed")])
-MANIFEST = StructType(
-    [
-        _long("version"),
-        _long("watermark"),
-        StructField("hidden", ArrayType(LongType())),
-        _long("synced_at"),
-        StructField("buckets", ArrayType(StructType([_long("bucket"), _long("version")]))),
-        StructField("floors", ArrayType(StructType([StructField("place", StringType()), _long("load_seq")]))),
-        StructField("moves", ArrayType(MOVED)),
-    ]
-)
+#: What Spark reads of the published manifests: the moves per scan, over time.
+LOG = "version long, synced_at long, moves array<struct<at:long,opened:long,reopened:long,closed:long>>"
+MOVED = ("at", "opened", "reopened", "closed")
 
 
 @dataclass(frozen=True)
@@ -42,7 +29,8 @@ class Manifest:
     """``synced_at``: the scan time (microseconds) the register stands at. ``buckets``:
     bucket -> version that holds it. ``floors``: "table/month" -> the compaction that
     replaced what earlier loads wrote there. ``moves``: what the reconciliation that
-    published this did, per scan."""
+    published this did, per scan. ``checked``: the load and the version up to which
+    constraint violations are kept."""
 
     version: int = 0
     watermark: int = 0
@@ -51,6 +39,7 @@ class Manifest:
     buckets: dict[int, int] = field(default_factory=dict)
     floors: dict[str, int] = field(default_factory=dict)
     moves: tuple[tuple[int, int, int, int], ...] = ()
+    checked: tuple[int, int] = (0, 0)
 
     def has(self, load_seq: int) -> bool:
         return load_seq <= self.watermark and load_seq not in self.hidden
@@ -79,22 +68,34 @@ class Manifest:
         )
 
 
-def manifests(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, MANIFEST, folder)
+def log(spark: SparkSession, folder: str) -> DataFrame:
+    """The published manifests as rows of ``LOG``."""
+    if not storage.names(spark, folder):
+        return spark.createDataFrame([], LOG)
+    return spark.read.schema(LOG).option("pathGlobFilter", "*.json").json(folder)
 
 
 def newest(spark: SparkSession, folder: str, n: int = 1) -> list[Manifest]:
-    """The ``n`` last published manifests, newest first."""
-    rows = manifests(spark, folder).orderBy(F.desc("version")).limit(n).collect()
-    return [
-        Manifest(
-            r.version, r.watermark, tuple(r.hidden), r.synced_at,
-            {b.bucket: b.version for b in r.buckets}, {f.place: f.load_seq for f in r.floors}, tuple(tuple(m) for m in r.moves),
-        )
-        for r in rows
-    ]
+    """The ``n`` last published manifests, newest first. Names sort by version."""
+    published = sorted(name for name in storage.names(spark, folder) if name.endswith(".json"))
+    return [_parse(storage.read_text(spark, f"{folder}/{name}")) for name in published[: -n - 1 : -1]]
+
+
+def _parse(text: str) -> Manifest:
+    m = json.loads(text)
+    return Manifest(
+        m["version"],
+        m["watermark"],
+        tuple(m["hidden"]),
+        m["synced_at"],
+        {int(bucket): version for bucket, version in m["buckets"].items()},
+        m["floors"],
+        tuple(tuple(move[k] for k in MOVED) for move in m["moves"]),
+        tuple(m["checked"]),
+    )
 
 
 def publish(spark: SparkSession, folder: str, m: Manifest) -> None:
-    row = (m.version, m.watermark, list(m.hidden), m.synced_at, sorted(m.buckets.items()), sorted(m.floors.items()), list(m.moves))
-    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(folder)
+    row = asdict(m) | {"moves": [dict(zip(MOVED, move)) for move in m.moves]}
+    storage.make(spark, folder)
+    storage.write_text(spark, f"{folder}/{m.version:012d}.json", json.dumps(row))

@@ -41,6 +41,31 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(place) and system.getFileStatus(place).isDirectory()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below ``path``; none if there is no such place."""
+    return [p.rsplit("/", 1)[-1] for p, _ in files(spark, path) or []]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; one that exists is left alone."""
+    system, place = _at(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    stream = system.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    if not system.rename(draft, place):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, place = _at(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def make(spark: SparkSession, path: str) -> None:
     system, place = _at(spark, path)
     system.mkdirs(place)

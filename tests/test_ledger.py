@@ -1,4 +1,5 @@
 import os
+import re
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -97,7 +98,7 @@ def test_several_scans_in_one_delivery(ledger, inbox):
     assert ledger.table("register_log").count() == 4
 
 
-STEPS = ["_begin", "_land", "_store_facts", "_roll_up", "_append", "_note", "_advance", "_check", "_publish"]
+STEPS = ["_begin", "_land", "_store_facts", "_roll_up", "_append", "_complete", "_advance", "_publish"]
 
 
 def everything(ledger):
@@ -241,28 +242,32 @@ def test_compaction_changes_no_report(ledger, inbox):
     assert again.landed == 1 and ledger.table("raw_finding").filter("host = 'k'").count() == 1
 
 
-def test_constraints_are_kept_where_rows_are_written(spark, ledger, inbox, capsys):
-    ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
-    ledger.load_exports(scan(inbox, "b", 40, ("h2", 2, 2)))
-    assert ledger.quality().filter("violations > 0").count() == 0
+def test_constraints_are_checked_where_rows_were_written(ledger, inbox, capsys):
+    ledger.load_exports([scan(inbox, "a", 0, ("h1", 1, 4)), scan(inbox, "b", 40, ("h2", 2, 2))])
+
+    def found(report):
+        return {r.constraint: r.violations for r in report.filter("violations > 0").collect()}
+
     names = {r.constraint for r in ledger.audit().collect()}
-    assert names == {r.constraint for r in ledger.quality().collect()} and len(names) == 14
+    assert found(ledger.check()) == {} and len(names) == 14
+    assert names == {r.constraint for r in ledger.quality().collect()}
     # A copy of a stored fact, as some other writer might leave it.
     january = ledger.stored("finding").filter("scan_month = '2026_01'").coalesce(1)
     january.write.mode("append").partitionBy("scan_month", "load_seq").parquet(ledger.path("finding"))
     broken = {"finding: key unique": 1}
-
-    def found(report):
-        return {r.constraint: r.violations for r in report.filter("violations > 0").collect()}
-
     assert found(ledger.audit()) == broken and found(ledger.quality()) == {}
-    ledger.load_exports(scan(inbox, "c", 47, ("h2", 2, 2)))  # another month is opened
+    ledger.load_exports(scan(inbox, "c", 47, ("h2", 2, 2)))
     assert found(ledger.quality()) == {}
+    capsys.readouterr()
+    ledger.quality().explain("formatted")
+    places = re.findall(r"Location: .*", capsys.readouterr().out)
+    touched = [p for p in places if "/finding/" in p or "/raw_finding/" in p]
+    assert len(touched) == 2 and all("scan_month=2026_02" in p and "2026_01" not in p for p in touched)
     ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4), ("h9", 3, 1)))
-    assert found(ledger.quality()) == broken
+    assert found(ledger.quality()) == broken == found(ledger.check())
     ledger.quality().explain("formatted")
     text = capsys.readouterr().out
-    assert "/violation" in text and "/finding" not in text and "/raw_finding" not in text
+    assert "/violation" in text and "/finding" not in text and found(ledger.quality()) == broken
 
 
 def test_catalogue_revisions(ledger, spark):
