@@ -1,6 +1,7 @@
 """The operators on a small table of awkward rows, against brute force."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -188,9 +189,8 @@ def test_models_take_any_rows(docs, rows, none):
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
     from pyspark.sql import functions as F
 
-    for carried in (1000, 1):
-        got = toxicity.scored(docs, labels, F.col("doc_id") % 3 > 0, F.col("doc_id") % 3 == 0, carried).collect()
-        assert sorted(r.doc_id for r in got) == [r[0] for r in rows] and all(0 <= r.score <= 1 for r in got)
+    got = toxicity.scored(docs, labels, F.col("doc_id") % 3 > 0, F.col("doc_id") % 3 == 0).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows] and all(0 <= r.score <= 1 for r in got)
     assert toxicity.scored(none, labels.limit(0), F.lit(True), F.lit(True)).count() == 0
     found = {r.doc_id: r for r in language.identified(docs, docs).collect()}
     assert all((found[i].lang_pred == "und") == (not any(map(str.isalpha, t or ""))) for i, t, *_ in rows)
@@ -198,15 +198,28 @@ def test_models_take_any_rows(docs, rows, none):
     assert quality.scored(docs).count() == len(rows) and quality.scored(none).count() == 0
 
 
-def test_both_toxicity_paths_agree(docs):
-    from pyspark.sql import functions as F
-
+def test_toxicity_counts_and_ratios_equal_brute_force(docs, rows):
+    """Discounted class counts over a shared backoff, word by word, and what a text makes of them."""
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
     model, unseen = toxicity.ratios(toxicity.counted(docs.join(labels, "doc_id")))
-    one, other = ({r[0]: r[1:] for r in toxicity.described(docs, model, unseen, n).collect()} for n in (10**6, 0))
-    assert one.keys() == other.keys()
-    assert all(a == pytest.approx(b) for k in one for a, b in zip(one[k], other[k]))
-    assert F is not None
+    found = {r.doc_id: (r.peak, r.mean, r.strong) for r in toxicity.described(docs, model, unseen).collect()}
+    bins = lambda t: [xxhash.xxh64_intdigest(w) % 2**22 for w in re.findall(r"[^\W\d_]+", (t or "").lower())]
+    by_class, shared = {0: Counter(), 1: Counter()}, Counter()
+    for i, text, *_ in rows:
+        by_class[i % 2].update(bins(text))
+        shared.update(set(bins(text)))
+    n = {c: sum(by_class[c].values()) for c in by_class}
+
+    def p(word, c):
+        base = (shared[word] + 1) / (sum(shared.values()) + len(shared) + 1)
+        return max(by_class[c][word] - 0.75, 0) / n[c] + 0.75 * len(by_class[c]) / n[c] * base
+
+    assert unseen == pytest.approx(math.log(p(-1, 1) / p(-1, 0)))
+    for i, text, *_ in rows:
+        llr = [math.log(p(w, 1) / p(w, 0)) for w in bins(text)]
+        padded = llr + [0.0] * (2 - len(llr))
+        want = (max(a + b for a, b in zip(padded, padded[1:])) / 2, sum(llr) / len(llr), math.log1p(sum(max(x - 3, 0) for x in llr))) if llr else (0, 0, 0)
+        assert found[i] == pytest.approx(want, abs=1e-5)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
