@@ -8,8 +8,9 @@ combined before they are compared.
 
 Among the pieces of one minimizer, equal strings start at one distance from it. The
 suffixes at each such distance are merge-sorted: two suffixes are compared by their longest
-common extension, which binary search finds on prefix polynomial hashes, and every
-extension on which the result rests is verified on the bytes. Runs of neighbours that share
+common extension, which binary search finds on prefix polynomial hashes; the order that
+comes out is verified on the bytes, and made again with another base if a collision has
+spoilt it. Runs of neighbours that share
 ``span`` bytes are the repeats, and each learns the smallest document of its run.
 """
 
@@ -36,8 +37,13 @@ HIGH = np.uint64(0xFFFFFFFF00000000)
 AT_ONCE = 20_000
 
 
-def powers(n: int) -> np.ndarray:
-    return np.cumprod(np.r_[np.uint64(1), np.full(n, BASE)])
+def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(n, base)])
+
+
+def bases(k: int) -> np.uint64:
+    """Odd multipliers for the comparing hashes, tried in this order."""
+    return BASE if k == 0 else np.uint64(xxhash.xxh64_intdigest(b"base", k) | 1)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,6 +88,23 @@ def pieces_of(data: bytes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np
     return grams[place[new]].view(np.int64), new, np.diff(np.r_[new, n]), place[new] - new
 
 
+def in_order(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span: int) -> np.ndarray | None:
+    """Whether each suffix equals the one before it in its segment; None if one is smaller than that."""
+    equal = np.zeros(len(at), dtype=bool)
+    step = np.arange(span)
+    for first in range(1, len(at), 1 << 15):
+        here = np.arange(first, min(len(at), first + (1 << 15)))
+        here = here[segment[here] == segment[here - 1]]
+        own, last = codes[at[here][:, None] + step], codes[at[here - 1][:, None] + step]
+        differ = own != last
+        equal[here] = ~differ.any(axis=1)
+        place = differ.argmax(axis=1)
+        row = np.arange(len(here))
+        if (own[row, place] < last[row, place]).any():
+            return None
+    return equal
+
+
 def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, pieces: list[bytes], span: int = SPAN) -> np.ndarray:
     """Bit mask per piece of the starts whose ``span`` bytes also start in a piece of a smaller document.
 
@@ -90,9 +113,6 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     size = np.array([len(p) for p in pieces], dtype=np.int64)
     first = np.cumsum(size + 1) - size - 1
     codes = np.frombuffer(b"\0".join([*pieces, b""]), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-    # Prefix hashes: hash of [a, b) times power(-a) is prefix[b] - prefix[a]; powers bring two ranges level.
-    power = powers(len(codes))
-    prefix = np.r_[np.uint64(0), np.cumsum(codes * power[:-1])]
     starts = size - span + 1
     owner = np.repeat(np.arange(len(pieces)), starts)
     inner = np.arange(int(starts.sum())) - np.repeat(np.cumsum(starts) - starts, starts)
@@ -103,54 +123,62 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     shared = np.flatnonzero(np.bincount(segment, minlength=1)[segment] > 1)
     owner, inner, at, segment = owner[shared], inner[shared], at[shared], segment[shared]
 
-    def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
-        left, right = np.minimum(a, b), np.maximum(a, b)
-        while (lo < hi).any():
-            middle = (lo + hi + 1) // 2
-            same = (prefix[left + middle] - prefix[left]) * power[right - left] == prefix[right + middle] - prefix[right]
-            lo, hi = np.where(same, middle, lo), np.where(same, hi, middle - 1)
-        return lo
-
-    def before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """a's suffix is smaller than b's, by the byte after the common extension."""
-        n = extension(a, b)
-        end = np.minimum(n, span - 1)
-        return (n < span) & (codes[a + end] < codes[b + end])
-
-    # Bottom-up merges of runs in all segments at once: a suffix's place is its place in its
-    # own run and the number of suffixes of the neighbour run that come before it.
-    order = np.argsort(segment, kind="stable")
-    own = segment[order]
-    begin = np.searchsorted(own, own, "left")
-    end = np.searchsorted(own, own, "right")
-    longest, run = int((end - begin).max(initial=0)), 1
-    while run < longest:
-        here = np.flatnonzero(end - begin > run)  # the others are one run already
-        from_, to = begin[here], end[here]
-        local = here - from_
-        block = local // run
-        is_left = block % 2 == 0
-        low = from_ + np.where(is_left, block + 1, block - 1) * run
-        lo, hi = np.minimum(low, to), np.minimum(low + run, to)
-        base = lo.copy()
-        while (open_ := np.flatnonzero(lo < hi)).size:
-            middle = (lo[open_] + hi[open_]) // 2
-            mine, other = at[order[here[open_]]], at[order[middle]]
-            # Ties: the left run's suffixes come first.
-            goes = np.where(is_left[open_], before(other, mine), ~before(mine, other))
-            lo[open_] = np.where(goes, middle + 1, lo[open_])
-            hi[open_] = np.where(goes, hi[open_], middle)
-        placed = order.copy()
-        placed[from_ + (block - block % 2) * run + local % run + (lo - base)] = order[here]
-        order, run = placed, 2 * run
-    equal = np.zeros(len(order), dtype=bool)
-    if len(order) > 1:
-        equal[1:] = (segment[order[1:]] == segment[order[:-1]]) & (extension(at[order[1:]], at[order[:-1]]) == span)
-        check = np.flatnonzero(equal)
-        step = np.arange(span)
-        if (codes[at[order[check]][:, None] + step] != codes[at[order[check - 1]][:, None] + step]).any():
-            raise ArithmeticError("two different strings have equal hashes: choose another base")
+    def sort(base: np.uint64) -> np.ndarray:
+        # Prefix hashes: hash of [a, b) times power(-a) is prefix[b] - prefix[a]; powers bring two ranges level.
+        power = powers(len(codes), base)
+        prefix = np.r_[np.uint64(0), np.cumsum(codes * power[:-1])]
+
+        def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
+            left, right = np.minimum(a, b), np.maximum(a, b)
+            while (lo < hi).any():
+                middle = (lo + hi + 1) // 2
+                same = (prefix[left + middle] - prefix[left]) * power[right - left] == prefix[right + middle] - prefix[right]
+                lo, hi = np.where(same, middle, lo), np.where(same, hi, middle - 1)
+            return lo
+
+        def before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """a's suffix is smaller than b's, by the byte after the common extension."""
+            n = extension(a, b)
+            end = np.minimum(n, span - 1)
+            return (n < span) & (codes[a + end] < codes[b + end])
+
+        # Bottom-up merges of runs in all segments at once: a suffix's place is its place in its
+        # own run and the number of suffixes of the neighbour run that come before it.
+        order = np.argsort(segment, kind="stable")
+        own = segment[order]
+        begin = np.searchsorted(own, own, "left")
+        end = np.searchsorted(own, own, "right")
+        longest, run = int((end - begin).max(initial=0)), 1
+        while run < longest:
+            here = np.flatnonzero(end - begin > run)  # the others are one run already
+            from_, to = begin[here], end[here]
+            local = here - from_
+            block = local // run
+            is_left = block % 2 == 0
+            low = from_ + np.where(is_left, block + 1, block - 1) * run
+            lo, hi = np.minimum(low, to), np.minimum(low + run, to)
+            from_low = lo.copy()
+            while (open_ := np.flatnonzero(lo < hi)).size:
+                middle = (lo[open_] + hi[open_]) // 2
+                mine, other = at[order[here[open_]]], at[order[middle]]
+                # Ties: the left run's suffixes come first.
+                goes = np.where(is_left[open_], before(other, mine), ~before(mine, other))
+                lo[open_] = np.where(goes, middle + 1, lo[open_])
+                hi[open_] = np.where(goes, hi[open_], middle)
+            placed = order.copy()
+            placed[from_ + (block - block % 2) * run + local % run + (lo - from_low)] = order[here]
+            order, run = placed, 2 * run
+        return order
+
+    # A collision may have put suffixes in a wrong place. The order is proven on the bytes,
+    # neighbour by neighbour, and made again with another base where it does not hold.
+    for k in count():
+        order = sort(bases(k))
+        if (np.bincount(order, minlength=len(order)) == 1).all():  # else two went to one place
+            equal = in_order(codes, at[order], segment[order], span)
+            if equal is not None:
+                break
     runs = np.cumsum(~equal) - 1
     least = np.full(int(runs[-1]) + 1 if len(runs) else 0, np.iinfo(np.int64).max)
     np.minimum.at(least, runs, docs[owner[order]])
@@ -169,12 +197,13 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     Removes each byte covered by a ``span``-byte string that also starts in a document with
     a smaller id. Null texts are empty; shorter texts lose nothing. Rows that repeat an id
-    are not each other's sources, each loses what its own text repeats. Null ids are taken as one
-    id larger than any other. An empty table
+    are not each other's sources, each loses what its own text repeats. Null ids are taken as
+    the largest id there can be, 2^63 - 1, and come back as null. An empty table
     gives no rows; extra columns are ignored.
     """
     whole = F.coalesce(column(docs, "text"), F.lit(""))
-    rows = docs.select(F.coalesce(column(docs, "doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), whole.alias("text"))
+    doc_id = column(docs, "doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc_id, F.lit((1 << 63) - 1)).alias("id"), doc_id.isNull().alias("unknown"), whole.alias("text"))
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     # Of equal texts the first is compared; the others are repeats from end to end.
     firsts = staged(rows.groupBy("digest").agg(F.min("id").alias("first")), "suffix-firsts")
@@ -252,7 +281,7 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
             out = []
-            for doc_id, first, text, hits in zip(*[part[c].to_pylist() for c in ("id", "first", "text", "hits")]):
+            for doc_id, unknown, first, text, hits in zip(*[part[c].to_pylist() for c in ("id", "unknown", "first", "text", "hits")]):
                 data = utf8(text)
                 edges = np.zeros(len(data) + 1, dtype=np.int64)
                 if first < doc_id:
@@ -268,8 +297,7 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
                 gone = np.cumsum(edges)[:-1] > 0
                 kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
                 spans = int((np.diff(np.r_[0, gone.astype(np.int8)]) == 1).sum())
-                own = None if doc_id == (1 << 63) - 1 else doc_id
-                out.append((own, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((None if unknown else doc_id, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)

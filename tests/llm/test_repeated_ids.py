@@ -50,6 +50,36 @@ def removed(rows, span=50):
     return Counter(out)
 
 
+def test_suffixes_of_the_largest_id(spark):
+    r = random.Random(12)
+    shared = sentence(r, 30)
+    most = (1 << 63) - 1
+    rows = [(1, shared), (most, "its own " + shared), (None, "null " + shared + " end"), (most, sentence(r, 20))]
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed) for x in suffixes.repeats(table(spark, rows)).collect())
+    assert {k[0] for k in got} == {1, most, None} and sum(got.values()) == 4
+    lost = {k[0]: k[2] for k in got if k[2]}
+    assert set(lost) == {most, None} and all(n >= len(shared) for n in lost.values())
+
+
+def test_a_collision_takes_another_base(monkeypatch):
+    """With a base of 1 every permutation of a string collides: the order is made again."""
+    import numpy as np
+
+    r = random.Random(3)
+    core = b"x" * 18
+    pieces = [bytes(r.choices(b"ab", k=32)) + core + bytes(r.choices(b"ab", k=32)) for _ in range(40)]
+    pieces += [pieces[k][:20] + p[20:] for k, p in enumerate(pieces[5:12])] + pieces[:3]
+    group, ahead = np.zeros(len(pieces), np.int64), np.full(len(pieces), 32)
+    docs = np.arange(len(pieces))
+    want = suffixes.repeated_starts(group, docs, ahead, pieces)
+    real, tried = suffixes.bases, []
+    monkeypatch.setattr(suffixes, "bases", lambda k: tried.append(k) or (np.uint64(1) if k == 0 else real(k)))
+    assert (suffixes.repeated_starts(group, docs, ahead, pieces) == want).all() and tried == [0, 1]
+    for i, p in enumerate(pieces):
+        brute = [any(p[k : k + 50] == q[k : k + 50] for q in pieces[:i]) for k in range(len(p) - 49)]
+        assert [bool(want[i] >> k & 1) for k in range(len(p) - 49)] == brute
+
+
 def test_suffixes_of_null_and_repeated_ids(spark):
     r = random.Random(4)
     one, two, three = (sentence(r, 30) for _ in range(3))
