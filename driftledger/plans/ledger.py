@@ -323,7 +323,7 @@ class Ledger:
         schema = StructType([*TABLES[name].fields, SEQ])
         places = [place for month in months if storage.exists(self.spark, place := self.path(f"{name}/scan_month={month}"))]
         if not places:
-            return self.spark.createDataFrame([], schema)
+            return local_frame(self.spark, [], schema)
         return self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*places)
 
     def _store_facts(self, runs: DataFrame, times: list[int], published: Manifest, waiting: set[int], load_seq: int) -> int:

@@ -9,13 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from driftledger import storage
 from driftledger.operators.register import KEY
 from driftledger.schemas import REGISTER
-
-STORED = StructType([*REGISTER.fields, StructField("bucket", IntegerType())])
+from driftledger.session import local_frame
 
 
 def bucket_of(buckets: int) -> Column:
@@ -25,7 +23,7 @@ def bucket_of(buckets: int) -> Column:
 def read(spark: SparkSession, folder: str, versions: dict[int, int]) -> DataFrame:
     """The register rows of the given buckets, each from its version."""
     if not versions:
-        return spark.createDataFrame([], REGISTER)
+        return local_frame(spark, [], REGISTER)  # of a size that the planner knows
     paths = [f"{folder}/version={version}/bucket={bucket}" for bucket, version in sorted(versions.items())]
     return spark.read.schema(REGISTER).parquet(*paths)
 

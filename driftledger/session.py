@@ -58,6 +58,7 @@ _ARROW_TYPES = {
     "int": pa.int32(),
     "smallint": pa.int16(),
     "bigint": pa.int64(),
+    "boolean": pa.bool_(),
     "timestamp": pa.int64(),
     "date": pa.date32(),
 }

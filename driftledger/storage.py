@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from driftledger.session import local_frame
+
 
 def _at(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -79,5 +81,5 @@ def delete(spark: SparkSession, path: str) -> None:
 def read_table(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
     """A Parquet folder, empty as long as nothing has been written to it."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     return spark.read.schema(schema).parquet(path)
