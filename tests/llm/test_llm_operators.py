@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
@@ -198,28 +199,69 @@ def test_models_take_any_rows(docs, rows, none):
     assert quality.scored(docs).count() == len(rows) and quality.scored(none).count() == 0
 
 
-def test_toxicity_counts_and_ratios_equal_brute_force(docs, rows):
-    """Discounted class counts over a shared backoff, word by word, and what a text makes of them."""
+def test_toxicity_model_equals_brute_force(docs, rows):
+    """Discounted pairs over class continuation counts over shared ones, text by text, with words in place of bins."""
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
-    model, unseen = toxicity.ratios(toxicity.counted(docs.join(labels, "doc_id")))
-    found = {r.doc_id: (r.peak, r.mean, r.strong) for r in toxicity.described(docs, model, unseen).collect()}
-    bins = lambda t: [xxhash.xxh64_intdigest(w) % 2**22 for w in re.findall(r"[^\W\d_]+", (t or "").lower())]
-    by_class, shared = {0: Counter(), 1: Counter()}, Counter()
-    for i, text, *_ in rows:
-        by_class[i % 2].update(bins(text))
-        shared.update(set(bins(text)))
-    n = {c: sum(by_class[c].values()) for c in by_class}
-
-    def p(word, c):
-        base = (shared[word] + 1) / (sum(shared.values()) + len(shared) + 1)
-        return max(by_class[c][word] - 0.75, 0) / n[c] + 0.75 * len(by_class[c]) / n[c] * base
+    model = toxicity.learnt(toxicity.counted(docs.join(labels, "doc_id")))
+    found = {r.doc_id: r[1:] for r in toxicity.described(docs, model).collect()}
+    split = {i: re.findall(r"[^\W\d_]+", (t or "").lower()) for i, t, *_ in rows}
+    assert len({w for t in split.values() for w in t}) == len({b for _, t, *_ in rows for b in toxicity.tokens(t)})
+    both = {i: list(zip([None] + words, words)) for i, words in split.items()}
+    seen = {c: Counter(p for i in both if i % 2 == c for p in set(both[i])) for c in (0, 1)}
+    every = set(seen[0]) | set(seen[1])
+    follows = Counter(w for _, w in every)
+
+    def discount(counts):
+        n1, n2, n3 = (sum(1 for n in counts if n == k) + 1 for k in (1, 2, 3))
+        y = n1 / (n1 + 2 * n2)
+        d = {0: 0, 1: max(0.1, 1 - 2 * y * n2 / n1), 2: max(0.1, 2 - 3 * y * n3 / n2)}
+        return lambda n: d.get(n, 0.1)
+
+    def chance(c):
+        own = Counter(w for _, w in seen[c])
+        total, low, high = sum(own.values()), discount(own.values()), discount(seen[c].values())
+        n, gone = Counter(), Counter()
+        for (v, _), k in seen[c].items():
+            n[v] += k
+            gone[v] += high(k)
+
+        def lower(w):
+            return (own[w] - low(own[w])) / total + sum(map(low, own.values())) / total * (follows[w] + 1) / (len(every) + len(follows) + 1)
+
+        def upper(v, w):
+            return (seen[c][v, w] - high(seen[c][v, w])) / n[v] + gone[v] / n[v] * lower(w) if n[v] else lower(w)
+
+        assert sum(map(lower, follows)) < 1
+        return lower, upper
+
+    (lower0, upper0), (lower1, upper1) = chance(0), chance(1)
+
+    def three(x):
+        return (max(x), sum(x) / len(x), math.log1p(sum(max(a - 3, 0) for a in x))) if x else (0, 0, 0)
+
+    for i in both:
+        own = [math.log(lower1(w) / lower0(w)) for _, w in both[i]]
+        added = [math.log(upper1(v, w) / upper0(v, w)) - o for (v, w), o in zip(both[i], own)]
+        assert found[i] == pytest.approx(three(own) + three(added), abs=1e-4)
+
+
+def test_toxicity_finds_an_expression_of_ordinary_words(spark):
+    """Each word is as frequent in either class; only one order of two of them is toxic."""
+    words = [f"{a}{b}" for a in "bcdfgh" for b in ("ab", "ed", "in", "or", "ul")]
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(600):
+        body = [words[k] for k in rng.integers(0, len(words), 30)]
+        at = int(rng.integers(0, 28))
+        body[at : at + 2] = ["walking", "carpet"] if i % 3 == 0 else ["carpet", "walking"]
+        texts.append((i, " ".join(body), int(i % 3 == 0)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    from pyspark.sql import functions as F
 
-    assert unseen == pytest.approx(math.log(p(-1, 1) / p(-1, 0)))
-    for i, text, *_ in rows:
-        llr = [math.log(p(w, 1) / p(w, 0)) for w in bins(text)]
-        padded = llr + [0.0] * (2 - len(llr))
-        want = (max(a + b for a, b in zip(padded, padded[1:])) / 2, sum(llr) / len(llr), math.log1p(sum(max(x - 3, 0) for x in llr))) if llr else (0, 0, 0)
-        assert found[i] == pytest.approx(want, abs=1e-5)
+    fold = F.col("doc_id") % 5
+    got = {r.doc_id: r.predicted for r in toxicity.scored(docs, docs.select("doc_id", "toxic"), fold < 2, fold == 2).collect()}
+    apart = [(t, got[i]) for i, _, t in texts if i % 5 > 2]
+    assert sum(t != p for t, p in apart) <= 0.05 * len(apart)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
