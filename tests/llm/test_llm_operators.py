@@ -199,11 +199,11 @@ def test_models_take_any_rows(docs, rows, none):
     assert quality.scored(docs).count() == len(rows) and quality.scored(none).count() == 0
 
 
-def test_toxicity_model_equals_brute_force(docs, rows):
+def test_toxicity_model_equals_brute_force(spark, docs, rows):
     """Discounted pairs over class continuation counts over shared ones, text by text, with words in place of bins."""
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
     model = toxicity.learnt(toxicity.counted(docs.join(labels, "doc_id")))
-    found = {r.doc_id: r[1:] for r in toxicity.described(docs, model).collect()}
+    found = {r.doc_id: r[1:] for r in toxicity.described(docs, spark.sparkContext.broadcast(model)).collect()}
     split = {i: re.findall(r"[^\W\d_]+", (t or "").lower()) for i, t, *_ in rows}
     assert len({w for t in split.values() for w in t}) == len({b for _, t, *_ in rows for b in toxicity.tokens(t)})
     both = {i: list(zip([None] + words, words)) for i, words in split.items()}
