@@ -7,7 +7,8 @@ writes in this order, nothing of which a reader sees:
 1. the load's number, so that no other load ever takes it;
 2. landing rows, beside those that earlier deliveries landed for the same runs;
 3. facts that are not stored yet, in their month;
-4. the new facts' counts per scan, severity and check;
+4. the new facts' counts per scan, severity and check, numbers for hosts never seen
+   before, and the hosts' bitmaps per scan and check;
 5. the delivery's runs;
 6. a note that the load is complete and waits for a reconciliation;
 7. new versions of the register buckets in which something changed;
@@ -28,12 +29,12 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from driftledger import schemas, storage
 from driftledger.functions.identity import DEFAULT_SOURCE, scan_month
 from driftledger.functions.payload import to_payload
-from driftledger.operators import correlation, facts, keyed, landing, quality, register, reports, rollup
+from driftledger.operators import correlation, facts, hosts, keyed, landing, quality, register, reports, rollup
 from driftledger.operators.scans import SCANS, Scan
 from driftledger.plans import manifest, register_store
 from driftledger.plans.manifest import Manifest
@@ -49,6 +50,8 @@ TABLES = {
     "landed_run": StructType([StructField("scan_run_id", StringType()), StructField("whole", BooleanType())]),
     "finding": schemas.FINDING,
     "rollup": StructType([*[schemas.FINDING[c] for c in rollup.CELL], StructField("n", LongType())]),
+    "host": StructType([StructField("host", StringType()), StructField("host_no", LongType())]),
+    "reach": StructType([*[schemas.FINDING[c] for c in hosts.CELL], StructField("word", LongType()), StructField("bits", BinaryType())]),
     "violation": StructType([StructField("constraint", StringType()), StructField("scope", StringType()), StructField("violations", LongType())]),
     "plugin_revision": schemas.PLUGIN,
     "control": schemas.CONTROL,
@@ -56,7 +59,7 @@ TABLES = {
     "control_status": schemas.CONTROL_STATUS,
 }
 #: Stored by month and load; the others are small.
-BY_MONTH = ("raw_finding", "finding", "rollup")
+BY_MONTH = ("raw_finding", "finding", "rollup", "reach")
 FACT_ORDER = ("scanned_at", "host", "plugin_id")
 #: Parts of the register that are rewritten apart: as many as make one a task's work.
 BUCKETS = 16
@@ -130,6 +133,16 @@ class Snapshot:
             "uncovered": correlation.uncovered(finding, runs, bridge),
         }
 
+    def control_evidence(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """Findings, worst severity and distinct hosts per control over the scans from
+        ``since`` to ``until`` (both included; None: no bound), from what loads kept."""
+        at, month, within = F.col("scanned_at"), F.col("scan_month"), F.lit(True)
+        if since is not None:
+            within &= (at >= F.lit(since)) & (month >= scan_month(F.lit(since)))
+        if until is not None:
+            within &= (at <= F.lit(until)) & (month <= scan_month(F.lit(until)))
+        return hosts.control_evidence(self.table("reach").filter(within), self.table("rollup").filter(within), self.table("plugin_control"))
+
     def quality(self) -> DataFrame:
         """Violations per constraint: those that :meth:`Ledger.check` keeps, those of the months
         and buckets written since, and the catalogues'."""
@@ -198,6 +211,9 @@ class Ledger:
     def plugin(self) -> DataFrame:
         return self.snapshot().plugin()
 
+    def control_evidence(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        return self.snapshot().control_evidence(since, until)
+
     def reports(self) -> dict[str, DataFrame]:
         return self.snapshot().reports()
 
@@ -303,7 +319,7 @@ class Ledger:
         self._land(findings, runs, whole, load_seq)
         landed = self._store_facts(runs, times, published, waiting, load_seq)
         if landed:
-            self._roll_up(_months(times), load_seq)
+            self._roll_up(_months(times), published, waiting, load_seq)
         known = self._for_writer("scan_run", published, waiting)
         fresh = keyed.insert_if_absent(runs, known, ["scan_run_id"]).withColumn("ingested_at", F.current_timestamp())
         self._append("scan_run", fresh.hint("rebalance"), load_seq)
@@ -342,9 +358,13 @@ class Ledger:
         self._append("finding", fresh, load_seq, FACT_ORDER)
         return counted.get["n"]
 
-    def _roll_up(self, months: list[str], load_seq: int) -> None:
+    def _roll_up(self, months: list[str], published: Manifest, waiting: set[int], load_seq: int) -> None:
         new = self.in_months("finding", months).filter(F.col("load_seq") == load_seq)
         self._append("rollup", rollup.roll_up(new).hint("rebalance"), load_seq)
+        unknown = hosts.unknown(new, self._for_writer("host", published, waiting))
+        self._append("host", hosts.numbered(unknown, load_seq), load_seq)
+        numbers = self._for_writer("host", published, waiting | {load_seq})
+        self._append("reach", hosts.reach(new, numbers).hint("rebalance", "scan_month"), load_seq)
 
     def reconcile(self) -> list[Row]:
         """Bring the register up to every stored delivery, in scan-time order, and publish."""
@@ -447,10 +467,10 @@ class Ledger:
         return self.quality()
 
     def compact(self, name: str, months: list[str] | None = None) -> list[str]:
-        """Rewrite months of ``finding``, ``rollup`` or ``raw_finding`` as one load each.
+        """Rewrite months of ``finding``, ``rollup``, ``reach`` or ``raw_finding`` as one load each.
 
         Landing rows that a newer delivery replaced are left out, counts of one cell are
-        added up; no report changes. What waits is reconciled first. Returns the months.
+        added up or united; no report changes. What waits is reconciled first. Returns the months.
         """
         self.reconcile()
         now = self.snapshot()
@@ -459,7 +479,7 @@ class Ledger:
             return []
         published, load_seq = now.manifest, self._begin()
         rows = now.table(name).filter(F.col("scan_month").isin(months))
-        rows = rollup.merged(rows) if name == "rollup" else rows
+        rows = {"rollup": rollup.merged, "reach": hosts.merged}.get(name, lambda kept: kept)(rows)
         order = {"finding": FACT_ORDER, "raw_finding": ("scan_run_id", "host", "landing_seq")}.get(name, ("scanned_at",))
         self._append(name, rows.hint("rebalance", "scan_month"), load_seq, order)
         floors = published.floors | {f"{name}/{month}": load_seq for month in months}

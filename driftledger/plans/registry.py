@@ -15,7 +15,7 @@ from driftledger.functions.identity import DEFAULT_SOURCE
 from driftledger.functions.payload import project_payload, to_payload
 from driftledger.operators import correlation, facts, keyed, quality, register, reports, scans
 from driftledger.plans import relations as rel
-from driftledger.schemas import EXPORT_HOST
+from driftledger.schemas import EXPORT_HOST, PLUGIN_CONTROL
 from driftledger.plans.ledger import Ledger
 from driftledger.session import local_frame, pin_utc, scratch_dir
 from driftledger.sources import scan_export
@@ -535,6 +535,19 @@ def load_cells(spark, sf_dir):
     return _dated(ledger.table("rollup")).select("d", "severity", "plugin_id", "n")
 
 
+@_query
+def load_evidence(spark, sf_dir):
+    """Hosts per control as the loads' bitmaps have them: of all scans, and of some days, after
+    a late delivery that overlaps the first."""
+    ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
+    ledger.insert("plugin_control", local_frame(spark, rel.EVIDENCE_A, PLUGIN_CONTROL), ["plugin_id", "control_id"])
+    for lot in (events.filter(~_before("2024-01-11")), events.filter(_before("2024-01-13"))):
+        ledger.load(_delivery(lot), _delivery(lot))
+    ledger.compact("reach")
+    some = ledger.control_evidence(datetime(2024, 1, 10, tzinfo=timezone.utc), datetime(2024, 1, 12, tzinfo=timezone.utc))
+    return ledger.control_evidence().withColumn("scans", F.lit("all")).unionByName(some.withColumn("scans", F.lit("some")))
+
+
 @_query
 def load_published(spark, sf_dir):
     """What readers see while a delivery is stored but not reconciled, and after it is."""

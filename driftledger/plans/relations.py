@@ -31,6 +31,7 @@ EVENT_CHECKS = {"error": (104, 4), "purchase": (103, 3), "click": (102, 2), "vie
 # Relation B's controls and evidence map; check 99 never occurs.
 CONTROLS_B = [("C1", "Cipher strength", "C"), ("C2", "Inventory", "C"), ("C3", "Boundary", "C"), ("C4", "Training", "C"), ("C5", "Patching", "C")]
 EVIDENCE_B = [(4, "C1"), (9, "C1"), (1, "C2"), (2, "C2"), (99, "C3"), (3, "C5")]
+EVIDENCE_A = [(104, "C1"), (103, "C1"), (103, "C2"), (101, "C2"), (99, "C3"), (102, "C5"), (100, "C5")]
 EXPORT_ID_B = "7f9d2c10-0000-4000-8000-000000000001"
 SUPERSEDED_CHECK, SUPERSEDING_CHECK, SUPERSEDED_FROM = 3, 23, "1995-04-01"
 CHECKS_B = 20

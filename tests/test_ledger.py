@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_scan_export import host, item, write
 
+from driftledger.operators import correlation, hosts
 from driftledger.plans.ledger import Ledger
 from driftledger.streaming.reconcile import watch_exports, watch_sightings
 
@@ -104,6 +105,7 @@ STEPS = ["_begin", "_land", "_store_facts", "_roll_up", "_append", "_complete",
 def everything(ledger):
     """All ten reports and the register, first sightings included."""
     shown = {name: sorted(map(repr, df.collect())) for name, df in ledger.reports().items()}
+    shown["evidence"] = sorted(map(repr, ledger.control_evidence().collect()))
     return shown | {"register": sorted(map(repr, ledger.register_state().collect()))}
 
 
@@ -136,6 +138,34 @@ def test_load_that_died_at_any_step_is_run_again(ledger, inbox, monkeypatch):
     assert ledger.table("finding").count() == 2 and len(state(ledger)) == 2
 
 
+def test_hosts_per_control_are_exact_over_any_scans(spark, ledger, inbox, tmp_path):
+    """Bitmaps of several loads, one of them late, one repeated, against a count of the facts."""
+    bridge = spark.createDataFrame([(p, f"C{p % 3}") for p in range(1, 6)] + [(1, "C9"), (2, "C9"), (77, "C7")], "plugin_id int, control_id string")
+    ledger.insert("plugin_control", bridge, ["plugin_id", "control_id"])
+    found = {d: [(f"h{(7 * d + k) % 23}", 1 + (d * k) % 6, k % 5) for k in range(15)] for d in (30, 2, 40, 9)}
+    for day, items in found.items():
+        path = scan(inbox, f"s{day}", day, *items)
+        ledger.load_exports(path)
+    ledger.load_exports(path)
+    assert ledger.table("host").count() == ledger.table("host").select("host_no").distinct().count() == 23
+    at = lambda day: datetime.fromtimestamp(T0 + day * DAY, timezone.utc)
+    for since, until in ((None, None), (9, None), (None, 30), (9, 30), (50, None)):
+        facts = ledger.table("finding")
+        facts = facts.filter(F.col("scanned_at") >= F.lit(at(since))) if since else facts
+        facts = facts.filter(F.col("scanned_at") <= F.lit(at(until))) if until else facts
+        got = ledger.control_evidence(at(since) if since else None, at(until) if until else None)
+        assert sorted(got.collect()) == sorted(correlation.control_evidence(facts, bridge).collect())
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "/finding" not in plan and not re.search(r"hashpartitioning\(host", plan)
+
+
+def test_numbers_of_hosts_differ_over_tasks_and_loads(spark):
+    names = spark.range(1000).selectExpr("CAST(id AS string) AS host")
+    numbers = [r.host_no for load in (1, 2) for r in hosts.numbered(names, load, per_task=90).collect()]
+    assert len(set(numbers)) == 2000 and min(numbers) > 0
+    assert len({(n - 1) // 32768 for n in numbers}) == 2 * 12
+
+
 def test_stored_loads_are_seen_by_no_report(ledger, inbox):
     ledger.load_exports(scan(inbox, "a", 0, ("h1", 1, 4)))
     before = everything(ledger)
@@ -232,7 +262,7 @@ def test_compaction_changes_no_report(ledger, inbox):
         ledger.load_exports(scan(inbox, f"s{i}", 10 * i, *found))
     ledger.load_exports(scan(inbox, "s0", 0, ("g", 9, 2)))  # adds a fact to a stored scan
     before, held = everything(ledger), ledger.snapshot()
-    for name in ("finding", "rollup", "raw_finding"):
+    for name in ("finding", "rollup", "reach", "raw_finding"):
         ledger.compact(name)
         assert everything(ledger) == before
     assert held.table("finding").count() == 6
