@@ -37,10 +37,10 @@ def column(docs: DataFrame, name: str) -> Column:
     return docs["`" + name.replace("`", "``") + "`"]
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,7 @@ spoilt it. Runs of neighbours that share
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -192,14 +192,19 @@ def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def piece_mark(piece: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(piece) >> 1
+
+
+def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] = piece_mark) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
 
     Removes each byte covered by a ``span``-byte string that also starts in a document with
     a smaller id. Null texts are empty; shorter texts lose nothing. Rows that repeat an id
     are not each other's sources, each loses what its own text repeats. Null ids are taken as
     the largest id there can be, 2^63 - 1, and come back as null. An empty table
-    gives no rows; extra columns are ignored.
+    gives no rows; extra columns are ignored. Pieces are joined by ``marked``, any hash of their
+    bytes: pieces it cannot tell apart are told apart by the bytes.
     """
     whole = F.coalesce(column(docs, "text"), F.lit(""))
     doc_id = column(docs, "doc_id").cast("long")
@@ -207,11 +212,13 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     # Of equal texts the first is compared; the others are repeats from end to end.
     firsts = staged(rows.groupBy("digest").agg(F.min("id").alias("first")), "suffix-firsts")
-    texts = staged(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt"), "suffix-texts")
-    # Ids may repeat, and null ids share one: a text is known by its id and a hash of its
-    # digest, another hash where two texts of an id have an equal one.
-    of_text = next(h for k in count() if firsts.groupBy("first", (h := F.xxhash64("digest", F.lit(k)))).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty())
-    texts = texts.withColumn("twin", of_text).drop("digest")
+    # Ids may repeat, and null ids share one: where several texts have an id, a text is known
+    # by a hash of its digest, too, another hash where two of them have an equal one.
+    several = staged(firsts.groupBy("first").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("first", F.lit(True).alias("several")), "suffix-several")
+    alike = firsts.join(several, "first")
+    of_text = next(h for k in count() if alike.groupBy("first", (h := F.xxhash64("digest", F.lit(k)))).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty())
+    firsts = firsts.join(several, "first", "left").select("digest", "first", F.when(F.col("several"), of_text).otherwise(0).alias("twin"))
+    texts = staged(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt", "digest"), "suffix-texts", "zstd")
     single = texts.filter("id = first").select("id", "twin", "text")
 
     def minimizers(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -227,23 +234,29 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     wanted = grams.join(shared, "gram", "left_semi")
     wanted = staged(wanted.groupBy("id", "twin").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
 
-    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def cut(batch: pa.RecordBatch, whole: bool = False) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
             out: list[tuple] = []
+            least: dict[bytes, int] = {}  # a piece's bytes go with its smallest document of the batch alone
             for doc_id, twin, text, grams in zip(part["id"].to_pylist(), part["twin"].to_pylist(), part["text"].to_pylist(), part["grams"]):
                 data = utf8(text)
                 gram, start, n, ahead = pieces_of(data, span)
                 keep = np.isin(gram, grams.values.to_numpy())
                 for g, a, k, before in zip(*[x[keep].tolist() for x in (gram, start, n, ahead)]):
                     piece = data[a : a + k + span - 1]
-                    out.append((doc_id, twin, a, g, k, before, piece, xxhash.xxh3_64_intdigest(piece) >> 1))
+                    if whole or piece not in least or doc_id < out[least[piece]][0]:
+                        if not whole and piece in least:
+                            out[least[piece]] = (*out[least[piece]][:6], None, out[least[piece]][7])
+                        least[piece] = len(out)
+                    out.append((doc_id, twin, a, g, k, before, piece if least[piece] == len(out) else None, marked(piece)))
             columns = list(zip(*out)) or [()] * 8
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "twin", "at", "gram", "n", "ahead", "piece", "mark"])
 
-    found = through_arrow(single.join(wanted, ["id", "twin"]), cut, "id long, twin long, at long, gram long, n int, ahead int, piece binary, mark long")
-    found = staged(found, "suffix-pieces")
-    distinct = found.groupBy("gram", "mark", "piece").agg(F.min("id").alias("first"), F.first("ahead").alias("ahead"))
+    pieces = "id long, twin long, at long, gram long, n int, ahead int, piece binary, mark long"
+    holders = single.join(wanted, ["id", "twin"])
+    found = staged(through_arrow(holders, cut, pieces), "suffix-pieces", "zstd")
+    distinct = found.filter("piece IS NOT NULL").groupBy("gram", "mark", "piece").agg(F.min("id").alias("first"), F.first("ahead").alias("ahead"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -261,19 +274,21 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
             pieces = part["piece"].tolist()
             gram = part["gram"].to_numpy()
             mask = repeated_starts(gram, part["first"].to_numpy(), part["ahead"].to_numpy().astype(np.int64), pieces, span)
-            yield pd.DataFrame({"key": part["mark"].to_numpy(), "gram": gram, "piece": pieces, "first": part["first"], "mask": mask})
+            alike = part.duplicated(["gram", "mark"], keep=False).to_numpy()  # different pieces, one mark
+            told = [p if a else None for p, a in zip(pieces, alike)]
+            yield pd.DataFrame({"gram": gram, "mark": part["mark"].to_numpy(), "piece": told, "first": part["first"].to_numpy(), "mask": mask})
 
-    masks = distinct.repartition("gram").sortWithinPartitions("gram").mapInPandas(compare, "key long, gram long, piece binary, first long, mask long")
+    masks = distinct.repartition("gram").sortWithinPartitions("gram").mapInPandas(compare, "gram long, mark long, piece binary, first long, mask long")
     masks = staged(masks, "suffix-masks")
-    # A piece's later documents repeat all of it; its first one what the mask says. Equal
-    # marks of different pieces are told apart by the bytes.
-    marks = masks.groupBy("key").agg(F.count(F.lit(1)).alias("n_pieces"), F.first("first").alias("first"), F.first("mask").alias("mask"))
-    marks = staged(marks, "suffix-marks")  # with both sides plain shuffles, AQE can split a piece that very many documents have
-    joined = found.select("id", "twin", "at", "n", F.col("mark").alias("key")).join(marks.filter("n_pieces = 1"), "key")
-    twice = marks.filter("n_pieces > 1").select("key")
-    exact = found.withColumnRenamed("mark", "key").join(twice, "key", "left_semi").join(masks.select("key", "gram", "piece", "first", "mask"), ["key", "gram", "piece"])
+    # A piece's later documents repeat all of it; its first one what the mask says. Both sides
+    # are plain shuffles, so AQE can split a piece that very many documents have. Pieces of an
+    # equal mark are cut again and told apart by their bytes.
     fields = ("id", "twin", "at", "n", "first", "mask")
-    hits = joined.select(*fields).unionByName(exact.select(*fields))
+    hits = found.drop("piece").join(masks.filter("piece IS NULL").drop("piece"), ["gram", "mark"]).select(*fields)
+    clashing = masks.filter("piece IS NOT NULL")
+    if not clashing.isEmpty():
+        again = through_arrow(holders, lambda batch: cut(batch, whole=True), pieces)
+        hits = hits.unionByName(again.join(clashing, ["gram", "mark", "piece"]).select(*fields))
     every = F.when(F.col("id") > F.col("first"), F.lit(-1).cast("long")).otherwise(F.col("mask"))
     hits = hits.select("id", "twin", F.struct("at", "n", every.alias("mask")).alias("hit")).filter("hit.mask != 0")
     hits = staged(hits.groupBy("id", "twin").agg(F.collect_list("hit").alias("hits")), "suffix-hits")
@@ -303,7 +318,9 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return through_arrow(texts.join(hits, ["id", "twin"], "left"), remove, schema)
+    copies = texts.filter("id > first").withColumn("hits", F.lit(None).cast(hits.schema["hits"].dataType))
+    owners = texts.filter("id = first").join(hits, ["id", "twin"], "left")
+    return through_arrow(owners.unionByName(copies), remove, schema)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,12 +24,12 @@ def test_toxicity_gives_each_row_its_own(spark):
     rows = [(1, "one two three"), (1, "one two three"), (1, "four"), (2, None), (2, ""), (None, "one"), (None, "one"), (None, None), (3, "five one")]
     docs = table(spark, rows)
     labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
-    model, unseen = toxicity.ratios(toxicity.counted(docs.join(labels, "doc_id")))
-    found = Counter((r.doc_id, *[round(x, 5) for x in r[1:]]) for r in toxicity.described(docs.select("doc_id", "text"), model, unseen).collect())
+    model = spark.sparkContext.broadcast(toxicity.learnt(toxicity.counted(docs.join(labels, "doc_id"))))
+    found = Counter((r.doc_id, *[round(x, 5) for x in r[1:]]) for r in toxicity.described(docs.select("doc_id", "text"), model).collect())
     assert sum(found.values()) == len(rows) and Counter(k[0] for k in found.elements()) == Counter(i for i, _ in rows)
-    by_text = {t: k for t in ("one", "four") for k in [toxicity.described(table(spark, [(9, t)]), model, unseen).first()]}
+    by_text = {t: k for t in ("one", "four") for k in [toxicity.described(table(spark, [(9, t)]), model).first()]}
     assert found[(None, *[round(x, 5) for x in by_text["one"][1:]])] == 2 and found[(1, *[round(x, 5) for x in by_text["four"][1:]])] == 1
-    assert found[(2, 0.0, 0.0, 0.0)] == 2 and found[(None, 0.0, 0.0, 0.0)] == 1
+    assert found[(2, *[0.0] * 6)] == 2 and found[(None, *[0.0] * 6)] == 1
 
 
 def removed(rows, span=50):
