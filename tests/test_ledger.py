@@ -177,7 +177,7 @@ def test_stored_loads_are_seen_by_no_report(ledger, inbox):
     ledger.reconcile()
     assert ledger.reports()["total_fact_rows"].first().n == 3
     # A reader that resolved its manifest before goes on seeing that state.
-    assert {name: sorted(map(repr, df.collect())) for name, df in held.reports().items()} == {k: v for k, v in before.items() if k != "register"}
+    assert {name: sorted(map(repr, df.collect())) for name, df in held.reports().items()} == {k: v for k, v in before.items() if k not in ("register", "evidence")}
 
 
 def versions(ledger):
