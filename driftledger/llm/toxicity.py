@@ -12,10 +12,10 @@ and what the word before adds to them. Of either the largest counts besides, and
 what exceeds STRONG, so that a long text does not drown one insult. A logistic curve, fitted
 on labelled rows that the counts do not cover, turns the six into a probability.
 
-The model goes along with the tasks and has a fixed size whatever the corpus: words are
-counted under a hash of ``WORDS`` values and share counts where they share a value; of the
-pairs that share one of ``PAIRS`` values the most frequent keeps it, under a mark, and the
-others are unseen pairs.
+Words are counted under a hash of ``WORDS`` values and share counts where they share a value;
+what is kept per word goes along with the tasks and has a fixed size. Pairs grow with the
+corpus and are all kept, in a table. Texts ask it by chunks: a chunk's distinct pairs go to
+the buckets of their hash, the counts come back to the chunk, and its texts are described.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import pickle
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,16 +34,22 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftledger.llm.common import column, documents, held_out, in_pieces, staged, through_arrow
+from driftledger.llm.common import column, documents, held_out, in_pieces, through_arrow
 from driftledger.llm.quality import fit_linear
+from driftledger.session import scratch_dir
 
 #: Ratios above this count as strong evidence. Chosen, as the features and the discounts were, by cross-validation on rows not held out.
 STRONG = 3.0
 #: Labelled rows that the curve is fitted on, drawn by hash; the counts use all their rows.
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
-#: Values of the hash of a word and of a pair of words; 24 and 12 bytes each in a task, compressed on the way.
-WORDS, PAIRS = 1 << 21, 1 << 21
+#: Values of the hash of a word; 24 bytes each in a task, compressed on the way.
+WORDS = 1 << 21
+#: Buckets of pairs are as many as hold about so many each, and at least as many as these.
+PER_BUCKET, LEAST_BUCKETS = 1 << 20, 256
+#: Parts of the documents that are described one after the other, so that only one part's exchanges are on disk.
+ROUNDS = 3
+PAIR = "pair long, toxic long, ordinary long"
 #: What comes before a text's first word.
 START = WORDS
 #: What a count loses at least, so that every context leaves something to the lower order.
@@ -68,13 +75,20 @@ def mixed(pair: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def pair_bin(pair: np.ndarray) -> np.ndarray:
-    return (mixed(pair) >> np.uint64(43)).astype(np.int64) % PAIRS
+def dealt(pair: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of pairs by bucket, as they stand within one, and where each bucket begins and the last ends."""
+    bucket = ((mixed(pair) >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-def mark(pair: np.ndarray) -> np.ndarray:
-    """Never 0, which is a bin without a pair."""
-    return (mixed(pair) & np.uint64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1)
+def packed(numbers: np.ndarray) -> bytes:
+    """Byte by byte, since the high ones are mostly 0."""
+    return zlib.compress(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def loosened(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -88,7 +102,7 @@ def counted(rows: DataFrame) -> DataFrame:
             n = [np.bincount(which[chosen], minlength=len(found)) for chosen in (toxic, ~toxic)]
             yield pa.record_batch([pa.array(found, pa.int64()), *[pa.array(c, pa.int64()) for c in n]], names=["pair", *CLASSES])
 
-    table = through_arrow(rows.select("text", "toxic"), count, "pair long, toxic long, ordinary long")
+    table = through_arrow(rows.select("text", "toxic"), count, PAIR)
     return table.groupBy("pair").agg(*[F.sum(c).alias(c) for c in CLASSES])
 
 
@@ -105,29 +119,28 @@ def discounts(n1: int, n2: int, n3: int) -> tuple[float, float, float]:
 @dataclass(frozen=True)
 class Model:
     """Per class: a word's probability by the lower order; of the word before one over its count
-    and the share freed by discounts; of a pair's bin the count less its discount, if its mark fits."""
+    and the share freed by discounts; the discounts of a pair's count. ``pairs`` is the folder of
+    all counts, ``buckets`` how many parts they are looked up in."""
 
     word: tuple[np.ndarray, np.ndarray]
     per: tuple[np.ndarray, np.ndarray]
     freed: tuple[np.ndarray, np.ndarray]
-    pair: tuple[np.ndarray, np.ndarray]
-    marks: np.ndarray
+    lost: tuple[tuple[float, float, float], ...]
+    pairs: str
+    buckets: int
 
     def __reduce__(self) -> tuple:
         """Compressed: most of it is empty until the corpus is large."""
-        return unpacked, (zlib.compress(pickle.dumps((self.word, self.per, self.freed, self.pair, self.marks)), 1),)
+        return unpacked, (zlib.compress(pickle.dumps((self.word, self.per, self.freed, self.lost, self.pairs, self.buckets)), 1),)
 
-    def ratios(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """By the lower order, and what the word before adds."""
-        both = pairs(words)
-        place, before = pair_bin(both), both >> 32
-        known = self.marks[place] == mark(both)
+    def ratios(self, words: np.ndarray, before: np.ndarray, counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """By the lower order, and what the word before adds, by the pairs' counts per class."""
         logs, lower = [], []
-        for k in range(2):
+        for k, n in enumerate(counts):
             p = self.word[k][words].astype(np.float64)
             lower.append(np.log(p))
-            seen = np.where(known, self.pair[k][place], 0).astype(np.float64) * self.per[k][before]
-            logs.append(np.log(seen + self.freed[k][before] * p))
+            kept = (n - np.select([n == 1, n == 2, n > 2], self.lost[k], 0.0)).astype(np.float32)
+            logs.append(np.log(kept.astype(np.float64) * self.per[k][before] + self.freed[k][before] * p))
         own = lower[0] - lower[1]
         return own, logs[0] - logs[1] - own
 
@@ -137,9 +150,14 @@ def unpacked(data: bytes) -> Model:
 
 
 def learnt(counts: DataFrame) -> Model | None:
-    """The model of ``counted`` pairs; None if a class has none. What reaches the driver is bounded by WORDS and PAIRS."""
+    """The model of ``counted`` pairs, which are staged for it; None if a class has none. What
+    reaches the driver is bounded by WORDS."""
+    place = scratch_dir(counts.sparkSession, "toxicity-pairs")
+    with freed_exchanges(counts.sparkSession):
+        counts.write.parquet(place)
+    counts = counts.sparkSession.read.schema(PAIR).parquet(place)
     before, word = F.shiftright("pair", 32), F.col("pair").bitwiseAND(0xFFFFFFFF)
-    of = counts.agg(*[F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in CLASSES for k in (1, 2, 3)], *[F.max(c).alias(c) for c in CLASSES]).first()
+    of = counts.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in CLASSES for k in (1, 2, 3)], *[F.max(c).alias(c) for c in CLASSES]).first()
     if not of.toxic or not of.ordinary:
         return None
     lost = {c: discounts(*[of[f"{c}{k}"] for k in (1, 2, 3)]) for c in CLASSES}
@@ -165,18 +183,19 @@ def learnt(counts: DataFrame) -> Model | None:
     for k, c in enumerate(CLASSES):
         per[k][contexts["before"].to_numpy()] = contexts[f"per_{c}"].to_numpy()
         freed[k][contexts["before"].to_numpy()] = contexts[f"freed_{c}"].to_numpy()
+    return Model(tuple(lower), tuple(per), tuple(freed), tuple(lost[c] for c in CLASSES), place, max(LEAST_BUCKETS, -(-of.n // PER_BUCKET)))
 
-    def binned(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield pa.record_batch([pa.array(pair_bin(batch["pair"].to_numpy()), pa.int32()), *batch.columns], names=["bin", "pair", *CLASSES])
 
-    owners = through_arrow(counts, binned, "bin int, pair long, toxic long, ordinary long")
-    owners = owners.groupBy("bin").agg(F.max(F.struct((F.col("toxic") + F.col("ordinary")).alias("n"), "pair", *CLASSES)).alias("owner")).select("bin", "owner.*")
-    owners = owners.select("bin", "pair", *[(F.col(c) - loss[c]).cast("float").alias(c) for c in CLASSES]).toArrow()
-    marks, kept = np.zeros(PAIRS, dtype=np.uint32), [np.zeros(PAIRS, dtype=np.float32) for _ in CLASSES]
-    marks[owners["bin"].to_numpy()] = mark(owners["pair"].to_numpy())
-    for k, c in enumerate(CLASSES):
-        kept[k][owners["bin"].to_numpy()] = owners[c].to_numpy()
-    return Model(tuple(lower), tuple(per), tuple(freed), tuple(kept), marks)
+@contextmanager
+def freed_exchanges(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go when it is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def summary(ratios: np.ndarray) -> tuple[float, float, float]:
@@ -186,20 +205,119 @@ def summary(ratios: np.ndarray) -> tuple[float, float, float]:
     return float(ratios.max()), float(ratios.mean()), float(np.log1p(np.maximum(ratios - STRONG, 0).sum()))
 
 
-def described(rows: DataFrame, shared: Broadcast) -> DataFrame:
-    """doc_id and FEATURES of every row of (doc_id, text), by a broadcast model (or None)."""
+def chunked(rows: DataFrame) -> DataFrame:
+    """chunk (a digest of what it holds), doc_ids, lengths and words of some texts a row."""
 
-    def describe(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text"):
-            found = []
-            for text in part["text"].to_pylist():
-                words = np.array(tokens(text), dtype=np.int64)
-                own, added = shared.value.ratios(words) if shared.value else (words[:0], words[:0])
-                found.append(summary(own) + summary(added))
-            values = np.array(found, dtype=np.float64).reshape(-1, len(FEATURES)).T
-            yield pa.record_batch([part["doc_id"], *map(pa.array, values)], names=["doc_id", *FEATURES])
+            by_text = [np.array(tokens(t), dtype=np.int32) for t in part["text"].to_pylist()]
+            words, lengths, ids = np.concatenate(by_text), [len(w) for w in by_text], part["doc_id"].to_pylist()
+            digest = xxhash.xxh3_64_intdigest(pickle.dumps((ids, lengths)) + words.tobytes()) - (1 << 63)
+            columns = [[digest], pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), [zlib.compress(words.tobytes(), 1)]]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["chunk", "doc_ids", "lengths", "words"])
+
+    return through_arrow(rows.select("doc_id", "text"), chunk, "chunk long, doc_ids array<long>, lengths array<int>, words binary")
+
+
+def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's words, the same with the one before each, and the bounds of its texts."""
+    words = np.frombuffer(zlib.decompress(row["words"]), dtype=np.int32).astype(np.int64)
+    bounds = np.r_[0, np.cumsum(row["lengths"], dtype=np.int64)]
+    both = pairs(words)
+    starts = bounds[:-1][np.diff(bounds) > 0]
+    both[starts] = (START << 32) | words[starts]
+    return words, both, bounds
+
+
+def asked(chunks: DataFrame, buckets: int) -> DataFrame:
+    """bucket, chunk, pairs, toxic, ordinary: the distinct pairs of each chunk by bucket, without counts."""
+
+    def ask(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for row in batch.to_pylist():
+            found = np.unique(opened(row)[1])
+            order, at = dealt(found, buckets)
+            some = [b for b in range(buckets) if at[b] < at[b + 1]]
+            blobs = [packed(np.diff(found[order[at[b] : at[b + 1]]], prepend=0)) for b in some]
+            empty = pa.nulls(len(some), pa.binary())
+            yield pa.record_batch([pa.array(some, pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array(blobs, pa.binary()), empty, empty], names=["bucket", "chunk", "pairs", *CLASSES])
+
+    return through_arrow(chunks, ask, "bucket int, chunk long, pairs binary, toxic binary, ordinary binary")
+
+
+def kept_pairs(counts: DataFrame, buckets: int, most: int = 1 << 20) -> DataFrame:
+    """The same columns without a chunk: the counted pairs by bucket."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= most:
+                yield of(held)
+                held = []
+        if held:
+            yield of(held)
+
+    def of(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        pair, *n = (np.concatenate([b[c].to_numpy() for b in held]) for c in ("pair", *CLASSES))
+        rising = np.argsort(pair)
+        order, at = dealt(pair[rising], buckets)
+        order = rising[order]
+        some = [b for b in range(buckets) if at[b] < at[b + 1]]
+        places = [order[at[b] : at[b + 1]] for b in some]
+        blobs = [[packed(np.diff(pair[i], prepend=0)) for i in places], *[[packed(c[i]) for i in places] for c in n]]
+        return pa.record_batch([pa.array(some, pa.int32()), pa.nulls(len(some), pa.int64()), *[pa.array(b, pa.binary()) for b in blobs]], names=["bucket", "chunk", "pairs", *CLASSES])
+
+    return counts.mapInArrow(deal, "bucket int, chunk long, pairs binary, toxic binary, ordinary binary")
+
+
+def answered(table: pa.Table) -> pa.Table:
+    """What one bucket's pairs count, for every chunk that asks, in the order of its asking."""
+    kept, asking = table.filter(table["chunk"].is_null()), table.filter(table["chunk"].is_valid())
+    none = [np.zeros(0, dtype=np.int64)]
+    pair = np.concatenate([loosened(x).cumsum() for x in kept["pairs"].to_pylist()] + none)
+    order = np.argsort(pair)
+    pair = np.r_[pair[order], -1]  # nothing is -1: a place for what is larger than all
+    n = [np.r_[np.concatenate([loosened(x) for x in kept[c].to_pylist()] + none)[order], 0] for c in CLASSES]
+    blobs = []
+    for data in asking["pairs"]:
+        wanted = loosened(data.as_py()).cumsum()
+        at = np.searchsorted(pair[:-1], wanted)
+        there = pair[at] == wanted
+        blobs.append([packed(np.where(there, c[at], 0)) for c in n])
+    columns = [pa.array([b[k] for b in blobs], pa.binary()) for k in range(2)]
+    return pa.table([asking["chunk"], asking["bucket"], *columns], names=["chunk", "bucket", *CLASSES])
+
 
-    return through_arrow(rows.select("doc_id", "text"), describe, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+def described(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """doc_id and FEATURES of every row of (doc_id, text), by a broadcast model (or None)."""
+    model = shared.value
+    if model is None:
+        return rows.select("doc_id", *[F.lit(0.0).alias(f) for f in FEATURES])
+    buckets, place = model.buckets, model.pairs
+
+    def describe(chunks: pa.Table, replies: pa.Table) -> pa.Table:
+        parts = {r["bucket"]: r for r in replies.to_pylist()}
+        ids, found = [], []
+        for row in chunks.to_pylist():
+            words, both, bounds = opened(row)
+            distinct, which = np.unique(both, return_inverse=True)
+            order, at = dealt(distinct, buckets)
+            n = [np.zeros(len(distinct), dtype=np.int64) for _ in CLASSES]
+            for b in range(buckets):
+                if at[b] < at[b + 1]:
+                    for k, c in enumerate(CLASSES):
+                        n[k][order[at[b] : at[b + 1]]] = loosened(parts[b][c])
+            own, added = shared.value.ratios(words, both >> 32, [c[which] for c in n])
+            ids += row["doc_ids"]
+            found += [summary(own[i:j]) + summary(added[i:j]) for i, j in zip(bounds, bounds[1:])]
+        values = np.array(found, dtype=np.float64).reshape(-1, len(FEATURES)).T
+        return pa.table([pa.array(ids, pa.int64()), *map(pa.array, values)], names=["doc_id", *FEATURES])
+
+    chunks = chunked(rows).repartition("chunk")  # both uses read one exchange
+    table = kept_pairs(rows.sparkSession.read.schema(PAIR).parquet(place), buckets)
+    replies = asked(chunks, buckets).unionByName(table).groupBy("bucket").applyInArrow(answered, "chunk long, bucket int, toxic binary, ordinary binary")
+    schema = "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES)
+    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(describe, schema)
 
 
 def scored(docs: DataFrame, labels: DataFrame, counts_from: Column, curve_from: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -216,19 +334,22 @@ def scored(docs: DataFrame, labels: DataFrame, counts_from: Column, curve_from:
     known = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # Labels grow with the corpus: always joined by shuffling, so that small inputs take the same way.
     texts = rows.filter(counts_from).hint("merge").join(known.filter(counts_from), "doc_id")
-    model = learnt(staged(counted(texts), "toxicity-pairs"))
+    model = learnt(counted(texts))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    place, lot = scratch_dir(docs.sparkSession, "toxicity-features"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    for i in range(ROUNDS):
+        with freed_exchanges(docs.sparkSession):
+            described(rows.filter(lot == i), shared).write.mode("append").parquet(place)
+    out = docs.sparkSession.read.parquet(place)
     n = known.filter(curve_from).count()
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(1 << 30)) < int(min(1.0, fit_rows / max(1, n)) * (1 << 30))
-    chosen = known.filter(curve_from & drawn)  # about fit_rows ids: small enough to go to the texts
-    fit = described(rows.join(F.broadcast(chosen.select("doc_id")), "doc_id"), shared)
-    fit = fit.groupBy("doc_id").agg(*[F.avg(c).alias(c) for c in FEATURES])
-    found = fit.join(chosen, "doc_id").select("toxic", *FEATURES).collect()
+    chosen = known.filter(curve_from & drawn)  # about fit_rows ids: small enough to go to the rows
+    fit = out.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), *[F.avg(c).alias(c) for c in FEATURES])
+    found = fit.select("toxic", *FEATURES).collect()
     x = np.array([r[1:] for r in found], dtype=np.float64).reshape(-1, len(FEATURES))
     y = np.array([r[0] == 1 for r in found], dtype=np.float64)
     middle, spread = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(len(FEATURES)), np.ones(len(FEATURES)))
     w = fit_linear((x - middle) / spread, y, 500, 0.1) if model and 0 < y.sum() < len(y) else None
-    out = described(rows, shared)
     if w is None:
         score = F.lit(0.0)
     else:

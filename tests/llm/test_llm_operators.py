@@ -280,3 +280,15 @@ def test_held_out_accuracy(spark):
     kept = quality.op5_quality_classifier(spark, sf_dir).join(labels, "doc_id")
     right = {r[0]: r[1] for r in kept.groupBy("quality").avg("score").collect()}
     assert right[1] > 0.9 > 0.5 > right[0]
+
+
+def test_toxicity_counts_every_pair(spark):
+    """All ordered pairs of 200 words, toxic where their numbers add up to an odd one: texts of
+    one class are alike, however many pairs share a value of some hash."""
+    texts = [(a * 200 + b, f"{a:o} {b:o}".translate(str.maketrans("01234567", "abcdefgh")), (a + b) % 2) for a in range(200) for b in range(200) if a != b]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    model = spark.sparkContext.broadcast(toxicity.learnt(toxicity.counted(docs)))
+    found = {0: set(), 1: set()}
+    for r in toxicity.described(docs, model).collect():
+        found[(r.doc_id // 200 + r.doc_id % 200) % 2].add(tuple(round(x, 4) for x in r[1:]))
+    assert [len(found[k]) for k in (0, 1)] == [1, 1] and found[0] != found[1]
