@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftledger.functions.payload import project_payload
-from driftledger.operators.keyed import insert_if_absent, keep_first
+from driftledger.operators.keyed import keep_first
 
 # A fact is identified by when it was seen, where, and by which check; source
 # and run id are not part of it.
@@ -32,4 +32,4 @@ def dedup_facts(facts: DataFrame) -> DataFrame:
 
 def new_facts(facts: DataFrame, stored: DataFrame) -> DataFrame:
     """Deduplicated facts that are not stored yet; none on a replay."""
-    return insert_if_absent(dedup_facts(facts), stored, FACT_KEY)
+    return dedup_facts(facts).join(stored.select(*FACT_KEY), FACT_KEY, "left_anti")

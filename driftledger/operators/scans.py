@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from driftledger.functions.identity import scan_month
+from driftledger.functions.identity import run_id, scan_month
 from driftledger.schemas import SCAN_RUN
 from driftledger.session import local_frame
 
@@ -102,6 +102,20 @@ def scan_chain(scan_run: DataFrame) -> DataFrame:
     )
 
 
+def named(sightings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The scans of (source, scanned_at, ...) rows, and the rows with their ``scan_run_id``.
+
+    An id is made once a scan and sent to its rows. The scans pass through the driver, one
+    short row each; finding them reads no other column.
+    """
+    source, at = F.col("source"), F.col("scanned_at")
+    times = sightings.select(source, at).distinct().select(run_id(source, at), F.unix_micros(at), source)
+    runs = local_frame(sightings.sparkSession, [tuple(r) for r in times.collect()], SCANS)
+    ids = F.broadcast(runs.select("scan_run_id", at.alias("_at"), source.alias("_source")))
+    rows = sightings.join(ids, at.eqNullSafe(F.col("_at")) & source.eqNullSafe(F.col("_source")))
+    return runs, rows.drop("_at", "_source")
+
+
 def source_chains(scan_run: DataFrame) -> DataFrame:
     """Per run its source and the time of that source's next scan, which misses what the
     run reported and it does not. Runs over the scan list."""

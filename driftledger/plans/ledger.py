@@ -60,6 +60,8 @@ TABLES = {
 }
 #: Stored by month and load; the others are small.
 BY_MONTH = ("raw_finding", "finding", "rollup", "reach")
+#: Row groups of their files: small, so that a few files of one month are read by many tasks.
+ROW_GROUP = 8 << 20
 FACT_ORDER = ("scanned_at", "host", "plugin_id")
 #: Parts of the register that are rewritten apart: as many as make one a task's work.
 BUCKETS = 16
@@ -257,7 +259,7 @@ class Ledger:
         rows = rows.select(*TABLES[name].names).withColumn("load_seq", F.lit(load_seq).cast("bigint"))
         if order:
             rows = rows.sortWithinPartitions("scan_month", "load_seq", *order)
-        writer = rows.write.mode("append")
+        writer = rows.write.mode("append").option("parquet.block.size", ROW_GROUP)
         (writer.partitionBy("scan_month", "load_seq") if name in BY_MONTH else writer).parquet(self.path(name))
 
     def _for_writer(self, name: str, published: Manifest, waiting: set[int]) -> DataFrame:

@@ -478,8 +478,8 @@ def evidence_sources(spark, sf_dir):
 # ---- the load job -----------------------------------------------------------
 
 
-def _delivery(events: DataFrame) -> DataFrame:
-    return rel.with_run(rel.sightings_a(events)).withColumn("source", F.lit(DEFAULT_SOURCE))
+def _delivery(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return scans.named(rel.sightings_a(events).withColumn("source", F.lit(DEFAULT_SOURCE)))
 
 
 def _before(day: str):
@@ -521,7 +521,7 @@ def load_trend(spark, sf_dir):
     """Two overlapping deliveries; the trend of the counts that the loads kept."""
     ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
     for lot in (events.filter(_before("2024-01-16")), events.filter(~_before("2024-01-11"))):
-        ledger.load(_delivery(lot), _delivery(lot))
+        ledger.load(*_delivery(lot))
     return _dated(ledger.reports()["trend"])
 
 
@@ -530,7 +530,7 @@ def load_cells(spark, sf_dir):
     """The counts themselves after a late delivery, one month compacted."""
     ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
     for lot in (events.filter(~_before("2024-01-11")), events.filter(_before("2024-01-13"))):
-        ledger.load(_delivery(lot), _delivery(lot))
+        ledger.load(*_delivery(lot))
     ledger.compact("rollup")
     return _dated(ledger.table("rollup")).select("d", "severity", "plugin_id", "n")
 
@@ -542,7 +542,7 @@ def load_evidence(spark, sf_dir):
     ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
     ledger.insert("plugin_control", local_frame(spark, rel.EVIDENCE_A, PLUGIN_CONTROL), ["plugin_id", "control_id"])
     for lot in (events.filter(~_before("2024-01-11")), events.filter(_before("2024-01-13"))):
-        ledger.load(_delivery(lot), _delivery(lot))
+        ledger.load(*_delivery(lot))
     ledger.compact("reach")
     some = ledger.control_evidence(datetime(2024, 1, 10, tzinfo=timezone.utc), datetime(2024, 1, 12, tzinfo=timezone.utc))
     return ledger.control_evidence().withColumn("scans", F.lit("all")).unionByName(some.withColumn("scans", F.lit("some")))
@@ -553,8 +553,8 @@ def load_published(spark, sf_dir):
     """What readers see while a delivery is stored but not reconciled, and after it is."""
     ledger, events = Ledger(spark, scratch_dir(spark, "ledger")), rel.table(spark, sf_dir, "events")
     first, rest = events.filter(_before("2024-01-16")), events.filter(~_before("2024-01-16"))
-    ledger.load(_delivery(first), _delivery(first))
-    ledger.store(_delivery(rest), _delivery(rest))
+    ledger.load(*_delivery(first))
+    ledger.store(*_delivery(rest))
     waiting = ledger.snapshot()
     ledger.reconcile()
 

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftledger.functions.identity import DEFAULT_SOURCE, run_id
+from driftledger.functions.identity import DEFAULT_SOURCE
+from driftledger.operators import scans
 from driftledger.plans.ledger import Ledger, LoadResult
 from driftledger.sources.scan_export import FILE_PATTERN
 
@@ -79,10 +80,8 @@ def watch_sightings(ledger: Ledger, sightings: DataFrame, checkpoint: str, repor
     many micro-batches they arrive in, and a row that comes again replaces itself."""
 
     def store(batch: DataFrame, _batch_id: int) -> int:
-        keyed = batch.withColumn("scan_run_id", run_id(F.col("source"), F.col("scanned_at"))).persist()
-        landed = ledger.store(keyed, keyed, whole=False)  # the runs are listed first, then the rows land
-        keyed.unpersist()
-        return landed
+        # The runs are listed first, from two columns, then the rows land: not kept in between.
+        return ledger.store(*scans.named(batch), whole=False)
 
     return _drain(ledger, sightings, store, checkpoint, report)
 

@@ -4,13 +4,19 @@ import contextlib
 import io
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from histories import frames, random_history
+from pyspark.sql import functions as F
 
-from driftledger.operators import facts, register
+from driftledger.functions.identity import run_id
+from driftledger.operators import facts, register, scans
+from driftledger.plans import ledger as ledger_module
 from driftledger.plans import relations as rel
 from driftledger.plans.ledger import Ledger
 from driftledger.plans.registry import QUERIES
+from driftledger.schemas import FINDING
+from driftledger.session import local_frame
 
 LAZY = sorted(name for name in QUERIES if not name.startswith(("stream_", "load_")))
 
@@ -36,6 +42,35 @@ def test_dedup_combines_copies_before_the_shuffle(spark, sf_dir):
     assert "min(struct" in above and "partial_min(struct" in below
 
 
+def test_new_facts_are_deduplicated_once(spark, sf_dir):
+    arriving = rel.with_run(rel.sightings_a(rel.table(spark, sf_dir, "events")))
+    text = plan(facts.new_facts(arriving, local_frame(spark, [], FINDING)), "simple")
+    assert text.count("partial_min(struct") == 1
+
+
+def test_files_of_a_month_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A load's file has several row groups, which is how far a reader can split it."""
+    monkeypatch.setattr(ledger_module, "ROW_GROUP", 1 << 16, raising=False)
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    rows = spark.range(0, 40_000, 1, 1).selectExpr("'s' AS source", "timestamp'2026-01-05' AS scanned_at", "id AS landing_seq", "md5(string(id)) AS host", "1 AS plugin_id", "'c' AS plugin_name", "4S AS severity", "CAST(NULL AS string) AS cve")
+    keyed = rows.withColumn("scan_run_id", run_id(F.col("source"), F.col("scanned_at")))
+    ledger.load(keyed, keyed)
+    for name in ("raw_finding", "finding"):
+        groups = [pq.ParquetFile(f).metadata.num_row_groups for f in (tmp_path / "ledger" / name).rglob("*.parquet")]
+        assert len(groups) == 1 and groups[0] > 3
+
+
+def test_scans_are_named_from_two_columns(spark):
+    """Ids are made once a scan; a row whose source is null keeps its place, copies stay."""
+    rows = [("s", 5, 1), ("s", 5, 1), ("s", 6, 2), (None, 5, 3)]
+    sightings = spark.createDataFrame(rows, "source string, day int, landing_seq long").withColumn("scanned_at", F.timestamp_seconds(F.col("day") * 86400))
+    runs, found = scans.named(sightings)
+    made = run_id(F.col("source"), F.col("scanned_at"))
+    assert runs.count() == 3 and found.filter(F.col("scan_run_id") == made).count() == 4
+    text = plan(found, "simple")
+    assert "BroadcastHashJoin" in text and "md5" not in text
+
+
 def test_rebuild_shuffles_facts_once(spark, sf_dir):
     finding = rel.finding_a(spark, sf_dir)
     text = plan(register.rebuild(finding, rel.scan_run_a(spark, sf_dir)), "simple")
