@@ -38,7 +38,7 @@ from driftledger.operators import correlation, facts, hosts, keyed, landing, qua
 from driftledger.operators.scans import SCANS, Scan
 from driftledger.plans import manifest, register_store
 from driftledger.plans.manifest import Manifest
-from driftledger.session import local_frame, pin_utc, scratch_dir
+from driftledger.session import local_frame, pin_utc, scratch_dir, setting
 from driftledger.sources import catalogs, scan_export
 
 SEQ = StructField("load_seq", LongType())
@@ -62,6 +62,8 @@ TABLES = {
 BY_MONTH = ("raw_finding", "finding", "rollup", "reach")
 #: Row groups of their files: small, so that a few files of one month are read by many tasks.
 ROW_GROUP = 8 << 20
+#: What a task of a load writes, as shuffled: less than Spark's own 64 MB, so that one month of a load is not left to one or two tasks.
+TASK_BYTES = "16m"
 FACT_ORDER = ("scanned_at", "host", "plugin_id")
 #: Parts of the register that are rewritten apart: as many as make one a task's work.
 BUCKETS = 16
@@ -260,7 +262,8 @@ class Ledger:
         if order:
             rows = rows.sortWithinPartitions("scan_month", "load_seq", *order)
         writer = rows.write.mode("append").option("parquet.block.size", ROW_GROUP)
-        (writer.partitionBy("scan_month", "load_seq") if name in BY_MONTH else writer).parquet(self.path(name))
+        with setting(rows.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES):
+            (writer.partitionBy("scan_month", "load_seq") if name in BY_MONTH else writer).parquet(self.path(name))
 
     def _for_writer(self, name: str, published: Manifest, waiting: set[int]) -> DataFrame:
         """What is published and what waits to be, but nothing of a load that died."""

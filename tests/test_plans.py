@@ -60,6 +60,16 @@ def test_files_of_a_month_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
         assert len(groups) == 1 and groups[0] > 3
 
 
+def test_one_month_of_a_load_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger_module, "TASK_BYTES", "256k", raising=False)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, ledger = spark.conf.get(key), Ledger(spark, str(tmp_path / "ledger"))
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("'s' AS source", "timestamp'2026-01-05' AS scanned_at", "id AS landing_seq", "md5(string(id)) AS host", "1 AS plugin_id", "'c' AS plugin_name", "4S AS severity", "CAST(NULL AS string) AS cve")
+    keyed = rows.withColumn("scan_run_id", run_id(F.col("source"), F.col("scanned_at")))
+    assert ledger.load(keyed, keyed).landed == 40_000 and spark.conf.get(key) == before
+    assert len([*(tmp_path / "ledger" / "raw_finding").rglob("*.parquet")]) > 1
+
+
 def test_scans_are_named_from_two_columns(spark):
     """Ids are made once a scan; a row whose source is null keeps its place, copies stay."""
     rows = [("s", 5, 1), ("s", 5, 1), ("s", 6, 2), (None, 5, 3)]
