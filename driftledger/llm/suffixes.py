@@ -7,7 +7,8 @@ the stretches of text whose ``span``-byte strings have one minimizer. Equal piec
 combined before they are compared.
 
 Among the pieces of one minimizer, equal strings start at one distance from it. The
-suffixes at each such distance are merge-sorted: two suffixes are compared by their longest
+suffixes at each such distance are merge-sorted, but for those whose ``span`` bytes have a
+hash of their own there, which repeat nothing: two suffixes are compared by their longest
 common extension, which binary search finds on prefix polynomial hashes; the order that
 comes out is verified on the bytes, and made again with another base if a collision has
 spoilt it. Runs of neighbours that share
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftledger.llm.common import column, documents, in_pieces, salt_of, spread_join, staged, through_arrow
+from driftledger.llm.common import column, documents, freed_exchanges, in_pieces, salt_of, spread_join, staged, through_arrow
 
 SPAN = 50
 GRAM = 18
@@ -35,6 +36,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 HIGH = np.uint64(0xFFFFFFFF00000000)
 #: Pieces compared in one go.
 AT_ONCE = 20_000
+#: Bytes of short texts that are cut into pieces in one go.
+TOGETHER = 1 << 16
 
 
 def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
@@ -70,10 +73,29 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
 
 def pieces_of(data: bytes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every piece: minimizer, first start, number of starts, bytes before the minimizer; together all starts."""
-    n = len(data) - span + 1
-    if n <= 0:
-        return (np.zeros(0, np.int64),) * 4
-    grams = mixed(gram_hashes(np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)))
+    return pieces_of_all([data], span)[1:]
+
+
+def pieces_of_all(texts: list[bytes], span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, and of every piece of its own what ``pieces_of`` gives, text by text."""
+    found, first = [(np.zeros(0, np.int64),) * 5], 0
+    while first < len(texts):  # short texts are worked on together
+        last, total = first, 0
+        while last < len(texts) and (last == first or total + len(texts[last]) <= TOGETHER):
+            total, last = total + len(texts[last]), last + 1
+        if total >= span:
+            owner, *rest = _pieces_of_joined(texts[first:last], span)
+            found.append((owner + first, *rest))
+        first = last
+    owner, gram, start, n, ahead = map(np.concatenate, zip(*found))
+    return owner, gram, start, n, ahead
+
+
+def _pieces_of_joined(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
+    ends = np.cumsum([len(t) for t in texts])
+    begins = np.r_[0, ends[:-1]]
+    n = int(ends[-1]) - span + 1
+    grams = mixed(gram_hashes(np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.uint64) + np.uint64(1)))
     # The high half of the hash decides, and among equals the leftmost place: both depend
     # on nothing but the window's own bytes. One number holds the two.
     keys = (grams & HIGH) | np.arange(len(grams), dtype=np.uint64)
@@ -84,8 +106,24 @@ def pieces_of(data: bytes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np
     if size < wide:
         keys = np.minimum(keys[:n], keys[wide - size : wide - size + n])
     place = (keys & ~HIGH).view(np.int64)
+    over = (ends[:-1, None] - np.arange(1, span)).ravel()  # windows that reach into the next text
+    place[over[(over >= 0) & (over < n)]] = -1
     new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return grams[place[new]].view(np.int64), new, np.diff(np.r_[new, n]), place[new] - new
+    many, at = np.diff(np.r_[new, n]), place[new]
+    whole = at >= 0
+    new, at = new[whole], at[whole]
+    owner = np.searchsorted(begins, new, "right") - 1
+    return owner, grams[at].view(np.int64), new - begins[owner], many[whole], at - new
+
+
+def not_alone(segment: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places, ascending, of all whose hash occurs again in their segment, and of a few others."""
+    keys = mixed(mixed(hashes) + segment.astype(np.uint64) * BASE)
+    left = np.arange(len(keys))
+    for shift in (40, 16):  # 24 bits of the key at a time, folded to twice as many counts as there are keys
+        slot = ((keys[left] >> np.uint64(shift)) & np.uint64((1 << min(24, (2 * len(left)).bit_length())) - 1)).view(np.int64)
+        left = left[np.bincount(slot, minlength=1)[slot] > 1]
+    return left
 
 
 def in_order(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span: int) -> np.ndarray | None:
@@ -123,18 +161,23 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     shared = np.flatnonzero(np.bincount(segment, minlength=1)[segment] > 1)
     owner, inner, at, segment = owner[shared], inner[shared], at[shared], segment[shared]
 
-    def sort(base: np.uint64) -> np.ndarray:
+    def sort(base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """The starts that may repeat one, and the same in the order of their suffixes within segments."""
         # Prefix hashes: hash of [a, b) times power(-a) is prefix[b] - prefix[a]; powers bring two ranges level.
         power = powers(len(codes), base)
         prefix = np.r_[np.uint64(0), np.cumsum(codes * power[:-1])]
+        left = not_alone(segment, (prefix[at + span] - prefix[at]) * power[len(codes) - at])
 
         def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
-            left, right = np.minimum(a, b), np.maximum(a, b)
-            while (lo < hi).any():
-                middle = (lo + hi + 1) // 2
-                same = (prefix[left + middle] - prefix[left]) * power[right - left] == prefix[right + middle] - prefix[right]
-                lo, hi = np.where(same, middle, lo), np.where(same, hi, middle - 1)
+            near, far = np.minimum(a, b), np.maximum(a, b)
+            open_, middle = np.arange(len(a)), hi  # most have all of the span in common
+            while len(open_):
+                one, other = near[open_], far[open_]
+                same = (prefix[one + middle] - prefix[one]) * power[other - one] == prefix[other + middle] - prefix[other]
+                lo[open_], hi[open_] = np.where(same, middle, lo[open_]), np.where(same, hi[open_], middle - 1)
+                open_ = open_[lo[open_] < hi[open_]]
+                middle = (lo[open_] + hi[open_] + 1) // 2
             return lo
 
         def before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -145,7 +188,7 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
 
         # Bottom-up merges of runs in all segments at once: a suffix's place is its place in its
         # own run and the number of suffixes of the neighbour run that come before it.
-        order = np.argsort(segment, kind="stable")
+        order = left[np.argsort(segment[left], kind="stable")]
         own = segment[order]
         begin = np.searchsorted(own, own, "left")
         end = np.searchsorted(own, own, "right")
@@ -169,13 +212,13 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
             placed = order.copy()
             placed[from_ + (block - block % 2) * run + local % run + (lo - from_low)] = order[here]
             order, run = placed, 2 * run
-        return order
+        return left, order
 
     # A collision may have put suffixes in a wrong place. The order is proven on the bytes,
     # neighbour by neighbour, and made again with another base where it does not hold.
     for k in count():
-        order = sort(bases(k))
-        if (np.bincount(order, minlength=len(order)) == 1).all():  # else two went to one place
+        left, order = sort(bases(k))
+        if (np.sort(order) == left).all():  # else two went to one place
             equal = in_order(codes, at[order], segment[order], span)
             if equal is not None:
                 break
@@ -196,6 +239,12 @@ def piece_mark(piece: bytes) -> int:
     return xxhash.xxh3_64_intdigest(piece) >> 1
 
 
+def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
+    """``staged``, but its exchanges go when it is written, not when the driver next collects garbage."""
+    with freed_exchanges(df.sparkSession):
+        return staged(df, purpose, codec)
+
+
 def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] = piece_mark) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
 
@@ -211,51 +260,55 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
     rows = docs.select(F.coalesce(doc_id, F.lit((1 << 63) - 1)).alias("id"), doc_id.isNull().alias("unknown"), whole.alias("text"))
     rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     # Of equal texts the first is compared; the others are repeats from end to end.
-    firsts = staged(rows.groupBy("digest").agg(F.min("id").alias("first")), "suffix-firsts")
+    firsts = written(rows.groupBy("digest").agg(F.min("id").alias("first")), "suffix-firsts")
     # Ids may repeat, and null ids share one: where several texts have an id, a text is known
     # by a hash of its digest, too, another hash where two of them have an equal one.
-    several = staged(firsts.groupBy("first").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("first", F.lit(True).alias("several")), "suffix-several")
+    several = written(firsts.groupBy("first").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("first", F.lit(True).alias("several")), "suffix-several")
     alike = firsts.join(several, "first")
     of_text = next(h for k in count() if alike.groupBy("first", (h := F.xxhash64("digest", F.lit(k)))).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty())
     firsts = firsts.join(several, "first", "left").select("digest", "first", F.when(F.col("several"), of_text).otherwise(0).alias("twin"))
-    texts = staged(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt", "digest"), "suffix-texts", "zstd")
+    texts = written(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt", "digest"), "suffix-texts", "zstd")
     single = texts.filter("id = first").select("id", "twin", "text")
 
     def minimizers(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
-            found = [np.unique(pieces_of(utf8(t), span)[0]) for t in part["text"].to_pylist()]
-            ids = np.repeat(part["id"].to_numpy(), [len(f) for f in found])
-            twins = np.repeat(part["twin"].to_numpy(), [len(f) for f in found])
-            yield pa.record_batch([pa.array(np.concatenate(found)), pa.array(ids), pa.array(twins)], names=["gram", "id", "twin"])
+            owner, gram = pieces_of_all([utf8(t) for t in part["text"].to_pylist()], span)[:2]
+            bounds = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+            for a, b in zip(bounds, bounds[1:]):
+                gram[a:b].sort()
+            once = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][: len(gram)])
+            of = owner[once]
+            columns = (gram[once], part["id"].to_numpy()[of], part["twin"].to_numpy()[of])
+            yield pa.record_batch([pa.array(c) for c in columns], names=["gram", "id", "twin"])
 
     grams = through_arrow(single, minimizers, "gram long, id long, twin long")
-    shared = staged(grams.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("gram"), "suffix-shared")
+    shared = written(grams.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("gram"), "suffix-shared")
     # A gram that very many documents have is a skewed side of this join, which AQE splits.
     wanted = grams.join(shared, "gram", "left_semi")
-    wanted = staged(wanted.groupBy("id", "twin").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
+    wanted = written(wanted.groupBy("id", "twin").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
 
     def cut(batch: pa.RecordBatch, whole: bool = False) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
-            out: list[tuple] = []
+            # In the order of ids, so that the first of equal pieces is in its smallest document of the batch.
+            part = part.take(pa.array(np.argsort(part["id"].to_numpy(), kind="stable")))
+            texts = [utf8(t) for t in part["text"].to_pylist()]
+            owner, gram, start, n, ahead = pieces_of_all(texts, span)
+            bounds = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+            keep = np.zeros(len(gram), dtype=bool)
+            for a, b, grams in zip(bounds, bounds[1:], part["grams"]):
+                some = np.sort(grams.values.to_numpy())
+                keep[a:b] = some[np.minimum(np.searchsorted(some, gram[a:b]), len(some) - 1)] == gram[a:b]
+            owner, gram, start, n, ahead = (x[keep] for x in (owner, gram, start, n, ahead))
+            found = [texts[k][a:b] for k, a, b in zip(owner.tolist(), start.tolist(), (start + n + span - 1).tolist())]
             least: dict[bytes, int] = {}  # a piece's bytes go with its smallest document of the batch alone
-            for doc_id, twin, text, grams in zip(part["id"].to_pylist(), part["twin"].to_pylist(), part["text"].to_pylist(), part["grams"]):
-                data = utf8(text)
-                gram, start, n, ahead = pieces_of(data, span)
-                keep = np.isin(gram, grams.values.to_numpy())
-                for g, a, k, before in zip(*[x[keep].tolist() for x in (gram, start, n, ahead)]):
-                    piece = data[a : a + k + span - 1]
-                    if whole or piece not in least or doc_id < out[least[piece]][0]:
-                        if not whole and piece in least:
-                            out[least[piece]] = (*out[least[piece]][:6], None, out[least[piece]][7])
-                        least[piece] = len(out)
-                    out.append((doc_id, twin, a, g, k, before, piece if least[piece] == len(out) else None, marked(piece)))
-            columns = list(zip(*out)) or [()] * 8
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "twin", "at", "gram", "n", "ahead", "piece", "mark"])
+            told = found if whole else [p if least.setdefault(p, k) == k else None for k, p in enumerate(found)]
+            ids, twins = (part[c].to_numpy()[owner] for c in ("id", "twin"))
+            columns = (ids, twins, start, gram, n.astype(np.int32), ahead.astype(np.int32), pa.array(told, pa.binary()), pa.array(map(marked, found), pa.int64()))
+            yield pa.record_batch([pa.array(c) for c in columns], names=["id", "twin", "at", "gram", "n", "ahead", "piece", "mark"])
 
     pieces = "id long, twin long, at long, gram long, n int, ahead int, piece binary, mark long"
     holders = single.join(wanted, ["id", "twin"])
-    found = staged(through_arrow(holders, cut, pieces), "suffix-pieces", "zstd")
+    found = written(through_arrow(holders, cut, pieces), "suffix-pieces", "zstd")
     distinct = found.filter("piece IS NOT NULL").groupBy("gram", "mark", "piece").agg(F.min("id").alias("first"), F.first("ahead").alias("ahead"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,7 +332,7 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
             yield pd.DataFrame({"gram": gram, "mark": part["mark"].to_numpy(), "piece": told, "first": part["first"].to_numpy(), "mask": mask})
 
     masks = distinct.repartition("gram").sortWithinPartitions("gram").mapInPandas(compare, "gram long, mark long, piece binary, first long, mask long")
-    masks = staged(masks, "suffix-masks")
+    masks = written(masks, "suffix-masks")
     # A piece's later documents repeat all of it; its first one what the mask says. Both sides
     # are plain shuffles, so AQE can split a piece that very many documents have. Pieces of an
     # equal mark are cut again and told apart by their bytes.
@@ -291,7 +344,7 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
         hits = hits.unionByName(again.join(clashing, ["gram", "mark", "piece"]).select(*fields))
     every = F.when(F.col("id") > F.col("first"), F.lit(-1).cast("long")).otherwise(F.col("mask"))
     hits = hits.select("id", "twin", F.struct("at", "n", every.alias("mask")).alias("hit")).filter("hit.mask != 0")
-    hits = staged(hits.groupBy("id", "twin").agg(F.collect_list("hit").alias("hits")), "suffix-hits")
+    hits = written(hits.groupBy("id", "twin").agg(F.collect_list("hit").alias("hits")), "suffix-hits")
 
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):

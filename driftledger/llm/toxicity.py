@@ -24,7 +24,6 @@ import pickle
 import re
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftledger.llm.common import column, documents, held_out, in_pieces, through_arrow
+from driftledger.llm.common import column, documents, freed_exchanges, held_out, in_pieces, through_arrow
 from driftledger.llm.quality import fit_linear
 from driftledger.session import scratch_dir
 
@@ -186,18 +185,6 @@ def learnt(counts: DataFrame) -> Model | None:
     return Model(tuple(lower), tuple(per), tuple(freed), tuple(lost[c] for c in CLASSES), place, max(LEAST_BUCKETS, -(-of.n // PER_BUCKET)))
 
 
-@contextmanager
-def freed_exchanges(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is written inside go when it is written."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def summary(ratios: np.ndarray) -> tuple[float, float, float]:
     """The largest, the mean, log of what exceeds STRONG."""
     if not len(ratios):

@@ -80,6 +80,40 @@ def test_a_collision_takes_another_base(monkeypatch):
         assert [bool(want[i] >> k & 1) for k in range(len(p) - 49)] == brute
 
 
+def test_only_starts_that_may_repeat_are_sorted(monkeypatch):
+    """A frequent string in many different surroundings: the sort gets its few repeats, not every start."""
+    import numpy as np
+
+    r = random.Random(14)
+    pieces = [bytes(r.choices(b"abcdefgh", k=32)) + b"x" * 18 + bytes(r.choices(b"abcdefgh", k=32)) for _ in range(400)]
+    pieces += [bytes(r.choices(b"abcdefgh", k=10)) + pieces[k][10:] for k in (3, 5)] + pieces[7:8]
+    docs = np.array(r.sample(range(1000), len(pieces)))
+    sorted_, real = [], suffixes.in_order
+    monkeypatch.setattr(suffixes, "in_order", lambda codes, at, segment, span: sorted_.append(len(at)) or real(codes, at, segment, span))
+    mask = suffixes.repeated_starts(np.zeros(len(pieces), np.int64), docs, np.full(len(pieces), 32), pieces)
+    least = {}
+    for d, p in zip(docs, pieces):
+        for k in range(len(p) - 49):
+            least[k, p[k : k + 50]] = min(d, least.get((k, p[k : k + 50]), d))
+    assert mask.tolist() == [sum(1 << k for k in range(len(p) - 49) if least[k, p[k : k + 50]] < d) for d, p in zip(docs, pieces)] and mask.any()
+    assert sum(sorted_) < sum(len(p) - 49 for p in pieces) / 4
+
+
+def test_texts_cut_together_are_cut_as_alone():
+    r = random.Random(15)
+    texts = [bytes(r.choices(b"ab", k=r.choice([0, 0, 1, 17, 49, 50, 51, 90, 400]))) for _ in range(300)] + [b"a" * 70_000, b"", b"b" * 60]
+    owner, *together = (x.tolist() for x in suffixes.pieces_of_all(texts))
+    alone = [(i, *p) for i, t in enumerate(texts) for p in zip(*(x.tolist() for x in suffixes.pieces_of(t)))]
+    assert list(zip(owner, *together)) == alone
+    for i, gram, start, n, ahead in alone:
+        assert start + n + 49 <= len(texts[i])
+        for k in range(start, start + n):  # the minimizer is the leftmost of the smallest in the window
+            hashes = [int(h) >> 32 for h in suffixes.mixed(suffixes.gram_hashes(suffixes.np.frombuffer(texts[i][k : k + 50], "u1").astype("u8") + suffixes.np.uint64(1)))]
+            assert k + hashes.index(min(hashes)) == start + ahead and min(hashes) == (gram & (1 << 64) - 1) >> 32
+        if start > 1000:
+            break
+
+
 def test_suffixes_of_null_and_repeated_ids(spark):
     r = random.Random(4)
     one, two, three = (sentence(r, 30) for _ in range(3))
