@@ -66,13 +66,13 @@ def salt_of(*columns: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
 
-def through_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+def through_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType, most_bytes: str = "16m") -> DataFrame:
     """One Arrow batch in, any number out, as a narrow stage.
 
     Batches are bounded in bytes as well as rows, since texts may be very long.
     """
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

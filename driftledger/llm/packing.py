@@ -27,8 +27,11 @@ from driftledger.llm.common import column, documents, in_pieces, salt_of, staged
 CAPACITY = 1024
 END = 2
 SALTS = 256
-#: Words whose ids a worker remembers, about 200 bytes each; beyond it starts afresh.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers, about 200 bytes each: half of them are the last ones
+#: learnt or met again, the other half those before; beyond it the older half is forgotten.
+REMEMBERED = 300_000
+#: Arrow batches of texts and of ids: two tasks' batches are held by Python and by the JVM.
+MOST_BYTES = "4m"
 VOCABULARY = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -67,6 +70,7 @@ class Encoder:
         for word, rank in table.items():
             self.n_bytes[rank] = len(word)
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def part(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -75,7 +79,7 @@ class Encoder:
         """Remember the ids of words that follow a blank; None: not to be cut off there."""
         plain = []
         for word in words:
-            if not word or word[0].isspace() or word[-1].isspace():
+            if not word or len(word.strip()) != len(word):
                 self.known[word] = None
             elif word.isascii() or max(word) < "\u0250":
                 plain.append(word)
@@ -92,9 +96,12 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [text.split(" ") for text in texts]
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.learn(set(chain.from_iterable(words[1:] for words in cut)).difference(self.known))
+        if 2 * len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        new = set(chain.from_iterable(words[1:] for words in cut)).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((word, self.older[word]) for word in again)
+        self.learn(new - again)
         out = []
         for text, words in zip(texts, cut):
             first = words[0]
@@ -128,7 +135,7 @@ def pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACITY, end
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, ranks)
-        for part in in_pieces(batch, "text", 1 << 20):
+        for part in in_pieces(batch, "text", 1 << 18):
             rows: list[tuple] = []
             texts = [text or "" for text in part["text"].to_pylist()]
             for doc_id, ids in zip(part["doc_id"].to_pylist(), encode(texts)):
@@ -142,7 +149,7 @@ def pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACITY, end
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
-    return through_arrow(docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").alias("text")), cut, PIECE + ", ids binary")
+    return through_arrow(docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").alias("text")), cut, PIECE + ", ids binary", MOST_BYTES)
 
 
 class Tightest:
@@ -264,7 +271,8 @@ def located(ranked: DataFrame, ranges: list[tuple[int, int, int, int, int]]) ->
             k[own == n] = lo + np.searchsorted(rank[lo:hi], at[own == n], side="right") - 1
         yield pa.record_batch([*[batch[c] for c in names], pa.array(first[k] + at - rank[k]), pa.array(offset[k])], names=[*names, "sequence_id", "offset"])
 
-    return through_arrow(ranked, find, PIECE + ", ids binary, sequence_id long, offset long" if "ids" in names else PIECE + ", sequence_id long, offset long")
+    schema = PIECE + ", ids binary, sequence_id long, offset long" if "ids" in names else PIECE + ", sequence_id long, offset long"
+    return through_arrow(ranked, find, schema, MOST_BYTES)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,6 +66,20 @@ def test_packing_keeps_every_id(docs, rows, none):
     assert packing.pack(none, *packing.VOCABULARY).count() == 0
 
 
+def test_encoder_forgets_rare_words_only(monkeypatch):
+    """What comes again and again is learnt once, however many other words pass; few are remembered."""
+    encode, learnt = packing.Encoder(*packing.VOCABULARY), Counter()
+    real = encode.learn
+    monkeypatch.setattr(packing, "REMEMBERED", 200)
+    monkeypatch.setattr(encode, "learn", lambda words: learnt.update(words) or real(words))
+    for k in range(60):
+        texts = ["so often " + " ".join(f"w{k}x{i}" for i in range(40)) + " again", " a  b", "", "tail \u0416 often"]
+        for text, ids in zip(texts, encode(texts)):
+            assert ids == encode.part(text)
+        assert len(encode.known) + len(encode.older) <= 2 * (100 + 45)
+    assert learnt["often"] == learnt["again"] == 1 and len(learnt) > 60 * 40
+
+
 def test_best_fit_decreasing_is_the_plain_one():
     counts = {7: 5, 5: 9, 4: 3, 3: 11, 2: 6, 1: 4}
     rooms = []
