@@ -27,8 +27,7 @@ from driftledger.llm.common import column, documents, in_pieces, salt_of, staged
 CAPACITY = 1024
 END = 2
 SALTS = 256
-#: Words whose ids a worker remembers, about 200 bytes each: half of them are the last ones
-#: learnt or met again, the other half those before; beyond it the older half is forgotten.
+#: Words whose ids a worker remembers, about 200 bytes each; beyond it starts afresh.
 REMEMBERED = 300_000
 #: Arrow batches of texts and of ids: two tasks' batches are held by Python and by the JVM.
 MOST_BYTES = "4m"
@@ -70,7 +69,6 @@ class Encoder:
         for word, rank in table.items():
             self.n_bytes[rank] = len(word)
         self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
 
     def part(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -96,12 +94,9 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [text.split(" ") for text in texts]
-        if 2 * len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        new = set(chain.from_iterable(words[1:] for words in cut)).difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update((word, self.older[word]) for word in again)
-        self.learn(new - again)
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        self.learn(set(chain.from_iterable(words[1:] for words in cut)).difference(self.known))
         out = []
         for text, words in zip(texts, cut):
             first = words[0]

@@ -8,9 +8,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import assert_same
+from pyspark.sql import functions as F
 
 from driftledger.llm import exact_dedup, language, mixing, packing, quality, rules, simhash, suffixes, token_counts, toxicity
 from driftledger.llm.queries import ORACLES, QUERIES
@@ -66,18 +68,19 @@ def test_packing_keeps_every_id(docs, rows, none):
     assert packing.pack(none, *packing.VOCABULARY).count() == 0
 
 
-def test_encoder_forgets_rare_words_only(monkeypatch):
-    """What comes again and again is learnt once, however many other words pass; few are remembered."""
-    encode, learnt = packing.Encoder(*packing.VOCABULARY), Counter()
-    real = encode.learn
-    monkeypatch.setattr(packing, "REMEMBERED", 200)
-    monkeypatch.setattr(encode, "learn", lambda words: learnt.update(words) or real(words))
-    for k in range(60):
-        texts = ["so often " + " ".join(f"w{k}x{i}" for i in range(40)) + " again", " a  b", "", "tail \u0416 often"]
-        for text, ids in zip(texts, encode(texts)):
-            assert ids == encode.part(text)
-        assert len(encode.known) + len(encode.older) <= 2 * (100 + 45)
-    assert learnt["often"] == learnt["again"] == 1 and len(learnt) > 60 * 40
+def test_packing_takes_small_batches(spark, monkeypatch):
+    """Two tasks' batches lie beside the heap of an executor that earlier stages have filled."""
+    docs = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text"))
+    asked, real = [], packing.through_arrow
+    monkeypatch.setattr(packing, "through_arrow", lambda df, work, schema, *more: asked.append(more) or real(df, work, schema, *more))
+    packing.pieces(docs, *packing.VOCABULARY)
+    assert asked and asked[0]
+
+    def sizes(batch):
+        yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    found = [r.n for r in real(docs, sizes, "n long", *asked[0]).collect()]
+    assert sum(found) > 12_000_000 and max(found) < 5 << 20
 
 
 def test_best_fit_decreasing_is_the_plain_one():
