@@ -71,15 +71,20 @@ def through_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Re
 
     Batches are bounded in bytes as well as rows, since texts may be very long.
     """
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from work(batch)
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, most_bytes).mapInArrow(run, schema)
+
+
+def in_batches(df: DataFrame, most_bytes: str = "16m") -> DataFrame:
+    """From here on Arrow batches have so many bytes and 4,000 rows at most."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    return df
 
 
 def in_pieces(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -2,33 +2,38 @@
 
 A string of ``span`` bytes that two texts share has the same minimizer in both: of its
 GRAM-byte substrings the one with the smallest hash. Texts' minimizers so deal the work
-out, and only the parts around minimizers that several documents have go on: as pieces,
-the stretches of text whose ``span``-byte strings have one minimizer. Equal pieces are
-combined before they are compared.
-
-Among the pieces of one minimizer, equal strings start at one distance from it. The
-suffixes at each such distance are merge-sorted, but for those whose ``span`` bytes have a
-hash of their own there, which repeat nothing: two suffixes are compared by their longest
-common extension, which binary search finds on prefix polynomial hashes; the order that
-comes out is verified on the bytes, and made again with another base if a collision has
-spoilt it. Runs of neighbours that share
-``span`` bytes are the repeats, and each learns the smallest document of its run.
+out in pieces, the stretches of text whose ``span``-byte strings have one minimizer. Such
+a string also holds about half of what can lie between its ends and the minimizer, on the
+left or on the right. Hashes of the minimizer with either half are looked up among all
+texts', and only the parts of pieces whose half several texts have go on. Equal pieces
+are combined before they are compared.
+
+Among the pieces of one minimizer, equal strings start at one distance from it. Of the
+suffixes at each such distance, those whose ``span`` bytes have a hash of their own there
+repeat nothing, and those of one hash and the same bytes are combined. The rest is merge-sorted:
+two suffixes are compared by their longest common extension, which binary search finds on
+prefix polynomial hashes; the order that comes out is verified on the bytes, and made again
+with another base if a collision has spoilt it. Runs of neighbours that share ``span`` bytes
+are the repeats, and each learns the smallest document of its run.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import count
+from functools import lru_cache
+from itertools import count, groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftledger.llm.common import column, documents, freed_exchanges, in_pieces, salt_of, spread_join, staged, through_arrow
+from driftledger.llm.common import column, documents, freed_exchanges, in_batches, in_pieces, salt_of, spread_join, staged, through_arrow
 
 SPAN = 50
 GRAM = 18
@@ -38,10 +43,21 @@ HIGH = np.uint64(0xFFFFFFFF00000000)
 AT_ONCE = 20_000
 #: Bytes of short texts that are cut into pieces in one go.
 TOGETHER = 1 << 16
+#: Starts whose bytes are hashed or compared in one go.
+BLOCK = 1 << 15
+#: Parts of all hashes for each shuffle partition.
+PARTS = 4
+#: Owner of a hash that several texts of a chunk have.
+SEVERAL = np.uint32(0xFFFFFFFF)
 
 
 def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
-    return np.cumprod(np.r_[np.uint64(1), np.full(n, base)])
+    return few_powers(int(base))[: n + 1] if n < 1 << 17 else np.cumprod(np.r_[np.uint64(1), np.full(n, base)])
+
+
+@lru_cache(4)
+def few_powers(base: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(1 << 17, np.uint64(base))])
 
 
 def bases(k: int) -> np.uint64:
@@ -50,25 +66,26 @@ def bases(k: int) -> np.uint64:
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+    x = x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def prefixes(codes: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all prefixes, and powers of the base's inverse: hash of [a, b) is (prefix[b] - prefix[a]) * back[a], wherever it lies."""
+    return np.r_[np.uint64(0), np.cumsum(codes * powers(len(codes), base)[:-1])], powers(len(codes), np.uint64(pow(int(base), -1, 1 << 64)))
 
 
 def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """Polynomial hash of every GRAM codes, from those of 1, 2, 4, ... codes."""
-    power = powers(GRAM)
-    total, length = None, 0
-    block, size = codes, 1
-    while True:
-        if GRAM & size:
-            if total is None:
-                total, length = block, size
-            else:  # the block follows what there is
-                rest = block[length:]
-                total, length = total[: len(rest)] * power[size] + rest, length + size
-        if 2 * size > GRAM:
-            return total
-        block, size = block[:-size] * power[size] + block[size:], 2 * size
+    """Polynomial hash of every GRAM codes."""
+    return hashes_of_length(*prefixes(codes, BASE), GRAM)
+
+
+def hashes_of_length(prefix: np.ndarray, back: np.ndarray, length: int) -> np.ndarray:
+    out = prefix[length:] - prefix[:-length]
+    out *= back[: len(out)]
+    return out
 
 
 def pieces_of(data: bytes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -78,24 +95,37 @@ def pieces_of(data: bytes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np
 
 def pieces_of_all(texts: list[bytes], span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Number of the text, and of every piece of its own what ``pieces_of`` gives, text by text."""
-    found, first = [(np.zeros(0, np.int64),) * 5], 0
+    return sided_pieces(texts, span, sides=False)[:5]
+
+
+def sided_pieces(texts: list[bytes], span: int = SPAN, sides: bool = True) -> tuple[np.ndarray, ...]:
+    """What ``pieces_of_all`` gives, and of every piece: starts on the far side, hash of the far side, hash of the near side.
+
+    A start at least ``far`` bytes before the minimizer is on its far side: its string holds
+    the minimizer and the ``far`` bytes before it. The string of any other start, nearer to the
+    minimizer, holds it and as many bytes after it, and one or two more. Starts of the far side
+    come first. The hash of a side on which a piece has no start says nothing.
+    """
+    found, first = [(np.zeros(0, np.int64),) * 6 + (np.zeros(0, np.uint64),) * 2], 0
     while first < len(texts):  # short texts are worked on together
         last, total = first, 0
         while last < len(texts) and (last == first or total + len(texts[last]) <= TOGETHER):
             total, last = total + len(texts[last]), last + 1
         if total >= span:
-            owner, *rest = _pieces_of_joined(texts[first:last], span)
+            owner, *rest = _pieces_of_joined(texts[first:last], span, sides)
             found.append((owner + first, *rest))
         first = last
-    owner, gram, start, n, ahead = map(np.concatenate, zip(*found))
-    return owner, gram, start, n, ahead
+    return tuple(map(np.concatenate, zip(*found)))
 
 
-def _pieces_of_joined(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
+def _pieces_of_joined(texts: list[bytes], span: int, sides: bool) -> tuple[np.ndarray, ...]:
     ends = np.cumsum([len(t) for t in texts])
     begins = np.r_[0, ends[:-1]]
     n = int(ends[-1]) - span + 1
-    grams = mixed(gram_hashes(np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.uint64) + np.uint64(1)))
+    codes = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.uint64)
+    codes += np.uint64(1)
+    prefix, back = prefixes(codes, BASE)
+    grams = mixed(hashes_of_length(prefix, back, GRAM))
     # The high half of the hash decides, and among equals the leftmost place: both depend
     # on nothing but the window's own bytes. One number holds the two.
     keys = (grams & HIGH) | np.arange(len(grams), dtype=np.uint64)
@@ -113,7 +143,23 @@ def _pieces_of_joined(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
     whole = at >= 0
     new, at = new[whole], at[whole]
     owner = np.searchsorted(begins, new, "right") - 1
-    return owner, grams[at].view(np.int64), new - begins[owner], many[whole], at - new
+    pieces = owner, grams[at].view(np.int64), new - begins[owner], many[whole], at - new
+    if not sides:
+        return *pieces, *(np.zeros(0, np.int64), *(np.zeros(0, np.uint64),) * 2)
+    far = (span - GRAM) // 2
+
+    def hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        a, b = np.maximum(a, 0), np.minimum(b, len(codes))
+        return mixed(mixed((prefix[b] - prefix[a]) * back[a]))
+
+    return *pieces, np.clip(at - new - far + 1, 0, many[whole]), hashes(at - far, at + GRAM), hashes(at, at + span - far + 1)
+
+
+def among(some: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which of these are among the others."""
+    if not len(ascending):
+        return np.zeros(len(some), dtype=bool)
+    return ascending[np.minimum(np.searchsorted(ascending, some), len(ascending) - 1)] == some
 
 
 def not_alone(segment: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -143,96 +189,133 @@ def in_order(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span: int)
     return equal
 
 
+def span_hashes(data: np.ndarray, at: np.ndarray, span: int, base: np.uint64) -> np.ndarray:
+    """Hash of the ``span`` bytes from each of these ascending places."""
+    out = np.empty(len(at), dtype=np.uint64)
+    for first in range(0, len(at), BLOCK):
+        here = at[first : first + BLOCK] - at[first]
+        prefix, back = prefixes(data[at[first] : at[first] + here[-1] + span].astype(np.uint64) + np.uint64(1), base)
+        out[first : first + BLOCK] = (prefix[here + span] - prefix[here]) * back[here]
+    return out
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, span: int) -> np.ndarray:
+    """Whether the ``span`` bytes from a are those from b."""
+    spans = np.lib.stride_tricks.sliding_window_view(data, span)
+    parts = [(spans[a[k : k + BLOCK]] == spans[b[k : k + BLOCK]]).all(axis=1) for k in range(0, len(a), BLOCK)]
+    return np.concatenate([np.zeros(0, dtype=bool), *parts])
+
+
+def sorted_suffixes(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span: int, base: np.uint64) -> np.ndarray:
+    """Numbers of these places in the order of their suffixes, segment by segment, as far as ``span`` bytes tell."""
+    prefix, _ = prefixes(codes, base)
+    power = powers(len(codes), base)
+
+    def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        # Powers bring the hashes of two ranges level.
+        lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
+        near, far = np.minimum(a, b), np.maximum(a, b)
+        open_, middle = np.arange(len(a)), hi
+        while len(open_):
+            one, other = near[open_], far[open_]
+            same = (prefix[one + middle] - prefix[one]) * power[other - one] == prefix[other + middle] - prefix[other]
+            lo[open_], hi[open_] = np.where(same, middle, lo[open_]), np.where(same, hi[open_], middle - 1)
+            open_ = open_[lo[open_] < hi[open_]]
+            middle = (lo[open_] + hi[open_] + 1) // 2
+        return lo
+
+    def before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """a's suffix is smaller than b's, by the byte after the common extension."""
+        n = extension(a, b)
+        end = np.minimum(n, span - 1)
+        return (n < span) & (codes[a + end] < codes[b + end])
+
+    # Bottom-up merges of runs in all segments at once: a suffix's place is its place in its
+    # own run and the number of suffixes of the neighbour run that come before it.
+    order = np.argsort(segment, kind="stable")
+    own = segment[order]
+    begin = np.searchsorted(own, own, "left")
+    end = np.searchsorted(own, own, "right")
+    longest, run = int((end - begin).max(initial=0)), 1
+    while run < longest:
+        here = np.flatnonzero(end - begin > run)  # the others are one run already
+        from_, to = begin[here], end[here]
+        local = here - from_
+        block = local // run
+        is_left = block % 2 == 0
+        low = from_ + np.where(is_left, block + 1, block - 1) * run
+        lo, hi = np.minimum(low, to), np.minimum(low + run, to)
+        from_low = lo.copy()
+        while (open_ := np.flatnonzero(lo < hi)).size:
+            middle = (lo[open_] + hi[open_]) // 2
+            mine, other = at[order[here[open_]]], at[order[middle]]
+            # Ties: the left run's suffixes come first.
+            goes = np.where(is_left[open_], before(other, mine), ~before(mine, other))
+            lo[open_] = np.where(goes, middle + 1, lo[open_])
+            hi[open_] = np.where(goes, hi[open_], middle)
+        placed = order.copy()
+        placed[from_ + (block - block % 2) * run + local % run + (lo - from_low)] = order[here]
+        order, run = placed, 2 * run
+    return order
+
+
 def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, pieces: list[bytes], span: int = SPAN) -> np.ndarray:
     """Bit mask per piece of the starts whose ``span`` bytes also start in a piece of a smaller document.
 
     ``ahead`` is how far before its minimizer a piece begins.
     """
     size = np.array([len(p) for p in pieces], dtype=np.int64)
-    first = np.cumsum(size + 1) - size - 1
-    codes = np.frombuffer(b"\0".join([*pieces, b""]), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    first = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     starts = size - span + 1
     owner = np.repeat(np.arange(len(pieces)), starts)
-    inner = np.arange(int(starts.sum())) - np.repeat(np.cumsum(starts) - starts, starts)
-    at = first[owner] + inner
+    of_piece = np.cumsum(starts) - starts
+    inner = np.arange(len(owner)) - of_piece[owner]
     # Starts of one group at one distance before the minimizer; a lone one repeats nothing.
     rank = np.unique(group, return_inverse=True)[1].ravel()
     segment = (rank * span)[owner] + ahead[owner] - inner
     shared = np.flatnonzero(np.bincount(segment, minlength=1)[segment] > 1)
-    owner, inner, at, segment = owner[shared], inner[shared], at[shared], segment[shared]
-
-    def sort(base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        """The starts that may repeat one, and the same in the order of their suffixes within segments."""
-        # Prefix hashes: hash of [a, b) times power(-a) is prefix[b] - prefix[a]; powers bring two ranges level.
-        power = powers(len(codes), base)
-        prefix = np.r_[np.uint64(0), np.cumsum(codes * power[:-1])]
-        left = not_alone(segment, (prefix[at + span] - prefix[at]) * power[len(codes) - at])
-
-        def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
-            near, far = np.minimum(a, b), np.maximum(a, b)
-            open_, middle = np.arange(len(a)), hi  # most have all of the span in common
-            while len(open_):
-                one, other = near[open_], far[open_]
-                same = (prefix[one + middle] - prefix[one]) * power[other - one] == prefix[other + middle] - prefix[other]
-                lo[open_], hi[open_] = np.where(same, middle, lo[open_]), np.where(same, hi[open_], middle - 1)
-                open_ = open_[lo[open_] < hi[open_]]
-                middle = (lo[open_] + hi[open_] + 1) // 2
-            return lo
-
-        def before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            """a's suffix is smaller than b's, by the byte after the common extension."""
-            n = extension(a, b)
-            end = np.minimum(n, span - 1)
-            return (n < span) & (codes[a + end] < codes[b + end])
-
-        # Bottom-up merges of runs in all segments at once: a suffix's place is its place in its
-        # own run and the number of suffixes of the neighbour run that come before it.
-        order = left[np.argsort(segment[left], kind="stable")]
-        own = segment[order]
-        begin = np.searchsorted(own, own, "left")
-        end = np.searchsorted(own, own, "right")
-        longest, run = int((end - begin).max(initial=0)), 1
-        while run < longest:
-            here = np.flatnonzero(end - begin > run)  # the others are one run already
-            from_, to = begin[here], end[here]
-            local = here - from_
-            block = local // run
-            is_left = block % 2 == 0
-            low = from_ + np.where(is_left, block + 1, block - 1) * run
-            lo, hi = np.minimum(low, to), np.minimum(low + run, to)
-            from_low = lo.copy()
-            while (open_ := np.flatnonzero(lo < hi)).size:
-                middle = (lo[open_] + hi[open_]) // 2
-                mine, other = at[order[here[open_]]], at[order[middle]]
-                # Ties: the left run's suffixes come first.
-                goes = np.where(is_left[open_], before(other, mine), ~before(mine, other))
-                lo[open_] = np.where(goes, middle + 1, lo[open_])
-                hi[open_] = np.where(goes, hi[open_], middle)
-            placed = order.copy()
-            placed[from_ + (block - block % 2) * run + local % run + (lo - from_low)] = order[here]
-            order, run = placed, 2 * run
-        return left, order
+    at, segment = (first[owner] + inner)[shared], segment[shared]
 
     # A collision may have put suffixes in a wrong place. The order is proven on the bytes,
     # neighbour by neighbour, and made again with another base where it does not hold.
     for k in count():
-        left, order = sort(bases(k))
-        if (np.sort(order) == left).all():  # else two went to one place
-            equal = in_order(codes, at[order], segment[order], span)
+        base = bases(k)
+        hashes = span_hashes(data, at, span, base)
+        left = not_alone(segment, hashes)
+        keys = mixed(mixed(hashes[left]) + segment[left].astype(np.uint64) * BASE)
+        by_key = np.argsort(keys)
+        left, keys = left[by_key], keys[by_key]
+        new = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
+        again = ~(new & np.r_[new[1:], True][: len(new)])  # the others have a hash of their own
+        left, new = left[again], new[again]
+        # The first of a hash stands for those with its bytes; one that a collision has put there stands for itself.
+        ahead_of = np.flatnonzero(new)[np.cumsum(new) - 1]
+        new |= (segment[left] != segment[left[ahead_of]]) | ~same_bytes(data, at[left], at[left[ahead_of]], span)
+        stands = (np.cumsum(new) - 1)[np.where(new, np.arange(len(new)), ahead_of)]
+        one = left[new]
+        # Where one distance has several different strings, their suffixes are sorted.
+        _, which, many = np.unique(segment[one], return_inverse=True, return_counts=True)
+        several = np.flatnonzero(many[which.ravel()] > 1)
+        spans = np.lib.stride_tricks.sliding_window_view(data, span)[at[one[several]]]
+        codes, place, own = spans.ravel().astype(np.uint64) + np.uint64(1), np.arange(len(several)) * span, segment[one[several]]
+        order = sorted_suffixes(codes, place, own, span, base)
+        if (np.sort(order) == np.arange(len(several))).all():  # else two went to one place
+            equal = in_order(codes, place[order], own[order], span)
             if equal is not None:
                 break
-    runs = np.cumsum(~equal) - 1
-    least = np.full(int(runs[-1]) + 1 if len(runs) else 0, np.iinfo(np.int64).max)
-    np.minimum.at(least, runs, docs[owner[order]])
-    hit = least[runs] < docs[owner[order]]
-    mask = np.zeros(len(pieces), dtype=np.int64)
-    np.bitwise_or.at(mask, owner[order][hit], np.int64(1) << inner[order][hit])
-    return mask
-
-
-def utf8(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+    # Runs of equal strings: of those sorted, then of those that are the only string at their distance.
+    run = np.full(len(one), -1)
+    run[several[order]] = np.cumsum(~equal) - 1
+    only = np.flatnonzero(run < 0)
+    run[only] = len(several) + np.arange(len(only))
+    run, whose = run[stands], docs[owner[shared[left]]]
+    least = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(least, run, whose)
+    bits = np.zeros(len(owner), dtype=np.int64)
+    hit = shared[left[least[run] < whose]]
+    bits[hit] = np.int64(1) << inner[hit]
+    return np.bitwise_or.reduceat(bits, of_piece) if len(bits) else bits
 
 
 def piece_mark(piece: bytes) -> int:
@@ -245,8 +328,97 @@ def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
         return staged(df, purpose, codec)
 
 
-def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] = piece_mark) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
+def lists_of(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Of a column of lists: for every member the row it is in, and the members."""
+    return np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)), column.flatten()
+
+
+def binary(column: pa.Array) -> list[bytes]:
+    return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
+
+
+def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    """Rows of each value of the first column, by which they are sorted."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for value, of in groupby(rows, key=lambda row: next(iter(row.values()))):
+        yield value, list(of)
+
+
+def shared_sides(single: DataFrame, span: int) -> DataFrame:
+    """Per (id, twin) of these texts: hashes of those sides of its pieces that other texts have, too.
+
+    Each batch of texts is a chunk, which finds what its own texts share. Of every other hash it tells
+    one holder, in a blob for each part of the range of hashes; what several chunks have told
+    is sent back to them. However many texts have a hash, a chunk tells it once.
+    """
+    parts = PARTS * int(single.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = "part int, chunk long, hashes binary, owners binary, ids binary, twins binary"
+    names = [field.split()[0] for field in told.split(", ")]
+    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = count(TaskContext.get().partitionId() << 32)
+        for batch in batches:
+            chunk, first, found = next(number), 0, []
+            for part in in_pieces(batch, "text", 1 << 20):
+                owner, _, _, n, _, n_far, far, near = sided_pieces(binary(part["text"]), span)
+                found.append((np.r_[far[n_far > 0], near[n_far < n]], np.r_[owner[n_far > 0], owner[n_far < n]] + first))
+                first += part.num_rows
+            if not first:
+                continue
+            hashes, owners = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(hashes)
+            hashes, owners = hashes[order], owners[order].astype(np.uint32)
+            begin = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+            least, most = (f.reduceat(owners, begin) if len(begin) else owners for f in (np.minimum, np.maximum))
+            several = least < most
+            own = np.repeat(several, np.diff(np.r_[begin, len(hashes)]))
+            columns = (hashes[own], owners[own], *[batch[c].to_numpy() for c in ("id", "twin")])
+            rows = [(parts + chunk % parts, chunk, *[c.tobytes() for c in columns])]
+            hashes, owners = hashes[begin], np.where(several, SEVERAL, least)
+            part_of = ((hashes >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
+            bounds = np.searchsorted(part_of, np.arange(parts + 1, dtype=np.uint64)).tolist()
+            rows += [(p, chunk, hashes[a:b].tobytes(), owners[a:b].tobytes(), None, None) for p, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+            yield batch_of(rows)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in by_part(batches):
+            if part < parts:
+                hashes, owners = ([np.frombuffer(row[c], kind) for row in rows] for c, kind in (("hashes", np.uint64), ("owners", np.uint32)))
+                ends = np.cumsum([len(x) for x in hashes])
+                joined = np.concatenate(hashes)
+                order = np.argsort(joined)
+                again = joined[order[1:]] == joined[order[:-1]]
+                shared = np.zeros(len(joined), dtype=bool)
+                shared[order[1:][again]] = shared[order[:-1][again]] = True
+                shared &= np.concatenate(owners) != SEVERAL
+                kept = np.split(shared, ends[:-1])
+                out = [(part, row["chunk"], h[k].tobytes(), o[k].tobytes(), None, None) for row, h, o, k in zip(rows, hashes, owners, kept) if k.any()]
+            else:
+                out = [tuple(row.values()) for row in rows]
+            if out:
+                yield batch_of(out)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in by_part(batches):
+            ids, twins = next([np.frombuffer(row[c], np.int64) for c in ("ids", "twins")] for row in rows if row["ids"] is not None)
+            hashes, owners = (np.concatenate([np.frombuffer(row[c], kind) for row in rows]) for c, kind in (("hashes", np.int64), ("owners", np.uint32)))
+            order = np.argsort(owners, kind="stable")
+            has, begin = np.unique(owners[order], return_index=True)
+            if len(has):
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(order)], pa.int32()), pa.array(hashes[order]))
+                yield pa.record_batch([pa.array(ids[has]), pa.array(twins[has]), lists], names=["id", "twin", "sides"])
+
+    asked = in_batches(single).mapInArrow(tell, told).repartition("part").sortWithinPartitions("part")
+    answers = asked.mapInArrow(answer, told).drop("part").repartition("chunk").sortWithinPartitions("chunk")
+    return answers.mapInArrow(gather, "id long, twin long, sides array<long>")
+
+
+def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] = piece_mark, kept: bool = True) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes left).
 
     Removes each byte covered by a ``span``-byte string that also starts in a document with
     a smaller id. Null texts are empty; shorter texts lose nothing. Rows that repeat an id
@@ -270,38 +442,27 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
     texts = written(spread_join(rows.withColumn("salt", salt_of(F.col("id"))), firsts, "digest", "salt").drop("salt", "digest"), "suffix-texts", "zstd")
     single = texts.filter("id = first").select("id", "twin", "text")
 
-    def minimizers(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in in_pieces(batch, "text", 1 << 20):
-            owner, gram = pieces_of_all([utf8(t) for t in part["text"].to_pylist()], span)[:2]
-            bounds = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
-            for a, b in zip(bounds, bounds[1:]):
-                gram[a:b].sort()
-            once = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][: len(gram)])
-            of = owner[once]
-            columns = (gram[once], part["id"].to_numpy()[of], part["twin"].to_numpy()[of])
-            yield pa.record_batch([pa.array(c) for c in columns], names=["gram", "id", "twin"])
-
-    grams = through_arrow(single, minimizers, "gram long, id long, twin long")
-    shared = written(grams.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("gram"), "suffix-shared")
-    # A gram that very many documents have is a skewed side of this join, which AQE splits.
-    wanted = grams.join(shared, "gram", "left_semi")
-    wanted = written(wanted.groupBy("id", "twin").agg(F.collect_set("gram").alias("grams")), "suffix-wanted")
+    wanted = written(shared_sides(single, span), "suffix-wanted")
 
     def cut(batch: pa.RecordBatch, whole: bool = False) -> Iterator[pa.RecordBatch]:
+        # In the order of ids, so that the first of equal pieces is in its smallest document of the batch.
+        batch = batch.take(pa.array(np.argsort(batch["id"].to_numpy(), kind="stable")))
+        least: dict[bytes, int] = {}  # a piece's bytes go with its smallest document of the batch alone
+        first = 0
         for part in in_pieces(batch, "text", 1 << 20):
-            # In the order of ids, so that the first of equal pieces is in its smallest document of the batch.
-            part = part.take(pa.array(np.argsort(part["id"].to_numpy(), kind="stable")))
-            texts = [utf8(t) for t in part["text"].to_pylist()]
-            owner, gram, start, n, ahead = pieces_of_all(texts, span)
-            bounds = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
-            keep = np.zeros(len(gram), dtype=bool)
-            for a, b, grams in zip(bounds, bounds[1:], part["grams"]):
-                some = np.sort(grams.values.to_numpy())
-                keep[a:b] = some[np.minimum(np.searchsorted(some, gram[a:b]), len(some) - 1)] == gram[a:b]
-            owner, gram, start, n, ahead = (x[keep] for x in (owner, gram, start, n, ahead))
+            texts = binary(part["text"])
+            owner, gram, start, n, ahead, n_far, far, near = sided_pieces(texts, span)
+            # A hash with a text's number added stands for one of this text; a false one would cost a comparison.
+            of, sides = lists_of(part["sides"])
+            turns = mixed(np.arange(part.num_rows, dtype=np.uint64) * BASE)
+            sides = np.sort(sides.to_numpy().view(np.uint64) + turns[of])
+            turn = turns[owner]
+            begin, end = np.where(among(far + turn, sides), 0, n_far), np.where(among(near + turn, sides), n, n_far)
+            keep = begin < end
+            owner, gram, start, n, ahead = (x[keep] for x in (owner, gram, start + begin, end - begin, ahead - begin))
             found = [texts[k][a:b] for k, a, b in zip(owner.tolist(), start.tolist(), (start + n + span - 1).tolist())]
-            least: dict[bytes, int] = {}  # a piece's bytes go with its smallest document of the batch alone
-            told = found if whole else [p if least.setdefault(p, k) == k else None for k, p in enumerate(found)]
+            told = found if whole else [p if least.setdefault(p, k) == k else None for k, p in enumerate(found, first)]
+            first += len(found)
             ids, twins = (part[c].to_numpy()[owner] for c in ("id", "twin"))
             columns = (ids, twins, start, gram, n.astype(np.int32), ahead.astype(np.int32), pa.array(told, pa.binary()), pa.array(map(marked, found), pa.int64()))
             yield pa.record_batch([pa.array(c) for c in columns], names=["id", "twin", "at", "gram", "n", "ahead", "piece", "mark"])
@@ -309,18 +470,21 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
     pieces = "id long, twin long, at long, gram long, n int, ahead int, piece binary, mark long"
     holders = single.join(wanted, ["id", "twin"])
     found = written(through_arrow(holders, cut, pieces), "suffix-pieces", "zstd")
-    distinct = found.filter("piece IS NOT NULL").groupBy("gram", "mark", "piece").agg(F.min("id").alias("first"), F.first("ahead").alias("ahead"))
+    # Dealt out once, by what both the equal pieces and those compared with each other have in common.
+    dealt = found.filter("piece IS NOT NULL").select("gram", "mark", "piece", "id", "ahead").repartition("gram")
+    distinct = dealt.groupBy("gram", "mark", "piece").agg(F.min("id").alias("first"), F.first("ahead").alias("ahead"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        rest: list[pd.DataFrame] = []
         for batch in batches:
-            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if len(rest) >= AT_ONCE:
-                last = rest["gram"] == rest["gram"].iloc[-1]
-                yield from one(rest[~last])
-                rest = rest[last]
-        if rest is not None:
-            yield from one(rest)
+            rest.append(batch)
+            if sum(map(len, rest)) >= AT_ONCE and rest[0]["gram"].iloc[0] != batch["gram"].iloc[-1]:
+                whole = pd.concat(rest, ignore_index=True)
+                last = whole["gram"] == whole["gram"].iloc[-1]
+                yield from one(whole[~last])
+                rest = [whole[last]]
+        if rest:
+            yield from one(pd.concat(rest, ignore_index=True))
 
     def one(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if len(part):
@@ -331,7 +495,7 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
             told = [p if a else None for p, a in zip(pieces, alike)]
             yield pd.DataFrame({"gram": gram, "mark": part["mark"].to_numpy(), "piece": told, "first": part["first"].to_numpy(), "mask": mask})
 
-    masks = distinct.repartition("gram").sortWithinPartitions("gram").mapInPandas(compare, "gram long, mark long, piece binary, first long, mask long")
+    masks = distinct.sortWithinPartitions("gram").mapInPandas(compare, "gram long, mark long, piece binary, first long, mask long")
     masks = written(masks, "suffix-masks")
     # A piece's later documents repeat all of it; its first one what the mask says. Both sides
     # are plain shuffles, so AQE can split a piece that very many documents have. Pieces of an
@@ -348,33 +512,43 @@ def repeats(docs: DataFrame, span: int = SPAN, marked: Callable[[bytes], int] =
 
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batch, "text", 1 << 20):
-            out = []
-            for doc_id, unknown, first, text, hits in zip(*[part[c].to_pylist() for c in ("id", "unknown", "first", "text", "hits")]):
-                data = utf8(text)
-                edges = np.zeros(len(data) + 1, dtype=np.int64)
-                if first < doc_id:
-                    if len(data) >= span:
-                        edges[0] = 1
-                elif hits:
-                    at, n, mask = (np.array([h[c] for h in hits], dtype=np.int64) for c in ("at", "n", "mask"))
-                    which = np.repeat(np.arange(len(at)), n)
-                    inner = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                    starts = (at[which] + inner)[(mask[which] >> inner) & 1 == 1]
-                    np.add.at(edges, starts, 1)
-                    np.add.at(edges, starts + span, -1)
+            texts = binary(part["text"])
+            size = np.array([len(t) for t in texts], dtype=np.int64)
+            copied = (part["first"].to_numpy() < part["id"].to_numpy()) & (size >= span)
+            n_gone, n_rises, left_of = np.where(copied, size, 0), copied.astype(np.int64), [b"" if c else t for c, t in zip(copied.tolist(), texts)]
+            of, hits = lists_of(part["hits"])
+            if len(hits):  # rows that have some, one after the other
+                rows, of = np.unique(of, return_inverse=True)
+                size_of = size[rows]
+                end = np.cumsum(size_of)
+                begin = end - size_of
+                at, n, mask = (pc.struct_field(hits, c).to_numpy().astype(np.int64) for c in ("at", "n", "mask"))
+                which = np.repeat(np.arange(len(at)), n)
+                inner = np.arange(len(which)) - (np.cumsum(n) - n)[which]
+                starts = ((begin[of] + at)[which] + inner)[(mask[which] >> inner) & 1 == 1]
+                n_bytes = int(end[-1])
+                edges = np.bincount(starts, minlength=n_bytes + 1) - np.bincount(starts + span, minlength=n_bytes + 1)
+                # What is removed of a text ends with it at the latest.
                 gone = np.cumsum(edges)[:-1] > 0
-                kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
-                spans = int((np.diff(np.r_[0, gone.astype(np.int8)]) == 1).sum())
-                out.append((None if unknown else doc_id, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+                rises = gone.copy()
+                rises[1:] &= ~gone[:-1]
+                rises[begin] = gone[begin]
+                n_gone[rows], n_rises[rows] = (np.add.reduceat(x, begin, dtype=np.int64) for x in (gone, rises))
+                left = np.frombuffer(b"".join([texts[k] for k in rows.tolist()]), dtype=np.uint8)[~gone].tobytes()
+                bounds = np.r_[0, np.cumsum(size_of - n_gone[rows])].tolist()
+                for k, a, b in zip(rows.tolist(), bounds, bounds[1:]):
+                    left_of[k] = left[a:b]
+            ids = pc.if_else(part["unknown"], pa.scalar(None, pa.int64()), part["id"])
+            columns = [size, n_gone, n_rises, [hashlib.sha256(x).hexdigest() for x in left_of], left_of]
+            yield pa.record_batch([ids, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=names)
+
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: 4 + kept]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + kept]
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept
     copies = texts.filter("id > first").withColumn("hits", F.lit(None).cast(hits.schema["hits"].dataType))
     owners = texts.filter("id = first").join(hits, ["id", "twin"], "left")
     return through_arrow(owners.unionByName(copies), remove, schema)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats(documents(spark, sf_dir)).drop("kept")
+    return repeats(documents(spark, sf_dir), kept=False)

@@ -99,6 +99,53 @@ def test_only_starts_that_may_repeat_are_sorted(monkeypatch):
     assert sum(sorted_) < sum(len(p) - 49 for p in pieces) / 4
 
 
+def test_equal_strings_of_many_pieces_are_sorted_once(monkeypatch):
+    """The end of a frequent line before many different texts: the sort gets its few different strings, not every copy."""
+    import numpy as np
+
+    r = random.Random(16)
+    line = bytes(r.choices(b"abcdefgh", k=64))
+    pieces = [line[-49 - r.randint(1, 15) :] + bytes(r.choices(b"ab", k=r.randint(1, 6)) + r.choices(b"abcdefgh", k=12)) for _ in range(600)]
+    docs = np.array(r.sample(range(1000), len(pieces)))
+    ahead = np.array([min(len(p), p.index(line[-20:])) for p in pieces])
+    sorted_, real = [], suffixes.in_order
+    monkeypatch.setattr(suffixes, "in_order", lambda codes, at, segment, span: sorted_.append(len(at)) or real(codes, at, segment, span))
+    mask = suffixes.repeated_starts(np.zeros(len(pieces), np.int64), docs, ahead, pieces)
+    least = {}
+    for d, a, p in zip(docs, ahead, pieces):
+        for k in range(len(p) - 49):
+            least[a - k, p[k : k + 50]] = min(d, least.get((a - k, p[k : k + 50]), d))
+    want = [sum(1 << k for k in range(len(p) - 49) if least[a - k, p[k : k + 50]] < d) for d, a, p in zip(docs, ahead, pieces)]
+    assert mask.tolist() == want and sum(x.bit_count() for x in want) > 5000
+    assert 0 < sum(sorted_) < len(pieces)
+
+
+def test_sides_of_equal_strings_are_equal():
+    r = random.Random(17)
+    core = bytes(r.choices(b"abcd", k=400))
+    texts = [bytes(r.choices(b"abcd", k=r.randint(0, 70))) + core[a : a + r.randint(20, 300)] + bytes(r.choices(b"ab", k=r.randint(0, 70))) for a in range(0, 300, 9)]
+    side_of, n_starts = {}, 0
+    for i, _, start, n, ahead, n_far, far, near in zip(*(x.tolist() for x in suffixes.sided_pieces(texts))):
+        assert 0 <= n_far <= n and all((ahead - k >= 16) == (k < n_far) for k in range(n))
+        for k in range(n):
+            n_starts += 1
+            side = far if k < n_far else near
+            assert side_of.setdefault(texts[i][start + k : start + k + 50], side) == side
+    assert n_starts == sum(max(0, len(t) - 49) for t in texts) and len(set(side_of.values())) > 100
+
+
+def test_pieces_that_share_their_minimizer_alone_are_not_compared(spark, monkeypatch):
+    """Very many texts have short strings in common; what goes on are the parts that may repeat a whole span."""
+    r = random.Random(18)
+    common, passage = sentence(r, 9)[:24], sentence(r, 40)
+    rows = [(i, sentence(r, 12) + common + sentence(r, 12)) for i in range(60)] + [(100 + i, sentence(r, 12) + passage) for i in range(3)]
+    compared, real = {}, suffixes.written
+    monkeypatch.setattr(suffixes, "written", lambda df, purpose, *more: compared.setdefault(purpose, real(df, purpose, *more)))
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed, x.kept_sha256) for x in suffixes.repeats(table(spark, rows)).collect())
+    assert got == removed(rows) and sum(n > 0 for _, _, n, _ in got) == 2
+    assert {x.id for x in compared["suffix-pieces"].collect()} == {100, 101, 102}
+
+
 def test_texts_cut_together_are_cut_as_alone():
     r = random.Random(15)
     texts = [bytes(r.choices(b"ab", k=r.choice([0, 0, 1, 17, 49, 50, 51, 90, 400]))) for _ in range(300)] + [b"a" * 70_000, b"", b"b" * 60]
