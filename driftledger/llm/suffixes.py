@@ -41,9 +41,11 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 HIGH = np.uint64(0xFFFFFFFF00000000)
 #: Pieces compared in one go.
 AT_ONCE = 20_000
-#: Bytes of short texts that are cut into pieces in one go.
+#: Bytes of short texts that are cut into pieces, or of pieces that are hashed, in one go.
 TOGETHER = 1 << 16
-#: Starts whose bytes are hashed or compared in one go.
+#: Starts that are compared in one go at all their distances.
+MOST_STARTS = 1 << 20
+#: Starts whose bytes are verified in one go.
 BLOCK = 1 << 15
 #: Parts of all hashes for each shuffle partition.
 PARTS = 4
@@ -191,11 +193,15 @@ def in_order(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span: int)
 
 def span_hashes(data: np.ndarray, at: np.ndarray, span: int, base: np.uint64) -> np.ndarray:
     """Hash of the ``span`` bytes from each of these ascending places."""
-    out = np.empty(len(at), dtype=np.uint64)
-    for first in range(0, len(at), BLOCK):
-        here = at[first : first + BLOCK] - at[first]
-        prefix, back = prefixes(data[at[first] : at[first] + here[-1] + span].astype(np.uint64) + np.uint64(1), base)
-        out[first : first + BLOCK] = (prefix[here + span] - prefix[here]) * back[here]
+    out, first = np.empty(len(at), dtype=np.uint64), 0
+    while first < len(at):
+        last = int(np.searchsorted(at, at[first] + max(TOGETHER - span, 0), "right"))
+        here = at[first:last] - at[first]
+        codes = data[at[first] : at[last - 1] + span].astype(np.uint64)
+        codes += np.uint64(1)
+        prefix, back = prefixes(codes, base)
+        out[first:last] = (prefix[here + span] - prefix[here]) * back[here]
+        first = last
     return out
 
 
@@ -206,19 +212,21 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, span: int) -> np.
     return np.concatenate([np.zeros(0, dtype=bool), *parts])
 
 
-def sorted_suffixes(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span: int, base: np.uint64) -> np.ndarray:
-    """Numbers of these places in the order of their suffixes, segment by segment, as far as ``span`` bytes tell."""
-    prefix, _ = prefixes(codes, base)
-    power = powers(len(codes), base)
+def sorted_suffixes(strings: np.ndarray, segment: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Numbers of the suffixes that begin with these strings in their order, segment by segment, as far as the strings tell."""
+    span = strings.shape[1]
+    prefix = np.zeros((len(strings), span + 1), dtype=np.uint64)  # hashes of a string's first bytes
+    power = powers(span, base)[:-1]
+    np.multiply(strings, power, out=prefix[:, 1:])
+    prefix[:, 1:] += power  # as if each byte were one more
+    np.cumsum(prefix, axis=1, out=prefix)
+    codes, prefix = strings.ravel(), prefix.ravel()
 
     def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        # Powers bring the hashes of two ranges level.
         lo, hi = np.zeros(len(a), dtype=np.int64), np.full(len(a), span)
-        near, far = np.minimum(a, b), np.maximum(a, b)
         open_, middle = np.arange(len(a)), hi
         while len(open_):
-            one, other = near[open_], far[open_]
-            same = (prefix[one + middle] - prefix[one]) * power[other - one] == prefix[other + middle] - prefix[other]
+            same = prefix[a[open_] * (span + 1) + middle] == prefix[b[open_] * (span + 1) + middle]
             lo[open_], hi[open_] = np.where(same, middle, lo[open_]), np.where(same, hi[open_], middle - 1)
             open_ = open_[lo[open_] < hi[open_]]
             middle = (lo[open_] + hi[open_] + 1) // 2
@@ -228,7 +236,7 @@ def sorted_suffixes(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span
         """a's suffix is smaller than b's, by the byte after the common extension."""
         n = extension(a, b)
         end = np.minimum(n, span - 1)
-        return (n < span) & (codes[a + end] < codes[b + end])
+        return (n < span) & (codes[a * span + end] < codes[b * span + end])
 
     # Bottom-up merges of runs in all segments at once: a suffix's place is its place in its
     # own run and the number of suffixes of the neighbour run that come before it.
@@ -248,7 +256,7 @@ def sorted_suffixes(codes: np.ndarray, at: np.ndarray, segment: np.ndarray, span
         from_low = lo.copy()
         while (open_ := np.flatnonzero(lo < hi)).size:
             middle = (lo[open_] + hi[open_]) // 2
-            mine, other = at[order[here[open_]]], at[order[middle]]
+            mine, other = order[here[open_]], order[middle]
             # Ties: the left run's suffixes come first.
             goes = np.where(is_left[open_], before(other, mine), ~before(mine, other))
             lo[open_] = np.where(goes, middle + 1, lo[open_])
@@ -268,15 +276,29 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     first = np.cumsum(size) - size
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     starts = size - span + 1
-    owner = np.repeat(np.arange(len(pieces)), starts)
-    of_piece = np.cumsum(starts) - starts
-    inner = np.arange(len(owner)) - of_piece[owner]
-    # Starts of one group at one distance before the minimizer; a lone one repeats nothing.
     rank = np.unique(group, return_inverse=True)[1].ravel()
-    segment = (rank * span)[owner] + ahead[owner] - inner
+    mask = np.zeros(len(pieces), dtype=np.int64)
+
+    def compare(owner: np.ndarray, inner: np.ndarray) -> None:
+        # Starts of one group at one distance before the minimizer.
+        hit = repeats_of_smaller(data, first[owner] + inner, rank[owner] * span + ahead[owner] - inner, docs[owner], span)
+        np.add.at(mask, owner[hit], np.int64(1) << inner[hit])
+
+    if starts.sum() <= MOST_STARTS:
+        owner = np.repeat(np.arange(len(pieces)), starts)
+        compare(owner, np.arange(len(owner)) - (np.cumsum(starts) - starts)[owner])
+    else:  # a frequent minimizer: one distance after the other, for what the arrays take
+        for distance in range(int((ahead - starts).min()) + 1, int(ahead.max()) + 1):
+            owner = np.flatnonzero((ahead >= distance) & (ahead - starts < distance))
+            compare(owner, ahead[owner] - distance)
+    return mask
+
+
+def repeats_of_smaller(data: np.ndarray, at: np.ndarray, segment: np.ndarray, docs: np.ndarray, span: int) -> np.ndarray:
+    """Which of these starts, ascending, have their ``span`` bytes in common with one of their segment in a smaller document."""
+    # A lone one repeats nothing.
     shared = np.flatnonzero(np.bincount(segment, minlength=1)[segment] > 1)
-    at, segment = (first[owner] + inner)[shared], segment[shared]
-
+    at, segment = at[shared], segment[shared]
     # A collision may have put suffixes in a wrong place. The order is proven on the bytes,
     # neighbour by neighbour, and made again with another base where it does not hold.
     for k in count():
@@ -297,11 +319,11 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
         # Where one distance has several different strings, their suffixes are sorted.
         _, which, many = np.unique(segment[one], return_inverse=True, return_counts=True)
         several = np.flatnonzero(many[which.ravel()] > 1)
-        spans = np.lib.stride_tricks.sliding_window_view(data, span)[at[one[several]]]
-        codes, place, own = spans.ravel().astype(np.uint64) + np.uint64(1), np.arange(len(several)) * span, segment[one[several]]
-        order = sorted_suffixes(codes, place, own, span, base)
+        strings = np.lib.stride_tricks.sliding_window_view(data, span)[at[one[several]]]
+        own = segment[one[several]]
+        order = sorted_suffixes(strings, own, base)
         if (np.sort(order) == np.arange(len(several))).all():  # else two went to one place
-            equal = in_order(codes, place[order], own[order], span)
+            equal = in_order(strings.ravel(), order * span, own[order], span)
             if equal is not None:
                 break
     # Runs of equal strings: of those sorted, then of those that are the only string at their distance.
@@ -309,13 +331,10 @@ def repeated_starts(group: np.ndarray, docs: np.ndarray, ahead: np.ndarray, piec
     run[several[order]] = np.cumsum(~equal) - 1
     only = np.flatnonzero(run < 0)
     run[only] = len(several) + np.arange(len(only))
-    run, whose = run[stands], docs[owner[shared[left]]]
+    run, whose = run[stands], docs[shared[left]]
     least = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(least, run, whose)
-    bits = np.zeros(len(owner), dtype=np.int64)
-    hit = shared[left[least[run] < whose]]
-    bits[hit] = np.int64(1) << inner[hit]
-    return np.bitwise_or.reduceat(bits, of_piece) if len(bits) else bits
+    return shared[left[least[run] < whose]]
 
 
 def piece_mark(piece: bytes) -> int:

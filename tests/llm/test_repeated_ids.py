@@ -118,6 +118,11 @@ def test_equal_strings_of_many_pieces_are_sorted_once(monkeypatch):
     want = [sum(1 << k for k in range(len(p) - 49) if least[a - k, p[k : k + 50]] < d) for d, a, p in zip(docs, ahead, pieces)]
     assert mask.tolist() == want and sum(x.bit_count() for x in want) > 5000
     assert 0 < sum(sorted_) < len(pieces)
+    asked, whole = [], suffixes.repeats_of_smaller
+    monkeypatch.setattr(suffixes, "repeats_of_smaller", lambda data, at, *more: asked.append(len(at)) or whole(data, at, *more))
+    monkeypatch.setattr(suffixes, "MOST_STARTS", 1000)  # a group of more is compared one distance after the other
+    assert suffixes.repeated_starts(np.zeros(len(pieces), np.int64), docs, ahead, pieces).tolist() == want
+    assert sum(asked) == sum(len(p) - 49 for p in pieces) and max(asked) <= len(pieces)
 
 
 def test_sides_of_equal_strings_are_equal():
